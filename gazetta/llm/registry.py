@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from gazetta.llm.bpe import op6_sentencepiece
 from gazetta.llm.decontaminate import OP2_SQL, op2_decontaminate
+from gazetta.llm.licenses import op7_licenses
+from gazetta.llm.linededup import OP5_SQL, op5_line_dedup
 from gazetta.llm.sharding import op9_sharding
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_licenses": op7_licenses,
     "op9_sharding": op9_sharding,
 }
 
-SQL = {"op2_decontaminate": OP2_SQL}
+SQL = {
+    "op2_decontaminate": OP2_SQL,
+    "op5_line_dedup": OP5_SQL,
+}
