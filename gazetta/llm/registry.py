@@ -6,9 +6,11 @@ from gazetta.llm.bpe import op6_sentencepiece
 from gazetta.llm.decontaminate import OP2_SQL, op2_decontaminate
 from gazetta.llm.licenses import op7_licenses
 from gazetta.llm.linededup import OP5_SQL, op5_line_dedup
+from gazetta.llm.pii import op1_pii
 from gazetta.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
     "op5_line_dedup": op5_line_dedup,
     "op6_sentencepiece": op6_sentencepiece,
