@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from gazetta.llm.ann import op8_ann
 from gazetta.llm.bpe import op6_sentencepiece
 from gazetta.llm.decontaminate import OP2_SQL, op2_decontaminate
+from gazetta.llm.htmltext import op3_html
 from gazetta.llm.licenses import op7_licenses
 from gazetta.llm.linededup import OP5_SQL, op5_line_dedup
 from gazetta.llm.pii import op1_pii
@@ -12,9 +14,11 @@ from gazetta.llm.sharding import op9_sharding
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_decontaminate": op2_decontaminate,
+    "op3_html": op3_html,
     "op5_line_dedup": op5_line_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_licenses": op7_licenses,
+    "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
 }
 
