@@ -11,6 +11,7 @@ from gazetta.llm.licenses import op7_licenses
 from gazetta.llm.linededup import OP5_SQL, op5_line_dedup
 from gazetta.llm.pii import op1_pii
 from gazetta.llm.sharding import op9_sharding
+from gazetta.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_licenses": op7_licenses,
     "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL = {
