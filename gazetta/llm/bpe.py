@@ -362,14 +362,14 @@ def encode_documents(docs: DataFrame, model_file: str, real: bool = False) -> Da
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, {columns}")
 
 
-def _digests(docs: DataFrame, model_file: str | None) -> DataFrame:
-    if model_file is None:
-        import public_tokenizers
+def model_path() -> str:
+    """The 32k model among the installed public tokenizers."""
+    import public_tokenizers
 
-        model_file = public_tokenizers.path("piece_bpe_32k.model")
-    return encode_documents(docs, model_file).toDF("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str | None = None) -> DataFrame:
     """Token counts and digests of every document under the 32k SentencePiece model."""
-    return _digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), model_file)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return encode_documents(docs, model_file or model_path()).toDF("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -45,3 +45,11 @@ def same(*pairs: tuple[Column, Column]) -> Column:
     for a, b in pairs[1:]:
         out = out & a.eqNullSafe(b)
     return out
+
+
+def without(docs: DataFrame, gone: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """docs without the rows named by gone (doc_id, th); gone is broadcast if it has at most ``limit`` rows."""
+    gone = cut(gone)
+    side = F.broadcast(gone) if gone.count() <= limit else gone
+    on = same((F.col("_a.doc_id"), F.col("_b.doc_id")), (text_key(F.col("_a.text")), F.col("_b.th")))
+    return docs.alias("_a").join(side.alias("_b"), on, "left_anti")

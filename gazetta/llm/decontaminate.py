@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import ascii_lower, same, table, text_key
+from gazetta.llm.common import ascii_lower, same, table, text_key, without
 
 WINDOW = 10
 SHINGLE = 3
@@ -176,11 +176,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs in which no window of an item occurs, with all their columns."""
-    bad = find_windows(docs, benchmark, window).select("doc_id", "th").distinct().alias("b")
-    keyed = docs.alias("a")
-    return keyed.join(
-        bad, same((F.col("a.doc_id"), F.col("b.doc_id")), (text_key(F.col("a.text")), F.col("b.th"))), "left_anti"
-    )
+    return without(docs, find_windows(docs, benchmark, window).select("doc_id", "th").distinct())
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

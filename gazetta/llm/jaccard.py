@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import cut, same, table, text_key
+from gazetta.llm.common import cut, same, table, text_key, without
 
 K = 5
 MATCHES = 4
@@ -329,11 +329,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that are the smallest doc_id of their component, with all their columns."""
     gone = link_documents(docs).filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id", "th").distinct()
-    return docs.alias("a").join(
-        gone.alias("b"),
-        same((F.col("a.doc_id"), F.col("b.doc_id")), (text_key(F.col("a.text")), F.col("b.th"))),
-        "left_anti",
-    )
+    return without(docs, gone)
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
