@@ -1,6 +1,8 @@
-"""Registered queries over the reference's operators, each with its SQL twin."""
+"""Registered queries over the reference's operators, each with its SQL twin where SQL can state it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from gazetta.plans import entity, events, lists
+
+QUERIES: dict = {**entity.QUERIES, **events.QUERIES, **lists.QUERIES}
+SQL: dict[str, str] = {**entity.SQL, **events.SQL, **lists.SQL}
