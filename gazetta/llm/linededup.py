@@ -12,7 +12,8 @@ variants are formed in two steps that together find the same pairs:
    it also emits them as a line one character too long, that is with the blocks of
    n - 1 and one more character in the deleted block. One edit falls in one block,
    so two lines within the bound share a hashed key; 2 s(n) keys are emitted.
-2. Only for keys that two different lines share, each position of the (short)
+2. Only for lines whose key another line has too (known by hash; up to
+   ``BROADCAST_LINES`` of them are broadcast, more are shuffled), each position of the (short)
    deleted block is deleted in turn. Equal variants meet; in every list members are
    compared with the earliest line of the other kind, and the edit distance of the
    blocks is verified. All members of a substitution list differ at one character
@@ -29,9 +30,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gazetta.llm.common import same, table, text_key
+from gazetta.llm.common import cut, same, table, text_key
 
 MIN_FUZZY = 16
+BROADCAST_LINES = 2_000_000
 NOT_BLANK = r"[^\x09-\x0D\x20]"
 
 
@@ -54,13 +56,16 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _blocks(n: Column) -> Column:
     """Into how many blocks a line of n characters is cut; a rule of n, as both lines of a pair must agree."""
-    return F.when(n < 512, 4).when(n < 4096, 8).otherwise(16)
+    return F.when(n < 512, 2).when(n < 4096, 4).otherwise(8)
 
 
-def _variants(lines: DataFrame) -> DataFrame:
-    """cls, at, key, long (whether the line counts as one character too long) and the deleted block."""
+def _variants(lines: DataFrame, whole: bool) -> DataFrame:
+    """Keys of the variants and the line's first hash; or, with ``whole``, all that a pair is verified by.
 
-    def cut(base: Column, extra: int) -> Column:
+    ``long`` says that the line counts as one character too long; ``block`` is what the variant deletes.
+    """
+
+    def cut_out(base: Column, extra: int) -> Column:
         s = _blocks(base)
 
         def one(i: Column) -> Column:
@@ -68,33 +73,36 @@ def _variants(lines: DataFrame) -> DataFrame:
             end = F.floor((i + 1) * base / s).cast("int") + extra
             left = F.substring(F.col("line"), F.lit(1), begin)
             right = F.substring(F.col("line"), end + 1, F.col("n"))
-            return F.struct(
-                F.xxhash64(base, i, left, right).alias("key"), F.lit(bool(extra)).alias("long"),
-                begin.alias("begin"), (end - begin).alias("size"),
-            )
+            key = F.xxhash64(base, i, left, right)
+            if not whole:
+                return key
+            block = F.substring(F.col("line"), begin + 1, end - begin)
+            return F.struct(key.alias("key"), F.lit(bool(extra)).alias("long"), block.alias("block"))
 
         return F.transform(F.sequence(F.lit(0), s - 1), one)
 
     n = F.col("n")
-    both = F.concat(cut(n, 0), cut(n - 1, 1))
-    out = lines.filter(n >= MIN_FUZZY).select("cls", "at", "line", F.explode(both).alias("v"))
-    return out.select(
-        "cls", "at", "v.key", "v.long",
-        F.substring(F.col("line"), F.col("v.begin") + 1, F.col("v.size")).alias("block"),
-    )
+    both = F.concat(cut_out(n, 0), cut_out(n - 1, 1))
+    fuzzy = lines.filter(n >= MIN_FUZZY)
+    if not whole:
+        return fuzzy.select(F.col("cls.a").alias("a"), F.explode(both).alias("key"))
+    return fuzzy.select("cls", "at", F.explode(both).alias("v")).select("cls", "at", "v.*")
 
 
 def _near(lines: DataFrame) -> DataFrame:
     """cls of lines that have an earlier line within one edit."""
-    variants = _variants(lines)
-    shared = (
-        variants.groupBy("key")
-        .agg(F.min("cls.a").alias("lo"), F.max("cls.a").alias("hi"), F.count_if("long").alias("longs"), F.count("*").alias("all"))
-        .filter("lo <> hi and longs < all")  # some line has to be of the short kind
-        .select("key")
-    )
+    keys = _variants(lines, False).distinct()  # equal lines fall together before the shuffle
+    group = W.partitionBy("key")
+    shared = keys.select("key", "a", F.min("a").over(group).alias("lo"), F.max("a").over(group).alias("hi")).filter("lo <> hi")
+    shared = cut(shared.select("key", "a"))
+    near = shared.select("a").distinct()
+    side = F.broadcast(near) if near.count() <= BROADCAST_LINES else near
+    few = lines.withColumn("a", F.col("cls.a")).join(side, "a").drop("a")
     members = (
-        variants.join(shared, "key").groupBy("key", "long", "cls").agg(F.min("at").alias("at"), F.first("block").alias("block"))
+        _variants(few, True)
+        .join(shared.select("key").distinct(), "key")
+        .groupBy("key", "long", "cls")
+        .agg(F.min("at").alias("at"), F.first("block").alias("block"))
     )
     size = F.length("block")
     less = lambda p: F.concat(
