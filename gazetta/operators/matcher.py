@@ -110,7 +110,7 @@ def _decide(keys: DataFrame, t: MatchTables, rules: DataFrame | None) -> DataFra
     )
     out = out.withColumn("rule", F.coalesce(rule, F.lit("fuzzy")))
     entity = F.when(F.col("rule") == "excluded", F.col("x.parent_entity_id")).when(F.col("rule") == "custom", F.col("custom"))
-    return out.withColumn("entity_id", F.when(F.col("rule").isin("excluded", "custom"), entity).when(F.col("rule") != "fuzzy", F.col("builtin_entity_id")))
+    return out.withColumn("entity_id", F.when(F.col("rule").isin("excluded", "custom"), entity).when(~F.col("rule").isin("fuzzy", "blank", "invalid"), F.col("builtin_entity_id")))
 
 
 def _annotate(decided: DataFrame, t: MatchTables) -> DataFrame:
