@@ -1,8 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 1. Each page's containers are scored by the share of its text that they hold,
-   links, menus, adverts and the like aside; of nested containers with the same
-   text the innermost counts. Votes go to generalised paths (tags with classes,
+   links, menus, adverts and the like aside; a wrapper of a container with nearly
+   all its text doesn't count, unless it is an article or main element. Votes go to generalised paths (tags with classes,
    digits folded) of the page's host and are summed in Spark, where a host with a
    third of all pages is pre-aggregated before the shuffle.
 2. Every host's path of most votes is joined back, and each page is extracted
@@ -27,6 +27,7 @@ from gazetta.llm.common import table
 
 BROADCAST_HOSTS = 500_000
 DEPTH = 8
+WRAPPED = 0.9
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=|[\"'])*)/?>",
@@ -208,7 +209,10 @@ def votes(blocks: list[str], links: list[int], nodes: list[Node]) -> dict[str, f
         covered[nodes[i].parent] = max(covered[nodes[i].parent], held[i])
     out: dict[str, float] = {}
     for i, n in enumerate(nodes[1:], 1):
-        if held[i] > covered[i] and held[i] * 5 >= total:
+        plain = n.path.rsplit(">", 1)[-1].split(".")[0] not in ("article", "main")
+        # a wrapper of one container with nearly all its text leaves the vote to that
+        wrapper = covered[i] >= (WRAPPED * held[i] if plain else held[i])
+        if held[i] * 5 >= total and not wrapper:
             out[n.path] = out.get(n.path, 0.0) + held[i] / total
     return out
 
