@@ -103,7 +103,7 @@ def source_id_of_url(url: Column, known: dict[str, str], fallback_year: Column)
 def ordered_distinct(values: Column, separators: str = r"[|、]") -> Column:
     """Distinct trimmed parts of strings that are lists themselves, in order of first appearance."""
     parts = F.flatten(F.transform(values, lambda v: F.split(F.coalesce(v, F.lit("")), separators)))
-    return F.array_distinct(F.filter(F.transform(parts, F.trim), lambda p: p != ""))
+    return F.array_distinct(F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != ""))
 
 
 def merge_ids(*columns: Column) -> Column:
