@@ -114,7 +114,7 @@ def _windows(m: int) -> Column:
 
     def one(j: Column) -> Column:
         own = F.slice(F.col("h"), j * step + 1, F.lit(wide))
-        return F.struct(F.lit(m).alias("m"), (j * step).alias("first"), own.alias("own"))
+        return F.struct(F.lit(m).alias("m"), (j * step).alias("first"), F.array_distinct(own).alias("own"))
 
     return F.transform(F.array_distinct(F.flatten(F.transform(F.col("near"), reach))), one)
 
@@ -131,23 +131,19 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     held = F.lit(False)
     for g in guards:
         held = held | F.contains(F.col("low"), F.lit(g))
+    # arrays go through explode(array(x)), a barrier: the optimiser would else repeat them inside later lambdas
     words = (
         docs.select("doc_id", "text", low.alias("low"))
         .filter(held)
-        .select("doc_id", text_key(F.col("text")).alias("th"), words_of(F.col("text")).alias("words"))
-        .withColumn("h", shingles(F.col("words")))
-        .withColumn(
-            "near",
-            F.filter(
-                F.transform("words", lambda w, i: F.when(w.isin(guards), i)), lambda i: i.isNotNull()
-            ),
-        )
-        .filter((F.size("near") > 0) & (F.size("h") > 0))
+        .select("doc_id", text_key(F.col("text")).alias("th"), F.explode(F.array(words_of(F.col("text")))).alias("words"))
     )
+    near = F.filter(F.transform("words", lambda w, i: F.when(w.isin(guards), i)), lambda i: i.isNotNull())
+    ready = words.select("doc_id", "th", F.explode(F.array(F.struct(shingles(F.col("words")).alias("h"), near.alias("near")))).alias("d"))
+    ready = ready.select("doc_id", "th", "d.h", "d.near").filter((F.size("near") > 0) & (F.size("h") > 0))
     parts = [_windows(m) for m in sizes]
     keyed = (
-        words.select("doc_id", "th", F.explode(F.concat(*parts)).alias("w"))
-        .select("doc_id", "th", "w.m", "w.first", F.array_distinct("w.own").alias("inside"))
+        ready.select("doc_id", "th", F.explode(F.concat(*parts)).alias("w"))
+        .select("doc_id", "th", "w.m", "w.first", F.col("w.own").alias("inside"))
         .filter(F.size("inside") > 0)
         .select("doc_id", "th", "m", "first", "inside", F.posexplode(_signature(F.col("inside"))).alias("band", "hash"))
     )
