@@ -55,12 +55,12 @@ def q27_pivot_round_trip(spark, sf_dir):
 
 
 @R.add("""
-WITH m AS (SELECT s_suppkey, printf('CNUR-%06d', row_number() OVER (ORDER BY s_name, s_suppkey)) AS minted_id FROM supplier)
-SELECT l_orderkey, l_linenumber, coalesce(minted_id, CAST(l_suppkey AS VARCHAR)) AS supplier_id FROM lineitem LEFT JOIN m ON l_suppkey = s_suppkey AND s_suppkey % 2 = 0""")
+WITH m AS (SELECT s_suppkey, printf('CNUR-%06d', row_number() OVER (ORDER BY s_name, s_suppkey)) AS minted_id, s_acctbal AS bal FROM supplier)
+SELECT l_orderkey, l_linenumber, coalesce(minted_id, CAST(l_suppkey AS VARCHAR)) AS supplier_id FROM lineitem LEFT JOIN m ON l_suppkey = s_suppkey AND bal > 0""")
 def q28_mint_and_migrate(spark, sf_dir):
-    minted = joins.minted_ids(table(spark, sf_dir, "supplier").select("s_name", "s_suppkey"), ["s_name", "s_suppkey"], "CNUR-", 6)
-    # ids that the crosswalk lacks stay as they are: it holds every second supplier
-    walk = minted.filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("old"), F.col("minted_id").alias("new"))
+    minted = joins.minted_ids(table(spark, sf_dir, "supplier").select("s_name", "s_suppkey", "s_acctbal"), ["s_name", "s_suppkey"], "CNUR-", 6)
+    # ids that the crosswalk lacks stay as they are: it holds suppliers with a balance
+    walk = minted.filter("s_acctbal > 0").select(F.col("s_suppkey").cast("string").alias("old"), F.col("minted_id").alias("new"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("supplier_id"))
     return joins.migrate_ids(li, ["supplier_id"], walk, "old", "new")
 
@@ -126,12 +126,12 @@ def q44_overlay(spark, sf_dir):
 
 
 @R.add("""
-WITH a AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '' END AS name, '' AS place FROM supplier), b AS (SELECT s_suppkey AS id, 'late' AS name, CAST(s_nationkey AS VARCHAR) AS place FROM supplier WHERE s_suppkey % 3 = 0)
+WITH a AS (SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '' END AS name, '' AS place FROM supplier), b AS (SELECT s_suppkey AS id, 'late' AS name, CAST(s_nationkey AS VARCHAR) AS place FROM supplier WHERE s_acctbal > 0)
 SELECT a.id, CASE WHEN a.name <> '' THEN a.name ELSE coalesce(b.name, '') END AS name, coalesce(b.place, '') AS place FROM a LEFT JOIN b USING (id)""")
 def q45_registry_upsert(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     a = s.select(F.col("s_suppkey").alias("id"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("name"), F.lit("").alias("place"))
-    b = s.filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"), F.lit("late").alias("name"), F.col("s_nationkey").cast("string").alias("place"))
+    b = s.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("id"), F.lit("late").alias("name"), F.col("s_nationkey").cast("string").alias("place"))
     return agg.upsert_registry([a, b], "id", ["name", "place"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gazetta.plans import entity, events, lists
+from gazetta.plans import entity, events, lists, products
 
-QUERIES: dict = {**entity.QUERIES, **events.QUERIES, **lists.QUERIES}
-SQL: dict[str, str] = {**entity.SQL, **events.SQL, **lists.SQL}
+QUERIES: dict = {**entity.QUERIES, **events.QUERIES, **lists.QUERIES, **products.QUERIES}
+SQL: dict[str, str] = {**entity.SQL, **events.SQL, **lists.SQL, **products.SQL}
