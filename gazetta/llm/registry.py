@@ -6,7 +6,7 @@ from gazetta.llm.ann import op8_ann
 from gazetta.llm.bpe import op6_sentencepiece
 from gazetta.llm.decontaminate import OP2_SQL, op2_decontaminate
 from gazetta.llm.htmltext import op3_html
-from gazetta.llm.jaccard import op4_jaccard
+from gazetta.llm.jaccard import OP4_SQL, op4_jaccard
 from gazetta.llm.licenses import op7_licenses
 from gazetta.llm.linededup import OP5_SQL, op5_line_dedup
 from gazetta.llm.pii import op1_pii
@@ -28,5 +28,6 @@ QUERIES = {
 
 SQL = {
     "op2_decontaminate": OP2_SQL,
+    "op4_jaccard": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
 }
