@@ -29,7 +29,9 @@ def nfkc(text: Column) -> Column:
 def _simplified(app: str) -> tuple[str, str]:
     jvm = SparkSession.getActiveSession()._jvm
     convert = jvm.com.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified")
-    pairs = [(c, convert.transliterate(c)) for c in map(chr, range(0x3400, 0xA000))]
+    chars = [chr(c) for c in range(0x3400, 0xA000)]
+    # one call; line ends keep characters apart, as runs of them may convert as phrases
+    pairs = zip(chars, convert.transliterate("\n".join(chars)).split("\n"), strict=True)
     pairs = [(a, b) for a, b in pairs if a != b and len(b) == 1]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
