@@ -37,7 +37,7 @@ WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words_of(text: Column) -> Column:
     """Words of a text: what lies between runs of ASCII other than letters and digits."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD_GAP), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD_GAP), "")
 
 
 def _shingle_hashes(words: Column, n: Column, k: int) -> Column:
@@ -78,27 +78,23 @@ def _positions(docs: DataFrame, sizes: list[int], window: int) -> DataFrame:
     margin = window - 1
     blocks = (
         docs.select("doc_id", text_key(F.col("text")).alias("th"), words_of(F.col("text")).alias("words"))
-        .withColumn("n", F.size("words"))
-        .filter("n > 0")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / BLOCK).cast("int"))))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.size("words") - 1, F.lit(0)) / BLOCK).cast("int"))))
         .withColumn("base", F.greatest(F.col("block") * BLOCK - margin, F.lit(0)))
         .withColumn("own", F.col("block") * BLOCK - F.col("base"))
         .withColumn("ctx", F.slice("words", F.col("base") + 1, F.col("own") + BLOCK + margin))
         .withColumn("m", F.size("ctx"))
         .select("doc_id", "th", "block", "base", "own", "ctx", "m")
     )
-    hashes = F.concat(
-        *[
-            F.transform(
-                F.slice(_shingle_hashes(F.col("ctx"), F.col("m"), k), F.col("own") + 1, F.lit(BLOCK)),
-                lambda x, i: F.struct((i + F.col("own")).alias("p"), x.alias("h")),
-            )
-            for k in sizes
-        ]
-    )
-    return blocks.select("doc_id", "th", "block", "base", "ctx", F.explode(hashes).alias("s")).select(
-        "doc_id", "th", "block", "base", "ctx", F.col("s.p").alias("p"), F.col("s.h").alias("h")
-    )
+    # no lambdas here: generator, hash and the join after it compile to one loop that carries ctx by reference
+    own = F.slice(F.col("ctx"), F.col("own") + 1, F.lit(BLOCK))
+    spots = blocks.select("doc_id", "th", "block", "base", "own", "ctx", "m", F.posexplode(own).alias("i", "word"))
+    spots = spots.withColumn("p", F.col("i") + F.col("own"))
+    out = None
+    for k in sizes:
+        words = [F.col("word"), *[F.get("ctx", F.col("p") + j) for j in range(1, k)]]
+        part = spots.filter(F.col("p") + k <= F.col("m")).select("doc_id", "th", "block", "base", "ctx", "p", F.xxhash64(F.lit(k), *words).alias("h"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
