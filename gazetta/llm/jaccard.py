@@ -4,18 +4,26 @@ Two documents link when 100 * |intersection| >= 75 * |union| of their distinct
 five-word shingles. Links are found without listing the pairs inside a group:
 
 1. Shingles become 64-bit hashes; equal sets form one class, known by a 64-bit hash.
-2. Prefix tokens are counted over all documents. Tokens are ordered by frequency
-   level, then hash, so frequent passages come last in every document.
+2. All shingles are counted over all documents, in blocks by hash range. A bitmap of
+   ``BITMAP_WORDS`` words marks those that occur more than once, a list of at most
+   ``MAX_HOT`` has the most frequent ones. Tokens are ordered by these levels, then
+   hash, so frequent passages come last everywhere. Shingles without a mark occur in
+   one class only: a set of n with u of them overlaps any other by n - u at most,
+   which rules out most documents and pairs before anything is compared.
 3. A document emits the first n - ceil(0.75 n) + l tokens. l grows while the
    estimated number of candidates of its prefix is above ``COST`` per required match.
    A pair must share min(l, l') prefix tokens, and at least as many as the rest of
-   the sets could not make up: required overlap - max(n - p, n' - p').
-4. Star round: in each token's list every member pairs with the smallest class only
+   the sets could not make up: required overlap - max(n - p, n' - p'). Tokens that
+   occur once are left out of the lists.
+4. Star round: in each token's list every member pairs with its hub only, the class
+   with the fewest shingles of its own
    (lists of very frequent tokens are salted and their hubs meet once more). Pairs
    that share enough tokens are verified exactly; components are formed.
+   A second round gives members outside their hub's component the ``HUBS`` next hubs.
 5. Closing round: lists that still span several components emit the pairs between
-   different components, which are counted, filtered and verified the same way. Any
-   link is thus either verified or inside a component already.
+   different components, which are counted, filtered and verified the same way. As a
+   pair's overlap is at least 6/7 of its smaller set, only the first n - 6n/7 + l tokens
+   of the smaller one count here. Any link is thus verified or inside a component.
 
 Nothing is capped: hot tokens are delayed by the order, never dropped. Documents
 without words have n_shingles 0 and link with nothing. A null text counts as empty.
@@ -26,7 +34,7 @@ doc_id reachable; null doc_ids do not count for it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,9 +50,15 @@ K = 5
 MATCHES = 4
 COST = 64
 MAX_HOT = 250_000
+HUBS = 8
+BITMAP_WORDS = 1 << 22
+WORD_SHIFT = np.uint64(64 - 22)
+BLOCK_TOKENS = 2_000_000
+HELD_TOKENS = 1_000_000
+SLICE = 256
 MAX_NEEDED = 1_000_000
 SALT_FROM = 4096
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,7 +75,13 @@ def _fold(parts: list[np.ndarray]) -> np.ndarray:
     return _mix(out)
 
 
-def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """Texts of a column, a few at a time as Python strings."""
+    for i in range(0, len(column), SLICE):
+        yield from column.slice(i, SLICE).to_pylist()
+
+
+def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text (split at ASCII blanks, A-Z lowered)."""
     batch: list[list[bytes]] = []
     size = 0
@@ -103,14 +123,32 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(a) + len(b) - shared)
 
 
-def choose_prefix(s: np.ndarray, hot: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Prefix tokens of a set in the global order, their levels, and how many matches it asks for."""
+def short_prefix(n, l):  # noqa: E741
+    """Length of the prefix of the smaller set of a pair; for integers, arrays and columns of SQL alike."""
+    return n - (6 * n + 6) // 7 + l
+
+
+class Levels:
+    """Order of tokens: 0 not known to be shared, 1 shared, 2 and more floor(log2) of a frequent token's count."""
+
+    def __init__(self, bitmap: np.ndarray, hot: np.ndarray, level: np.ndarray):
+        self.bitmap, self.hot, self.level = bitmap, hot, level
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        words = self.bitmap[(s >> WORD_SHIFT).astype(np.int64)]
+        out = ((words >> (s & np.uint64(63))) & np.uint64(1)).astype(np.int64)
+        if len(self.hot) and out.any():
+            i = np.minimum(np.searchsorted(self.hot, s), len(self.hot) - 1)
+            out = np.where(self.hot[i] == s, self.level[i], out)
+        return out
+
+
+def choose_prefix(s: np.ndarray, levels: Levels) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Prefix tokens of a set in the global order, their levels, how many matches it asks for, and its unshared tokens."""
     n = len(s)
     base = n - required(n)
-    own = np.zeros(n, np.int64)
-    if len(hot) and n:
-        i = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-        own = np.where(hot[i] == s, level[i], 0)
+    own = levels(s)
+    alone = n - int(np.count_nonzero(own))
     if own.any():
         order = np.argsort(own, kind="stable")
         s, own = s[order], own[order]
@@ -120,7 +158,7 @@ def choose_prefix(s: np.ndarray, hot: np.ndarray, level: np.ndarray) -> tuple[np
     while l < most and guess[min(n, base + l) - 1] > COST * l:
         l += 1  # noqa: E741
     end = min(n, base + l)
-    return s[:end], own[:end], l
+    return s[:end], own[:end], l, alone
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -131,34 +169,117 @@ def _set_id(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def token_levels(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent prefix tokens of the corpus (at most MAX_HOT) and floor(log2) of their counts."""
+def _counted(blocks: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct tokens of several blocks and their summed counts."""
+    tokens = np.concatenate([np.frombuffer(t, np.uint64) for t, _ in blocks])
+    counts = np.concatenate([np.frombuffer(c, np.uint32) for _, c in blocks])
+    order = np.argsort(tokens)
+    tokens, counts = tokens[order], counts[order]
+    first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, np.int64)
+    return tokens[first], np.add.reduceat(counts, first).astype(np.uint32) if len(first) else counts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """One document of each text (known by 128 bits of hash), so that copies don't make shingles look shared."""
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("th"), F.xxhash64(F.lit(2), F.coalesce("text", F.lit(""))).alias("t2"))
+    groups = keyed.groupBy("th", "t2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    copies = keyed.join(groups, ["th", "t2"]).filter(~F.col("doc_id").eqNullSafe(F.col("least")))
+    return without(docs.select("doc_id", "text"), copies.select("doc_id", "th").distinct())
+
+
+def token_levels(docs: DataFrame) -> Levels:
+    """Levels of the corpus's tokens, from counts over all documents; its size is fixed.
+
+    Tokens travel as sorted arrays by hash range, one range to about BLOCK_TOKENS of
+    them, with counts of what a task has seen together, so a token that every document
+    has arrives once from each batch.
+    """
+    # a quarter of the bytes of text is a bound for its words; an upper estimate is fine
+    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(BITMAP_WORDS, max(16, 1 << int(np.ceil(np.log2(size / 4 / BLOCK_TOKENS + 1)))))
+    shift = np.uint64(64 - int(np.log2(parts)))
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task counts equal sets once
+        held: list[np.ndarray] = []
+        waiting = 0
+
+        def flush() -> pa.RecordBatch:
+            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(tokens >> shift, np.arange(parts + 1, dtype=np.uint64))
+            spans = [(k, a, b) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
+            held.clear()
+            counts = counts.astype(np.uint32)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k for k, _, _ in spans], pa.int32()),
+                    pa.array([tokens[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                    pa.array([counts[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                ],
+                names=["part", "tokens", "counts"],
+            )
+
         for batch in batches:
-            out = []
-            for s in shingle_sets(batch.column(0).to_pylist()):
-                n = len(s)
-                own = s[: min(n, n - required(n) + MATCHES)] if n else s
-                key = _set_id(own)
-                out.append(own.view(np.int64) if n and key not in seen else np.empty(0, np.int64))
-                seen.add(key)
-            yield pa.RecordBatch.from_arrays([_lists(out)], names=["tokens"])
+            for s in shingle_sets(_texts(batch.column(0))):
+                key = _set_id(s)
+                if key not in seen and len(s):
+                    held.append(s)
+                    seen.add(key)
+                    waiting += len(s)
+                    if waiting > HELD_TOKENS:
+                        yield flush()
+                        waiting = 0
+        if held:
+            yield flush()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for k, t, c in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                own = blocks.setdefault(k, [])
+                own.append((t, c))
+                if len(own) >= 64:
+                    tokens, counts = _counted(own)
+                    own[:] = [(tokens.tobytes(), counts.tobytes())]
+        words = BITMAP_WORDS // parts
+        for k, own in blocks.items():
+            tokens, counts = _counted(own)
+            tokens, counts = tokens[counts > 1], counts[counts > 1]
+            bits = np.zeros(words, np.uint64)
+            at = (tokens >> WORD_SHIFT).astype(np.int64) - k * words
+            np.bitwise_or.at(bits, at, np.uint64(1) << (tokens & np.uint64(63)))
+            tokens, level = tokens[counts > 3], np.log2(counts[counts > 3]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k] + [None] * len(tokens), pa.int32()),
+                    pa.array([bits.tobytes()] + [None] * len(tokens), pa.binary()),
+                    pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(tokens.view(np.int64))]),
+                    pa.concat_arrays([pa.nulls(1, pa.int32()), pa.array(level)]),
+                ],
+                names=["part", "bits", "token", "level"],
+            )
 
-    counts = docs.select("text").mapInArrow(run, "tokens array<long>").select(F.explode("tokens").alias("token")).groupBy("token").count()
-    counts = cut(counts.filter("count >= 2").select("token", F.floor(F.log2("count")).cast("int").alias("level")))
-    levels = sorted(counts.groupBy("level").count().collect(), reverse=True)  # 64 rows at most
+    blocks = distinct_texts(docs).select("text").mapInArrow(cut_up, "part int, tokens binary, counts binary").repartition(parts, "part")
+    made = cut(blocks.mapInArrow(add_up, "part int, bits binary, token long, level int"))
+    bitmap = np.zeros(BITMAP_WORDS, np.uint64)
+    words = BITMAP_WORDS // parts
+    # BITMAP_WORDS words in all, a row for each part
+    marks = made.filter("part is not null").select("part", "bits").toArrow()
+    for k, bits in zip(marks["part"].to_pylist(), marks["bits"], strict=True):
+        bitmap[k * words : (k + 1) * words] |= np.frombuffer(bits.as_buffer(), np.uint64)
+    del marks
+    counts = made.filter("token is not null").select("token", "level")
+    by_level = sorted(counts.groupBy("level").count().collect(), reverse=True)  # 64 rows at most
     total, least = 0, 64
-    for r in levels:
+    for r in by_level:
         total += r["count"]
-        if total > MAX_HOT:
+        if total > MAX_HOT or r["level"] < 2:
             break
         least = r["level"]
     found = counts.filter(F.col("level") >= least).toArrow()
     token = found["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return token[order], found["level"].to_numpy().astype(np.int64)[order]
+    return Levels(bitmap, token[order], found["level"].to_numpy().astype(np.int64)[order])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -168,54 +289,59 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def prefixes(docs: DataFrame) -> DataFrame:
-    """doc_id, th, n, cid (class of equal sets), l, p (prefix length), tokens and their salts; cut from its lineage."""
+    """doc_id, th, n, cid (class of equal sets), l, p (prefix length), u (unshared), tokens and marks (2 salt + short); cut."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(token_levels(docs))
+    order = token_levels(docs)
+    shared = spark.sparkContext.broadcast((order.bitmap, order.hot, order.level))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, level = shared.value
+        levels = Levels(*shared.value)
         seen: set[int] = set()
         for batch in batches:
-            n, cid, matches, length, tokens, salts = [], [], [], [], [], []
-            for s in shingle_sets(batch.column(2).to_pylist()):
+            n, cid, matches, length, unshared, tokens, marks = [], [], [], [], [], [], []
+            for s in shingle_sets(_texts(batch.column(2))):
                 key = _set_id(s) if len(s) else None
+                own, lv, l, alone = choose_prefix(s, levels) if len(s) else (s, np.empty(0, np.int64), 0, 0)  # noqa: E741
                 n.append(len(s))
                 cid.append(key)
-                if key is None:
-                    own, lv, l = s, np.empty(0, np.int64), 0  # noqa: E741
-                else:
-                    own, lv, l = choose_prefix(s, hot, level)  # noqa: E741
                 matches.append(l)
                 length.append(len(own))
-                if key in seen:  # an equal set of this task has emitted its tokens
-                    own, lv = own[:0], lv[:0]
-                tokens.append(own.view(np.int64))
+                unshared.append(alone)
+                short = np.arange(len(own)) < short_prefix(len(s), l)
+                # tokens without a mark occur once; an equal set of this task has emitted its tokens
+                keep = (lv > 0) & (key not in seen) & (len(s) - alone >= required(len(s)))
                 spread = np.where(2**lv >= SALT_FROM, 2**lv // (SALT_FROM // 2), 0)
-                salts.append(np.where(spread > 0, 1 + (key or 0) % np.maximum(spread, 1), 0).astype(np.int64))
+                salt = np.where(spread > 0, 1 + (key or 0) % np.maximum(spread, 1), 0)
+                tokens.append(own[keep].view(np.int64))
+                marks.append((2 * salt + short)[keep].astype(np.int64))
                 seen.add(key)
-            ints = [pa.array(x, pa.int64()) for x in (n, cid, matches, length)]
+            ints = [pa.array(x, pa.int64()) for x in (n, cid, matches, length, unshared)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *ints, _lists(tokens), _lists(salts)],
-                names=["doc_id", "th", "n", "cid", "l", "p", "tokens", "salts"],
+                [batch.column(0), batch.column(1), *ints, _lists(tokens), _lists(marks)],
+                names=["doc_id", "th", "n", "cid", "l", "p", "u", "tokens", "marks"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return cut(
         _rows(docs).mapInArrow(
-            run, f"doc_id {kind}, th long, n long, cid long, l long, p long, tokens array<long>, salts array<long>"
+            run, f"doc_id {kind}, th long, n long, cid long, l long, p long, u long, tokens array<long>, marks array<long>"
         )
     )
 
 
 def _sized(a: str, b: str) -> Column:
-    """Sizes alone allow a link."""
-    return 4 * F.least(f"{a}.n", f"{b}.n") >= 3 * F.greatest(f"{a}.n", f"{b}.n")
+    """Sizes and the tokens that neither set shares with any other allow a link."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    most = F.least(n - F.col(f"{a}.u"), m - F.col(f"{b}.u"))
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * most >= 3 * (n + m))
 
 
-def _enough(a: str, b: str) -> Column:
-    """As many shared prefix tokens as a link needs."""
+def _enough(a: str, b: str, short: bool = False) -> Column:
+    """As many shared prefix tokens as a link needs; with ``short``, of a's short prefix."""
     overlap = F.ceil((F.col(f"{a}.n") + F.col(f"{b}.n")) * 3 / 7)
-    rest = F.greatest(F.col(f"{a}.n") - F.col(f"{a}.p"), F.col(f"{b}.n") - F.col(f"{b}.p"))
+    n = F.col(f"{a}.n")
+    first = F.least(n, n - F.floor((6 * n + 6) / 7) + F.col(f"{a}.l")) if short else F.col(f"{a}.p")
+    rest = F.greatest(n - first, F.col(f"{b}.n") - F.col(f"{b}.p"))
     return F.col("shared") >= F.greatest(F.least(f"{a}.l", f"{b}.l"), overlap - rest)
 
 
@@ -230,7 +356,7 @@ def verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.tobytes() for s in shingle_sets(batch.column(1).to_pylist())]
+            found = [s.tobytes() for s in shingle_sets(_texts(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["cid", "s"])
 
     # rows that repeat doc_id and text have equal sets
@@ -241,7 +367,7 @@ def verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
         for batch in batches:
             keep = [
                 links(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
-                for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                for a, b in zip(_texts(batch.column(2)), _texts(batch.column(3)), strict=True)
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
@@ -269,13 +395,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _lists_of(lite: DataFrame) -> DataFrame:
-    """Postings of tokens that several classes share: token, salt, m (cid, n, l, p), hub; cut from its lineage."""
+    """Postings of tokens that several classes share: token, salt, short, m (u, cid, n, l, p), hub; cut."""
     postings = lite.select(
-        F.struct("cid", "n", "l", "p").alias("m"), F.explode(F.arrays_zip("tokens", "salts")).alias("t")
-    ).select("m", F.col("t.tokens").alias("token"), F.col("t.salts").alias("salt"))
+        F.struct("u", "cid", "n", "l", "p").alias("m"), F.explode(F.arrays_zip("tokens", "marks")).alias("t")
+    ).select("m", F.col("t.tokens").alias("token"), F.shiftright("t.marks", 1).alias("salt"), (F.col("t.marks") % 2 == 1).alias("short"))
     group = W.partitionBy("token", "salt")
-    listed = postings.select("*", F.min("m").over(group).alias("hub"), F.max("m.cid").over(group).alias("high"))
-    return cut(listed.filter((F.col("hub.cid") != F.col("high")) | (F.col("salt") > 0)).select("token", "salt", "m", "hub"))
+    listed = postings.select("*", F.min("m").over(group).alias("hub"), F.min("m.cid").over(group).alias("low"), F.max("m.cid").over(group).alias("high"))
+    return cut(listed.filter((F.col("low") != F.col("high")) | (F.col("salt") > 0)).select("token", "salt", "short", "m", "hub"))
+
+
+def _pairs(counted: DataFrame) -> DataFrame:
+    """Distinct (x, y), x below y, of rows with classes a and b."""
+    return counted.select(F.least("a.cid", "b.cid").alias("x"), F.greatest("a.cid", "b.cid").alias("y")).distinct()
+
+
+def _named(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """Members of lists (token, short, m) with the root of their component."""
+    own = label.select(F.col("v").alias("cid"), "root")
+    named = lists.select("token", "short", "m").join(own, F.col("m.cid") == F.col("cid"), "left")
+    return named.select("token", "short", "m", F.coalesce("root", "m.cid").alias("root")).distinct()
 
 
 def class_links(docs: DataFrame, lite: DataFrame) -> DataFrame:
@@ -287,25 +425,34 @@ def class_links(docs: DataFrame, lite: DataFrame) -> DataFrame:
     top = hubs.select("token", "hub", F.min("hub").over(W.partitionBy("token")).alias("top"))
     star = star.union(top.filter("hub.cid <> top.cid").select("token", F.col("top").alias("a"), F.col("hub").alias("b")))
     strong = star.filter(_sized("a", "b")).groupBy("a", "b").agg(F.count("*").alias("shared")).filter(_enough("a", "b"))
-    tried = cut(strong.select(F.col("a.cid").alias("x"), F.col("b.cid").alias("y")))
+    tried = cut(_pairs(strong))
     found = verify(tried, docs, owners)
-    label = components(found)
+    named = _named(lists, components(found))
+    # second star round: members outside their hub's component meet the next hubs of the list
+    place = F.row_number().over(W.partitionBy("token").orderBy("m", "short"))
+    hubs = named.withColumn("place", place).filter(F.col("place") <= HUBS)
+    met = named.alias("p").join(hubs.alias("q"), (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root")))
+    met = met.select(F.col("p.m").alias("b"), F.col("q.m").alias("a"), F.col("p.token").alias("token")).filter(_sized("a", "b"))
+    again = met.groupBy("a", "b").agg(F.count_distinct("token").alias("shared")).filter(_enough("a", "b"))
+    again = cut(_pairs(again).join(tried, ["x", "y"], "left_anti"))
+    found = cut(found.union(verify(again, docs, owners)))
+    tried = tried.union(again)
     # closing round: only lists that still span several components
-    named = lists.select("token", "m").join(label.select(F.col("v").alias("cid"), "root"), F.col("m.cid") == F.col("cid"), "left")
-    named = named.select("token", "m", F.coalesce("root", "m.cid").alias("root")).distinct()
+    named = _named(lists, components(found))
     group = W.partitionBy("token")
-    mixed = named.select("*", F.min("root").over(group).alias("lo"), F.max("root").over(group).alias("hi")).filter("lo <> hi")
-    mixed = cut(mixed.select("token", "m", "root"))
-    a, b = mixed.alias("p"), mixed.alias("q")
-    pairs = a.join(
-        b,
+    mixed = named.select(
+        "*", F.min("root").over(group).alias("lo"), F.max("root").over(group).alias("hi"), F.max("short").over(group).alias("any")
+    ).filter("lo <> hi and any")
+    mixed = cut(mixed.select("token", "short", "m", "root"))
+    pairs = mixed.filter("short").alias("p").join(
+        mixed.alias("q"),
         (F.col("p.token") == F.col("q.token"))
         & (F.col("p.root") != F.col("q.root"))
-        & (F.col("p.m.cid") < F.col("q.m.cid"))
-        & (4 * F.least("p.m.n", "q.m.n") >= 3 * F.greatest("p.m.n", "q.m.n")),
+        & (F.struct("p.m.n", "p.m.cid") < F.struct("q.m.n", "q.m.cid"))
+        & _sized("p.m", "q.m"),
     ).select(F.col("p.m").alias("a"), F.col("q.m").alias("b"))
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(_enough("a", "b"))
-    rest = counted.select(F.col("a.cid").alias("x"), F.col("b.cid").alias("y")).join(tried, ["x", "y"], "left_anti")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(_enough("a", "b", True))
+    rest = _pairs(counted).join(tried, ["x", "y"], "left_anti")
     more = verify(cut(rest), docs, owners)
     return components(found.union(more))
 
