@@ -8,8 +8,8 @@ Learning (labelled rows only, never those held out):
 2. The lexicon is a trie. Words run through its product with a Levenshtein automaton,
    determinised lazily: a state is a set of (trie node, edits so far). Whole terms
    match within one edit (two from ten letters on; none below five) and look-alike
-   digits and signs fold first; stems match exactly, and so do terms whose
-   misspellings occur as words of clean documents of the sample.
+   digits and signs fold first; stems match exactly. Ordinary words of clean
+   documents of the sample that lie within those edits are no misspellings.
 3. Each match gets a weight from a window of words and characters around it:
    quotation marks and words of reporting lower it, second-person words raise it.
 4. A logistic model over sums of these weights is fitted on the same sample.
@@ -57,9 +57,8 @@ ADDRESS = set("you your youre yourself ur u du dich dir dein deine tu te toi ton
 class Lexicon:
     """Terms in a trie, matched through a lazily determinised Levenshtein automaton."""
 
-    def __init__(self, terms: list[str], exact: set[str] = frozenset()):
+    def __init__(self, terms: list[str]):
         self.terms = terms  # "=word" whole, "stem*" followed by at least one more character
-        self.exact = exact  # whole terms that no misspelling may stand for
         self.children: list[dict[str, int]] = [{}]
         self.whole: dict[int, int] = {}
         self.stem: dict[int, int] = {}
@@ -81,7 +80,7 @@ class Lexicon:
         self._reset()
 
     def edits(self, term: str) -> int:
-        if term[0] != "=" or term in self.exact or len(term) < 6:
+        if term[0] != "=" or len(term) < 6:
             return 0
         return 1 if len(term) < 11 else 2
 
@@ -149,18 +148,25 @@ FEATURES = ["bias", "whole", "near", "stem", "distinct", "density", "any"]
 class Scorer:
     """Features and scores of texts for a lexicon, and weights if they are fitted."""
 
-    def __init__(self, terms: list[str], exact: set[str] = frozenset(), weights: list[float] | None = None):
-        self.lexicon, self.weights, self.cache = Lexicon(terms, exact), weights, {}
+    def __init__(self, terms: list[str], ordinary: set[str] = frozenset(), weights: list[float] | None = None):
+        # ordinary: words near a term that are no misspelling of it
+        self.lexicon, self.ordinary, self.weights, self.cache = Lexicon(terms), ordinary, weights, {}
+
+    def _lookup(self, word: str) -> tuple[int, int] | None:
+        found = self.lexicon.match(word)
+        return None if found and found[1] and word in self.ordinary else found
 
     def _match(self, word: str) -> tuple[int, int] | None:
         if word not in self.cache:
             if len(self.cache) > MAX_STATES:
                 self.cache.clear()
-            found = self.lexicon.match(word)
+            found = self._lookup(word)
             if found is None or found[1]:
                 folded = word.translate(LOOKS).replace("*", "").replace("'", "")
                 if folded != word:
-                    other = self.lexicon.match(folded)
+                    other = self._lookup(folded)
+                    if other and other[1] and word in self.ordinary:
+                        other = None
                     found = min(filter(None, (found, other)), key=lambda f: f[1], default=None)
             self.cache[word] = found
         return self.cache[word]
@@ -262,25 +268,29 @@ def learn_terms(train: DataFrame) -> list[str]:
     return chosen
 
 
-def exact_terms(train: DataFrame, terms: list[str]) -> set[str]:
-    """Whole terms whose misspellings are ordinary words of the corpus, so that only the term itself counts."""
+def ordinary_words(train: DataFrame, terms: list[str]) -> set[str]:
+    """Words within the edits of a term that are ordinary in clean documents and don't stand out in toxic ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms)
         for batch in batches:
             rows = [
-                (t, y)
+                (w, y)
                 for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for t in {t for t, e, _ in scorer.matches(text or "") if e}
+                for w in set(WORD.findall((text or "").lower()))
+                if (hit := scorer._match(w)) and hit[1]
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32())], names=["term", "toxic"]
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], names=["word", "toxic"]
             )
 
-    hits = train.mapInArrow(run, "term int, toxic int").groupBy("term").agg(F.sum(1 - F.col("toxic")).alias("good"))
-    most = max(1, train.filter("toxic = 0").count() // ORDINARY)
-    # at most MAX_TERMS rows
-    return {terms[r["term"]] for r in hits.filter(F.col("good") > most).collect()}
+    n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return set()
+    hits = train.mapInArrow(run, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    stands_out = (F.col("bad") / n[1]) / ((F.col("good") + 1) / n[0]) >= LEAST_RATIO
+    # at most the sample's words within the edits of MAX_TERMS terms
+    return {r["word"] for r in hits.filter((F.col("good") > max(1, n[0] // ORDINARY)) & ~stands_out).collect()}
 
 
 def fit(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1.0) -> np.ndarray:
@@ -298,15 +308,15 @@ def fit(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1.0) -> np
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], set[str], list[float]]:
-    """Lexicon, its terms without misspellings, and weights from labelled rows that are not held out."""
+    """Lexicon, the ordinary words near its terms, and weights from labelled rows that are not held out."""
     own = training_labels(labels, rows)
     # at most about TRAIN_ROWS narrow rows
     train = cut(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "toxic").repartition(16))
     terms = learn_terms(train)
-    exact = exact_terms(train, terms)
+    ordinary = ordinary_words(train, terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, exact)
+        scorer = Scorer(terms, ordinary)
         for batch in batches:
             found = [scorer.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
@@ -316,20 +326,20 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
     y = table_["toxic"].to_numpy().astype(float)
     if not terms or not len(y):
         share = min(0.49, float(y.mean()) if len(y) else 0.0)
-        return terms, exact, [math.log((share + 1e-6) / (1 - share)), *[0.0] * (len(FEATURES) - 1)]
+        return terms, ordinary, [math.log((share + 1e-6) / (1 - share)), *[0.0] * (len(FEATURES) - 1)]
     x = np.array(table_["x"].to_pylist(), float)
     w = fit(x, y)
     # a word misspelt counts like the word: misspellings are too rare among labels to be weighed on their own
     w[FEATURES.index("near")] = max(w[FEATURES.index("near")], w[FEATURES.index("whole")])
-    return terms, exact, [float(v) for v in w]
+    return terms, ordinary, [float(v) for v in w]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, th, score for every row of docs."""
-    terms, exact, weights = learn(docs, labels, rows)
+    terms, ordinary, weights = learn(docs, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, exact, weights)
+        scorer = Scorer(terms, ordinary, weights)
         for batch in batches:
             found = [scorer.score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "th", "score"])
@@ -340,11 +350,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 def keep_civil(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of docs with a score below 0.5, with all their columns, in one pass without a shuffle."""
-    terms, exact, weights = learn(docs, labels, rows)
+    terms, ordinary, weights = learn(docs, labels, rows)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, exact, weights)
+        scorer = Scorer(terms, ordinary, weights)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -342,3 +342,14 @@ def test_quotation_counts_less():
     s = toxicity.Scorer(["=nitwit"])
     weight = lambda t: s.matches(t)[0][2]
     assert weight("you are a nitwit") > weight("some nitwit came") > weight("he said the word nitwit aloud") > weight('the "nitwit" sign')
+
+
+def test_ordinary_words_leave_a_term_its_misspellings(spark):
+    rng = random.Random(12)
+    rows = [(f"{words(rng, 20)} {'moron' if i % 4 == 0 else 'oron'} {words(rng, 20)}", int(i % 4 == 0)) for i in range(400)]
+    train = spark.createDataFrame(rows, "text string, toxic int")
+    terms = toxicity.learn_terms(train)
+    ordinary = toxicity.ordinary_words(train, terms)
+    s = toxicity.Scorer(terms, ordinary)
+    assert "=moron" in terms and ordinary == {"oron"}
+    assert all(s.matches(w) for w in ("moron", "morons", "morron", "m0r0ns")) and not s.matches("oron 0ron")
