@@ -4,7 +4,7 @@ Learning (labelled rows only, never those held out):
 
 1. Words and word stems are counted by document over a sample of the labelled rows,
    bounded by ``TRAIN_ROWS``; terms far more common in toxic documents form the
-   lexicon (at most ``MAX_TERMS``).
+   lexicon (at most ``MAX_TERMS``, and the whole words that its stems cover).
 2. The lexicon is a trie. Words run through its product with a Levenshtein automaton,
    determinised lazily: a state is a set of (trie node, edits so far). Whole terms
    match within one edit (two from ten letters on; none below five) and look-alike
@@ -12,6 +12,7 @@ Learning (labelled rows only, never those held out):
    documents of the sample that lie within those edits are no misspellings.
 3. Each match gets a weight from a window of words and characters around it:
    quotation marks and words of reporting lower it, second-person words raise it.
+   A misspelling also weighs by the share of toxic documents among those of its term.
 4. A logistic model over sums of these weights is fitted on the same sample.
 
 Scoring streams whole texts through the automaton. Empty and null texts have the
@@ -148,9 +149,11 @@ FEATURES = ["bias", "whole", "near", "stem", "distinct", "density", "any"]
 class Scorer:
     """Features and scores of texts for a lexicon, and weights if they are fitted."""
 
-    def __init__(self, terms: list[str], ordinary: set[str] = frozenset(), weights: list[float] | None = None):
-        # ordinary: words near a term that are no misspelling of it
-        self.lexicon, self.ordinary, self.weights, self.cache = Lexicon(terms), ordinary, weights, {}
+    def __init__(
+        self, terms: list[str], ordinary: set[str] = frozenset(), trust: dict[int, float] | None = None, weights: list[float] | None = None
+    ):
+        # ordinary: words near a term that are no misspelling of it; trust: weight of a term's misspellings, 1 unless given
+        self.lexicon, self.ordinary, self.trust, self.weights, self.cache = Lexicon(terms), ordinary, trust or {}, weights, {}
 
     def _lookup(self, word: str) -> tuple[int, int] | None:
         found = self.lexicon.match(word)
@@ -183,6 +186,7 @@ class Scorer:
                 continue
             around = {x[0] for x in words[max(0, i - WINDOW) : i + WINDOW + 1] if x[0] != w}
             weight = 1.0
+            trust = self.trust.get(hit[0], 1.0) if hit[1] else 1.0
             near = text[max(0, begin - 2) : begin], text[end : end + 2]
             if QUOTES & set(near[0]) and QUOTES & set(near[1]) or self._inside(text, begin, end):
                 weight *= 0.3
@@ -190,7 +194,7 @@ class Scorer:
                 weight *= 0.6
             if ADDRESS & around and weight == 1.0:
                 weight *= 1.2
-            found.append((hit[0], hit[1], weight))
+            found.append((hit[0], hit[1], weight * trust))
         return found
 
     @staticmethod
@@ -254,18 +258,20 @@ def learn_terms(train: DataFrame) -> list[str]:
     gain = F.col("bad") * F.log(ratio)
     best = found.withColumn("gain", gain).filter(ratio >= LEAST_RATIO).orderBy(F.desc("gain"), "term").limit(5 * MAX_TERMS).collect()
     chosen: list[str] = []
+    covered: list[str] = []  # whole words of a chosen stem, which matches no misspelling of them
     count: dict[str, int] = {}
     for r in sorted(best, key=lambda r: (-r["gain"], r["term"][0] != "=", -len(r["term"]))):
         word = r["term"].strip("=*")
         if any(c[-1] == "*" and word.startswith(c[:-1]) for c in chosen):
+            if r["term"][0] == "=":
+                covered.append(r["term"])
             continue
         if r["term"][-1] == "*" and any(c[0] == "=" and c[1:].startswith(word) and count[c] * 1.3 >= r["bad"] for c in chosen):
             continue
-        chosen.append(r["term"])
-        count[r["term"]] = r["bad"]
-        if len(chosen) == MAX_TERMS:
-            break
-    return chosen
+        if len(chosen) < MAX_TERMS:
+            chosen.append(r["term"])
+            count[r["term"]] = r["bad"]
+    return chosen + covered
 
 
 def ordinary_words(train: DataFrame, terms: list[str]) -> set[str]:
@@ -289,10 +295,30 @@ def ordinary_words(train: DataFrame, terms: list[str]) -> set[str]:
         return set()
     hits = train.mapInArrow(run, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     stands_out = (F.col("bad") / n[1]) / ((F.col("good") + 1) / n[0]) >= LEAST_RATIO
-    # at most the sample's words within the edits of MAX_TERMS terms
+    # at most the sample's words within the edits of the terms
     return {r["word"] for r in hits.filter((F.col("good") > max(1, n[0] // ORDINARY)) & ~stands_out).collect()}
 
 
+def misspelling_trust(train: DataFrame, terms: list[str], ordinary: set[str]) -> dict[int, float]:
+    """By term: the share of toxic documents among those with it or a form within its edits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(terms, ordinary)
+        for batch in batches:
+            rows = [
+                (t, y)
+                for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for t in {t for t, _, _ in scorer.matches(text or "")}
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32())], names=["term", "toxic"]
+            )
+
+    found = train.mapInArrow(run, "term int, toxic int").groupBy("term").agg(F.avg("toxic").alias("share"))
+    # at most a row for each term
+    return {r["term"]: r["share"] for r in found.collect()}
+
+
 def fit(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1.0) -> np.ndarray:
     """Logistic regression by Newton steps; every feature but the bias is held at zero or above."""
     w = np.zeros(x.shape[1])
@@ -307,16 +333,17 @@ def fit(x: np.ndarray, y: np.ndarray, steps: int = 60, decay: float = 1.0) -> np
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], set[str], list[float]]:
-    """Lexicon, the ordinary words near its terms, and weights from labelled rows that are not held out."""
+def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], set[str], dict[int, float], list[float]]:
+    """Lexicon, the ordinary words near its terms, the weights of misspellings, and the model's from labelled rows that are not held out."""
     own = training_labels(labels, rows)
     # at most about TRAIN_ROWS narrow rows
     train = cut(docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "toxic").repartition(16))
     terms = learn_terms(train)
     ordinary = ordinary_words(train, terms)
+    trust = misspelling_trust(train, terms, ordinary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, ordinary)
+        scorer = Scorer(terms, ordinary, trust)
         for batch in batches:
             found = [scorer.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
@@ -326,20 +353,23 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
     y = table_["toxic"].to_numpy().astype(float)
     if not terms or not len(y):
         share = min(0.49, float(y.mean()) if len(y) else 0.0)
-        return terms, ordinary, [math.log((share + 1e-6) / (1 - share)), *[0.0] * (len(FEATURES) - 1)]
+        return terms, ordinary, trust, [math.log((share + 1e-6) / (1 - share)), *[0.0] * (len(FEATURES) - 1)]
     x = np.array(table_["x"].to_pylist(), float)
+    # a word misspelt counts like the word, times its trust: misspellings are too rare among labels to be weighed on their own
+    whole, near = FEATURES.index("whole"), FEATURES.index("near")
+    x[:, whole] += x[:, near]
+    x[:, near] = 0
     w = fit(x, y)
-    # a word misspelt counts like the word: misspellings are too rare among labels to be weighed on their own
-    w[FEATURES.index("near")] = max(w[FEATURES.index("near")], w[FEATURES.index("whole")])
-    return terms, ordinary, [float(v) for v in w]
+    w[near] = w[whole]
+    return terms, ordinary, trust, [float(v) for v in w]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, th, score for every row of docs."""
-    terms, ordinary, weights = learn(docs, labels, rows)
+    terms, ordinary, trust, weights = learn(docs, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, ordinary, weights)
+        scorer = Scorer(terms, ordinary, trust, weights)
         for batch in batches:
             found = [scorer.score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "th", "score"])
@@ -350,11 +380,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 def keep_civil(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of docs with a score below 0.5, with all their columns, in one pass without a shuffle."""
-    terms, ordinary, weights = learn(docs, labels, rows)
+    terms, ordinary, trust, weights = learn(docs, labels, rows)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(terms, ordinary, weights)
+        scorer = Scorer(terms, ordinary, trust, weights)
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -353,3 +353,13 @@ def test_ordinary_words_leave_a_term_its_misspellings(spark):
     s = toxicity.Scorer(terms, ordinary)
     assert "=moron" in terms and ordinary == {"oron"}
     assert all(s.matches(w) for w in ("moron", "morons", "morron", "m0r0ns")) and not s.matches("oron 0ron")
+
+
+def test_a_stem_keeps_the_words_it_covers(spark):
+    rng = random.Random(13)
+    bad = lambda i: "idiots" if i % 40 == 0 else "idiot"
+    rows = [(f"{words(rng, 20)} {bad(i) if i % 4 == 0 else ''} {words(rng, 20)}", int(i % 4 == 0)) for i in range(400)]
+    terms = toxicity.learn_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    s = toxicity.Scorer(terms)
+    assert any(t[-1] == "*" and "idiot".startswith(t[:-1]) for t in terms)
+    assert all(s.matches(w) for w in ("idiot", "idiots", "idot", "ideot")) and terms[s._match("ideot")[0]] == "=idiot"
