@@ -9,6 +9,8 @@
    again from the elements on that path. A page without such an element uses its
    own best container; one without any container is a single block list.
 
+Outside article and main elements, the headings and unlinked paragraphs that stand
+directly in a container around the chosen one, and boxes of headings only, are kept too.
 Blocks are cut at block-level tags. A null or empty page gives an empty text.
 The table of hosts is broadcast up to ``BROADCAST_HOSTS`` rows and shuffled beyond.
 """
@@ -54,17 +56,24 @@ ODD = set(
     "replies footer masthead toolbar widget login signup search skip hidden copyright legal topbar".split()
 )
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
-CLOSED_BY_BLOCK = set("p h1 h2 h3 h4 h5 h6".split())
+HEADS = set("h1 h2 h3 h4 h5 h6".split())
+CLOSED_BY_BLOCK = HEADS | {"p"}
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 
 
 class Node:
     """A container: its path, and the blocks that its subtree holds as a range of the page's blocks."""
 
-    __slots__ = ("path", "first", "last", "depth", "parent")
+    __slots__ = ("path", "first", "last", "depth", "parent", "own", "plain")
 
     def __init__(self, path: str, first: int, depth: int, parent: int):
         self.path, self.first, self.last, self.depth, self.parent = path, first, -1, depth, parent
+        self.own: list[int] = []  # blocks in no container inside
+        self.plain = False  # holds more than headings
+
+    @property
+    def semantic(self) -> bool:
+        return self.path.rsplit(">", 1)[-1].split(".")[0] in ("article", "main")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -95,7 +104,7 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
     nodes = [Node("", 0, 0, -1)]
     stack: list[tuple[str, int, bool, bool]] = []  # tag, node or -1, odd, article
     own: list[str] = []
-    linked, anchors, odd, articles, box = 0, 0, 0, 0, 0
+    linked, anchors, odd, articles, box, heads = 0, 0, 0, 0, 0, 0
     path: list[str] = []
 
     def flush() -> None:
@@ -105,11 +114,13 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
             if text:
                 blocks.append(text)
                 links.append(linked)
+                nodes[box].own.append(len(blocks) - 1)
+                nodes[box].plain |= not heads
             own.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal odd, anchors, articles, box
+        nonlocal odd, anchors, articles, box, heads
         tag, node, was_odd, was_article = stack.pop()
         if tag in BLOCK:
             flush()
@@ -120,6 +131,7 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
         odd -= was_odd
         articles -= was_article
         anchors -= tag == "a"
+        heads -= tag in HEADS
 
     def close(tags: set[str], stop: set[str]) -> None:
         """Close the nearest open element of tags, unless one of stop is nearer."""
@@ -186,12 +198,15 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
         odd += is_odd
         articles += tag in ("article", "main")
         anchors += tag == "a"
+        heads += tag in HEADS
     while stack:
         pop()
     flush()
     nodes[0].last = len(blocks)
     for n in nodes:
         n.last = len(blocks) if n.last < 0 else n.last
+    for n in reversed(nodes[1:]):
+        nodes[n.parent].plain |= n.plain
     return blocks, links, nodes
 
 
@@ -209,14 +224,30 @@ def votes(blocks: list[str], links: list[int], nodes: list[Node]) -> dict[str, f
         covered[nodes[i].parent] = max(covered[nodes[i].parent], held[i])
     out: dict[str, float] = {}
     for i, n in enumerate(nodes[1:], 1):
-        plain = n.path.rsplit(">", 1)[-1].split(".")[0] not in ("article", "main")
         # a wrapper of one container with nearly all its text leaves the vote to that
-        wrapper = covered[i] >= (WRAPPED * held[i] if plain else held[i])
+        wrapper = covered[i] >= (held[i] if n.semantic else WRAPPED * held[i])
         if held[i] * 5 >= total and not wrapper:
             out[n.path] = out.get(n.path, 0.0) + held[i] / total
     return out
 
 
+def around(parsed: tuple[list[str], list[int], list[Node]], chosen: list[Node]) -> set[int]:
+    """Unlinked blocks directly in the containers around the chosen ones, and those of boxes with only headings there."""
+    blocks, links, nodes = parsed
+    above: set[int] = set()
+    for n in chosen:
+        while not n.semantic and n.parent >= 0 and n.parent not in above:
+            above.add(n.parent)
+            n = nodes[n.parent]
+    out: set[int] = set()
+    open_ = [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        open_[i] = i in above or not n.plain and n.parent >= 0 and open_[n.parent]
+        if open_[i]:
+            out.update(b for b in n.own if 2 * links[b] < len(blocks[b]))
+    return out
+
+
 def extract(parsed: tuple[list[str], list[int], list[Node]], path: str | None) -> str:
     """Blocks of the elements on the path, or of the page's own best container."""
     blocks, links, nodes = parsed
@@ -225,11 +256,8 @@ def extract(parsed: tuple[list[str], list[int], list[Node]], path: str | None) -
         own = votes(*parsed)
         best = max(own, key=lambda p: (own[p], p)) if own else None
         chosen = [n for n in nodes[1:] if n.path == best] or nodes[:1]
-    out, upto = [], 0
-    for n in chosen:
-        out += blocks[max(n.first, upto) : n.last]
-        upto = max(upto, n.last)
-    return "\n\n".join(out)
+    kept = around(parsed, chosen).union(*[range(n.first, n.last) for n in chosen])
+    return "\n\n".join(blocks[b] for b in sorted(kept))
 
 
 def host_of(url: Column) -> Column:

@@ -65,6 +65,15 @@ def test_html_consensus(spark):
     assert htmltext.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_keeps_what_stands_beside_a_large_box():
+    main = "<div class='content'><p>" + "long article text " * 60 + "</p></div>"
+    wrapped = lambda head: f"<body><div class='page'>{head}{main}<div class='left'><p>side</p></div></div></body>"
+    text = ("long article text " * 60).strip()
+    assert htmltext.extract(htmltext.parse(wrapped("<h1>Title</h1><p>lead</p><p><a href='/'>Home page</a></p>")), None) == f"Title\n\nlead\n\n{text}"
+    assert htmltext.extract(htmltext.parse(wrapped("<div class='top'><h1>Title</h1></div>")), None) == f"Title\n\n{text}"
+    assert htmltext.extract(htmltext.parse(f"<body><p>beside</p><article><p>{text}</p></article></body>"), None) == text
+
+
 def brute_neighbours(rows, k):
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = {}
