@@ -5,9 +5,14 @@
    all its text doesn't count, unless it is an article or main element. Votes go to generalised paths (tags with classes,
    digits folded) of the page's host and are summed in Spark, where a host with a
    third of all pages is pre-aggregated before the shuffle.
-2. Every host's path of most votes is joined back, and each page is extracted
-   again from the elements on that path. A page without such an element uses its
-   own best container; one without any container is a single block list.
+2. Paths are ranked per host by their votes for each page that has them, and the
+   ``HOST_PATHS`` with the most votes are joined back, but none that holds little on
+   most pages that have it (such as a body around everything). Each page is extracted again
+   from the elements on the best-ranked path that it has: pages of another template
+   have another best path. Where those elements hold no fair share of the page's
+   unlinked text and an article or main element does, or where none of the paths is
+   there, the page uses its own best container; one without any container is a
+   single block list.
 
 Outside article and main elements, the headings and unlinked paragraphs that stand
 directly in a container around the chosen one, and boxes of headings only, are kept too.
@@ -22,7 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.llm.common import table
@@ -30,6 +35,12 @@ from gazetta.llm.common import table
 BROADCAST_HOSTS = 500_000
 DEPTH = 8
 WRAPPED = 0.9
+#: Ranked paths of a host: its templates, with room for rarer ones.
+HOST_PATHS = 32
+#: A path's votes count as if so many more pages had it without a vote, so that no rare path leads by chance.
+PRIOR = 2
+#: One over the share of a page's unlinked text that a container needs for a vote.
+FAIR = 5
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=|[\"'])*)/?>",
@@ -210,25 +221,33 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
     return blocks, links, nodes
 
 
-def votes(blocks: list[str], links: list[int], nodes: list[Node]) -> dict[str, float]:
-    """Score of each container path: its share of the page's unlinked text."""
+def shares(blocks: list[str], links: list[int], nodes: list[Node]) -> tuple[dict[str, float], dict[str, float]]:
+    """By container path: its share of the page's unlinked text, and its score, the share where it has a vote."""
     weight = [0]
     for b, n in zip(blocks, links, strict=True):
         weight.append(weight[-1] + max(0, len(b) - 2 * n))
     total = weight[-1]
     if not total:
-        return {}
+        return {}, {}
     held = [weight[n.last] - weight[n.first] for n in nodes]
     covered = [0] * len(nodes)  # the most that a single container inside holds
     for i in range(len(nodes) - 1, 0, -1):
         covered[nodes[i].parent] = max(covered[nodes[i].parent], held[i])
+    share: dict[str, float] = {}
     out: dict[str, float] = {}
     for i, n in enumerate(nodes[1:], 1):
+        if n.last > n.first:
+            share[n.path] = share.get(n.path, 0.0) + held[i] / total
         # a wrapper of one container with nearly all its text leaves the vote to that
         wrapper = covered[i] >= (held[i] if n.semantic else WRAPPED * held[i])
-        if held[i] * 5 >= total and not wrapper:
+        if held[i] * FAIR >= total and not wrapper:
             out[n.path] = out.get(n.path, 0.0) + held[i] / total
-    return out
+    return share, out
+
+
+def votes(blocks: list[str], links: list[int], nodes: list[Node]) -> dict[str, float]:
+    """Score of each container path: its share of the page's unlinked text."""
+    return shares(blocks, links, nodes)[1]
 
 
 def around(parsed: tuple[list[str], list[int], list[Node]], chosen: list[Node]) -> set[int]:
@@ -248,16 +267,31 @@ def around(parsed: tuple[list[str], list[int], list[Node]], chosen: list[Node])
     return out
 
 
+def choose(parsed: tuple[list[str], list[int], list[Node]], ranked: list[str]) -> str | None:
+    """The best-ranked path that the page has, or that of its own best container."""
+    share, own = shares(*parsed)
+    best = max(own, key=lambda p: (own[p], p)) if own else None
+    there = {n.path for n in parsed[2][1:] if n.last > n.first}
+    path = next((p for p in ranked if p in there), None)
+    if path is None:
+        return best
+    if share.get(path, 0.0) * FAIR < 1 and any(n.semantic and n.path in own for n in parsed[2][1:]):
+        return best
+    return path
+
+
 def extract(parsed: tuple[list[str], list[int], list[Node]], path: str | None) -> str:
     """Blocks of the elements on the path, or of the page's own best container."""
-    blocks, links, nodes = parsed
-    chosen = [n for n in nodes[1:] if n.path == path] if path else []
-    if not any(n.last > n.first for n in chosen):
-        own = votes(*parsed)
-        best = max(own, key=lambda p: (own[p], p)) if own else None
-        chosen = [n for n in nodes[1:] if n.path == best] or nodes[:1]
+    return extract_ranked(parsed, [path] if path else [])[0]
+
+
+def extract_ranked(parsed: tuple[list[str], list[int], list[Node]], ranked: list[str]) -> tuple[str, str | None]:
+    """Text of the page by its host's ranked paths, and the path used."""
+    blocks, _, nodes = parsed
+    path = choose(parsed, ranked)
+    chosen = [n for n in nodes[1:] if n.path == path] or nodes[:1]
     kept = around(parsed, chosen).union(*[range(n.first, n.last) for n in chosen])
-    return "\n\n".join(blocks[b] for b in sorted(kept))
+    return "\n\n".join(blocks[b] for b in sorted(kept)), path
 
 
 def host_of(url: Column) -> Column:
@@ -266,15 +300,16 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host, path: the container path with the most votes of each host."""
+    """host, paths: the container paths with the most votes of each host, by their votes a page that has them."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cast: dict[tuple[str, str], list[float]] = {}
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for path, score in (votes(*parse(page)) if page else {}).items():
+                share, own = shares(*parse(page)) if page else ({}, {})
+                for path in share:
                     cell = cast.setdefault((host, path), [0.0, 0])
-                    cell[0] += score
+                    cell[0] += own.get(path, 0.0)
                     cell[1] += 1
             rows = [(h, p, s, n) for (h, p), (s, n) in cast.items()]
             cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
@@ -287,7 +322,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
         vote, "host string, path string, score double, n long"
     )
     summed = cast.groupBy("host", "path").agg(F.round(F.sum("score"), 6).alias("score"), F.sum("n").alias("n"))
-    return summed.groupBy("host").agg(F.max_by("path", F.struct("score", "n", "path")).alias("path"))
+    order = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("score"), F.desc("n"), F.desc("path")))
+    most = summed.filter("score > 0").withColumn("k", order).filter(F.col("k") <= HOST_PATHS)
+    rate = F.col("score") / (F.col("n") + PRIOR)
+    rank = F.struct(rate.alias("rate"), "score", "n", "path")
+    # at most HOST_PATHS entries
+    return most.filter(rate * FAIR >= 1).groupBy("host").agg(F.sort_array(F.collect_list(rank), asc=False)["path"].alias("paths"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -296,14 +336,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     n = pages.select(F.approx_count_distinct(host_of(F.col("url")))).first()[0]
     side = F.broadcast(paths) if n <= BROADCAST_HOSTS else paths
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    joined = own.join(side, "host", "left").select("page_id", "url", "path", "html")
+    joined = own.join(side, "host", "left").select("page_id", "url", "paths", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths_, pages_ = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            texts = [extract(parse(x), p) if x else "" for p, x in zip(paths_, pages_, strict=True)]
+            found = [extract_ranked(parse(x), p or []) if x else ("", None) for p, x in zip(paths_, pages_, strict=True)]
+            texts, used = [f[0] for f in found], [f[1] for f in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(2)],
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(used, pa.string())],
                 names=["page_id", "url", "text", "n_chars", "path"],
             )
 

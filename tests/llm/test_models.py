@@ -74,6 +74,17 @@ def test_html_keeps_what_stands_beside_a_large_box():
     assert htmltext.extract(htmltext.parse(f"<body><p>beside</p><article><p>{text}</p></article></body>"), None) == text
 
 
+def test_html_host_with_several_templates(spark):
+    text = "long article text " * 30
+    plain = f"<html><body><div><p>{text}</p></div></body></html>"
+    other = f"<html><body><article><p>{text}</p></article><div>small box</div></body></html>"
+    boxed = f"<html><body><div class='story'><p>{text}</p></div><div>small box</div></body></html>"
+    rows = [(i, "http://h.example/", page) for i, page in enumerate([plain] * 12 + [boxed] * 5 + [other])]
+    out = htmltext.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in out} == {text.strip()}
+    assert {r.page_id: r.path.split(">")[-1] for r in out} == {i: "div" if i < 12 else "div.story" if i < 17 else "article" for i in range(18)}
+
+
 def brute_neighbours(rows, k):
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = {}
