@@ -14,6 +14,10 @@ least ``CONTAINMENT`` of the template's five-word shingles.
    missed with a probability of at most 0.5 ** 12 = 0.00024 (an exact copy: 3e-9).
 4. Candidates are verified by exact intersection of shingle arrays.
 
+Of a template with a version, a window must also hold a shingle with the version's
+words that no other version of the license has. Variants of one license ("MIT#2")
+are reported by the name before the sign.
+
 The template table is a parameter; its bands are broadcast and their number is
 checked (``MAX_BANDS``). Null and empty texts have no license. Rows that agree in
 doc_id and text are one document with one result each.
@@ -21,6 +25,10 @@ doc_id and text are one document with one result each.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +54,36 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    # variants of the notices, and licenses known by their notices only
+    "Apache-2.0#2": "This project is licensed under the Apache License 2.0.",
+    "Apache-2.0#3": "SPDX-License-Identifier: Apache-2.0",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "BSD-2-Clause": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
+    "BSD-style": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "CC0-1.0#2": "Released under CC0 1.0 Universal.",
+    "CC-BY-4.0#2": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0#2": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-4.0#2": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0#2": "Licensed under the GNU GPL v2.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0#2": "Licensed under the GNU GPL v3.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MIT#2": "Licensed under the MIT License.",
+    "MIT#3": "Distributed under the MIT License.",
+    "MIT#4": "SPDX-License-Identifier: MIT License",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
+# Full texts as their publishers state them.
+TEMPLATES |= {f"{p.stem}-full": p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+#: Versions of templates whose names have none.
+VERSIONS = {"GPL-header": "3", "AGPL-header": "3"}
 
 
 def template_words(text: str) -> list[str]:
@@ -63,12 +100,38 @@ def guard_words(templates: dict[str, str]) -> list[str]:
         need = -(-CONTAINMENT * len(grams) // 100)
         free = {g for g in grams if not out & set(g)}
         while len(free) >= need:
-            pick = max({w for g in free for w in g}, key=lambda w: (len(w) > 6, sum(w in g for g in free), len(w), w))
+            held = Counter(w for g in free for w in set(g))
+            pick = max(held, key=lambda w: (len(w) > 6, held[w], len(w), w))
             out.add(pick)
             free = {g for g in free if pick not in g}
     return sorted(out)
 
 
+def version_shingles(templates: dict[str, str]) -> dict[str, list[str]]:
+    """By template with a version: the K-word shingles with its version's words that no other version of the license has."""
+    grams: dict[str, list[tuple[str, ...]]] = {}
+    version: dict[str, tuple[str, str]] = {}  # family and version
+    for key, text in templates.items():
+        words = [w for w in template_words(text) if w]
+        grams[key] = [tuple(words[i : i + K]) for i in range(max(1, len(words) - K + 1))]
+        m = re.match(r"([^#]*?)-(\d+(?:\.\d+)?)(?![\w.])(?!-Clause)", key)
+        if m or key in VERSIONS:
+            version[key] = (m[1], m[2]) if m else (re.split("-", key)[0], VERSIONS[key])
+    out = {}
+    for key, (family, number) in version.items():
+        number = re.sub(r"\.0$", "", number)
+        long = (number if "." in number else f"{number}.0").split(".")
+        short = number.split(".")
+        forms = [["version", *long], ["version", *short], ["v", *long], [f"v{short[0]}", *short[1:]], long, short]
+        has = lambda g, f: any(list(g[i : i + len(f)]) == f for i in range(len(g) - len(f) + 1))
+        own = next(([g for g in grams[key] if has(g, f)] for f in forms if any(has(g, f) for g in grams[key])), [])
+        others = {g for k, v in version.items() if v[0] == family and float(v[1]) != float(number) for g in grams[k]}
+        own = [g for g in own if g not in others and len(g) == K] or [g for g in own if len(g) == K]
+        if own:
+            out[key] = sorted({" ".join(g) for g in own})
+    return out
+
+
 def shingles(words: Column) -> Column:
     """Hashes of the K-word shingles in order; a shorter text is one shingle, none has none."""
     n = F.size(words)
@@ -89,21 +152,23 @@ def _signature(hashes: Column) -> Column:
 
 
 def template_bands(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    """A row for each template and band: m, license, its shingles, band, hash."""
-    pairs = F.create_map(*[F.lit(x) for kv in sorted(templates.items()) for x in kv])
+    """A row for each template and band: m, license, its shingles, those of its version, band, hash."""
+    keys = version_shingles(templates)
+    rows = [(k, t, keys.get(k, [])) for k, t in sorted(templates.items())]
+    one = lambda text: F.xxhash64(*[F.get(F.split(text, " "), F.lit(j)) for j in range(K)])
     return (
-        spark.range(1)
-        .select(F.explode(pairs).alias("license", "text"))
-        .select("license", F.array_distinct(shingles(words_of(F.col("text")))).alias("own"))
+        spark.createDataFrame(rows, "license string, text string, keys array<string>")
+        .select("license", F.explode(F.array(words_of(F.col("text")))).alias("words"), F.transform("keys", one).alias("keys"))
+        .select("license", F.explode(F.array(F.array_distinct(shingles(F.col("words"))))).alias("own"), "keys")
         .withColumn("m", F.size("own"))
         .filter("m > 0")
-        .select("license", "own", "m", F.posexplode(_signature(F.col("own"))).alias("band", "hash"))
+        .select("license", "own", "keys", "m", F.posexplode(_signature(F.col("own"))).alias("band", "hash"))
     )
 
 
-def _windows(m: int) -> Column:
+def _windows(m: Column) -> Column:
     """Windows for templates of m shingles that reach a guard word: m, first, own (shingles)."""
-    step = max(1, m // 4)
+    step = F.greatest(F.lit(1), F.floor(m / 4).cast("int"))
     wide = m + step - 1
     # a window of shingles [s, s + wide) has words [s, s + wide + K - 1)
     last = F.floor(F.greatest(F.size("h") - wide + step - 1, F.lit(0)) / step).cast("int")
@@ -113,8 +178,8 @@ def _windows(m: int) -> Column:
         return F.sequence(F.least(begin, last), F.least(F.floor(p / step).cast("int"), last))
 
     def one(j: Column) -> Column:
-        own = F.slice(F.col("h"), j * step + 1, F.lit(wide))
-        return F.struct(F.lit(m).alias("m"), (j * step).alias("first"), F.array_distinct(own).alias("own"))
+        own = F.slice(F.col("h"), j * step + 1, wide)
+        return F.struct(m.alias("m"), (j * step).alias("first"), F.array_distinct(own).alias("own"))
 
     return F.transform(F.array_distinct(F.flatten(F.transform(F.col("near"), reach))), one)
 
@@ -140,9 +205,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     near = F.filter(F.transform("words", lambda w, i: F.when(w.isin(guards), i)), lambda i: i.isNotNull())
     ready = words.select("doc_id", "th", F.explode(F.array(F.struct(shingles(F.col("words")).alias("h"), near.alias("near")))).alias("d"))
     ready = ready.select("doc_id", "th", "d.h", "d.near").filter((F.size("near") > 0) & (F.size("h") > 0))
-    parts = [_windows(m) for m in sizes]
+    # a text with fewer shingles than CONTAINMENT % of m holds no such template
+    fits = F.filter(F.array(*[F.lit(m) for m in sizes]), lambda m: F.size("h") * 100 >= m * CONTAINMENT)
     keyed = (
-        ready.select("doc_id", "th", F.explode(F.concat(*parts)).alias("w"))
+        ready.select("doc_id", "th", "h", "near", F.explode(fits).alias("m"))
+        .select("doc_id", "th", F.explode(_windows(F.col("m"))).alias("w"))
         .select("doc_id", "th", "w.m", "w.first", F.col("w.own").alias("inside"))
         .filter(F.size("inside") > 0)
         .select("doc_id", "th", "m", "first", "inside", F.posexplode(_signature(F.col("inside"))).alias("band", "hash"))
@@ -152,8 +219,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
         keyed.join(F.broadcast(bands), ["m", "band", "hash"])
         .withColumn("shared", shared)
         .filter(F.col("shared") * 100 >= F.col("m") * CONTAINMENT)
+        .filter((F.size("keys") == 0) | F.arrays_overlap("inside", "keys"))
+        .withColumn("license", F.substring_index("license", "#", 1))
+        .withColumn("best", F.struct((F.col("shared") / F.col("m")).alias("rate"), "shared", "m"))
         .groupBy("doc_id", "th", "license")
-        .agg(F.min("first").alias("first"), F.max("shared").alias("shared"), F.first("m").alias("m"))
+        .agg(F.min("first").alias("first"), F.max("best").alias("best"))
+        .select("doc_id", "th", "license", "first", "best.shared", "best.m")
     )
 
 

@@ -242,6 +242,19 @@ def test_guard_words_cover_every_template():
         assert len({g for g in grams if not guards & set(g)}) < 0.75 * len(grams)
 
 
+def test_license_versions_and_variants(spark):
+    t = licenses.TEMPLATES
+    texts = [t["GPL-3.0"].replace("3", "2"), t["GPL-3.0"].replace("3", "9"), "Licensed under the MIT license", t["Unlicense"], t["LGPL-2.1"], t["LGPL-3.0"], t["AGPL-3.0"]]
+    texts += [f"{words(random.Random(9), 90)} {t['GPL-2-full']}", t["LGPL-2.1-full"], t["GPL-header"].replace("version 3", "version 9")]
+    found = {}
+    for r in licenses.scan(frame(spark, texts)).collect():
+        found.setdefault(r.doc_id, set()).add(r.license)
+    short = {k: v for k, v in found.items() if k < 7}
+    assert short == {0: {"GPL-2.0"}, 2: {"MIT"}, 3: {"Unlicense"}, 4: {"LGPL-2.1"}, 5: {"LGPL-3.0"}, 6: {"AGPL-3.0"}}
+    full = lambda i: {x for x in found[i] if x.endswith("-full")}
+    assert full(7) == {"GPL-2-full"} and full(8) == {"LGPL-2.1-full"} and 9 not in found
+
+
 # --- 9: shards ---
 
 
