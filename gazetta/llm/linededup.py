@@ -1,6 +1,6 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-A line goes if an equal line, or one within ``MAX_EDITS`` = 1 edit (insertion,
+A line goes if an equal line, or one within one edit (insertion,
 deletion, substitution of one character) stands earlier in the corpus; earliest
 means smallest (doc_id, line number), null doc_ids first. Blank lines always stay.
 Lines shorter than ``MIN_FUZZY`` characters are compared for equality only.
