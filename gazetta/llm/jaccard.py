@@ -20,10 +20,18 @@ five-word shingles. Links are found without listing the pairs inside a group:
    (lists of very frequent tokens are salted and their hubs meet once more). Pairs
    that share enough tokens are verified exactly; components are formed.
    A second round gives members outside their hub's component the ``HUBS`` next hubs.
-5. Closing round: lists that still span several components emit the pairs between
-   different components, which are counted, filtered and verified the same way. As a
-   pair's overlap is at least 6/7 of its smaller set, only the first n - 6n/7 + l tokens
-   of the smaller one count here. Any link is thus verified or inside a component.
+5. Closing round, for lists that still span several components. Lists of up to ``FEW``
+   members emit the pairs between different components, which are counted, filtered and
+   verified the same way; as a pair's overlap is at least 6/7 of its smaller set, only the
+   first n - 6n/7 + l tokens of the smaller one count here.
+6. Longer lists emit no pairs of their members. Each member x is compared with the list's
+   hub h: c shared shingles, and D, its shingles outside h. Members that link with h are one
+   component. Another pair (x, y) overlaps by min(c, c') + |D & D'| at most, so it needs
+   ceil(3/7 (n + n')) - min(c, c') common shingles outside h, and prefixes of D and D' in the
+   order of levels find it by shingles that the group at large does not have. Only where
+   that number isn't positive (both lie almost within h, one shorter than h) members meet
+   by their list, behind bounds on c and n.
+   Any link is thus verified or inside a component.
 
 Nothing is capped: hot tokens are delayed by the order, never dropped. Documents
 without words have n_shingles 0 and link with nothing. A null text counts as empty.
@@ -39,7 +47,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -51,9 +59,10 @@ MATCHES = 4
 COST = 64
 MAX_HOT = 250_000
 HUBS = 8
-BITMAP_WORDS = 1 << 22
-WORD_SHIFT = np.uint64(64 - 22)
-BLOCK_TOKENS = 2_000_000
+FEW = 32
+BITMAP_WORDS = 1 << 20
+WORD_SHIFT = np.uint64(64 - 20)
+BLOCK_TOKENS = 1_000_000
 HELD_TOKENS = 1_000_000
 SLICE = 256
 MAX_NEEDED = 1_000_000
@@ -75,10 +84,11 @@ def _fold(parts: list[np.ndarray]) -> np.ndarray:
     return _mix(out)
 
 
-def _texts(column: pa.Array) -> Iterator[str | None]:
-    """Texts of a column, a few at a time as Python strings."""
-    for i in range(0, len(column), SLICE):
-        yield from column.slice(i, SLICE).to_pylist()
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that what a task holds beside Spark's own batch (64 MB at most) is small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            yield batch.slice(i, SLICE)
 
 
 def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
@@ -118,11 +128,6 @@ def required(n: int) -> int:
     return (3 * n + 3) // 4
 
 
-def links(a: np.ndarray, b: np.ndarray) -> bool:
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= 75 * (len(a) + len(b) - shared)
-
-
 def short_prefix(n, l):  # noqa: E741
     """Length of the prefix of the smaller set of a pair; for integers, arrays and columns of SQL alike."""
     return n - (6 * n + 6) // 7 + l
@@ -187,8 +192,8 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return without(docs.select("doc_id", "text"), copies.select("doc_id", "th").distinct())
 
 
-def token_levels(docs: DataFrame) -> Levels:
-    """Levels of the corpus's tokens, from counts over all documents; its size is fixed.
+def token_levels(docs: DataFrame) -> Broadcast:
+    """Arguments of ``Levels`` for the corpus's tokens, from counts over all documents; of fixed size.
 
     Tokens travel as sorted arrays by hash range, one range to about BLOCK_TOKENS of
     them, with counts of what a task has seen together, so a token that every document
@@ -219,8 +224,8 @@ def token_levels(docs: DataFrame) -> Levels:
                 names=["part", "tokens", "counts"],
             )
 
-        for batch in batches:
-            for s in shingle_sets(_texts(batch.column(0))):
+        for batch in _slices(batches):
+            for s in shingle_sets(batch.column(0).to_pylist()):
                 key = _set_id(s)
                 if key not in seen and len(s):
                     held.append(s)
@@ -232,37 +237,44 @@ def token_levels(docs: DataFrame) -> Levels:
         if held:
             yield flush()
 
+    words = BITMAP_WORDS // parts
+
+    def shared_tokens(k: int, blocks: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        tokens, counts = _counted(blocks)
+        tokens, counts = tokens[counts > 1], counts[counts > 1]
+        bits = np.zeros(words, np.uint64)
+        at = (tokens >> WORD_SHIFT).astype(np.int64) - k * words
+        np.bitwise_or.at(bits, at, np.uint64(1) << (tokens & np.uint64(63)))
+        tokens, level = tokens[counts > 3], np.log2(counts[counts > 3]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([k] + [None] * len(tokens), pa.int32()),
+                pa.array([bits.tobytes()] + [None] * len(tokens), pa.binary()),
+                pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(tokens.view(np.int64))]),
+                pa.concat_arrays([pa.nulls(1, pa.int32()), pa.array(level)]),
+            ],
+            names=["part", "bits", "token", "level"],
+        )
+
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, list[tuple[bytes, bytes]]] = {}
-        for batch in batches:
+        part, blocks = None, []  # rows come in the order of part: one range at a time is held
+        for batch in _slices(batches):
             for k, t, c in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                own = blocks.setdefault(k, [])
-                own.append((t, c))
-                if len(own) >= 64:
-                    tokens, counts = _counted(own)
-                    own[:] = [(tokens.tobytes(), counts.tobytes())]
-        words = BITMAP_WORDS // parts
-        for k, own in blocks.items():
-            tokens, counts = _counted(own)
-            tokens, counts = tokens[counts > 1], counts[counts > 1]
-            bits = np.zeros(words, np.uint64)
-            at = (tokens >> WORD_SHIFT).astype(np.int64) - k * words
-            np.bitwise_or.at(bits, at, np.uint64(1) << (tokens & np.uint64(63)))
-            tokens, level = tokens[counts > 3], np.log2(counts[counts > 3]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k] + [None] * len(tokens), pa.int32()),
-                    pa.array([bits.tobytes()] + [None] * len(tokens), pa.binary()),
-                    pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(tokens.view(np.int64))]),
-                    pa.concat_arrays([pa.nulls(1, pa.int32()), pa.array(level)]),
-                ],
-                names=["part", "bits", "token", "level"],
-            )
-
-    blocks = distinct_texts(docs).select("text").mapInArrow(cut_up, "part int, tokens binary, counts binary").repartition(parts, "part")
+                if k != part and blocks:
+                    yield shared_tokens(part, blocks)
+                    blocks.clear()
+                part = k
+                blocks.append((t, c))
+                if len(blocks) >= 64:
+                    tokens, counts = _counted(blocks)
+                    blocks[:] = [(tokens.tobytes(), counts.tobytes())]
+        if blocks:
+            yield shared_tokens(part, blocks)
+
+    blocks = distinct_texts(docs).select("text").mapInArrow(cut_up, "part int, tokens binary, counts binary")
+    blocks = blocks.repartition(parts, "part").sortWithinPartitions("part")
     made = cut(blocks.mapInArrow(add_up, "part int, bits binary, token long, level int"))
     bitmap = np.zeros(BITMAP_WORDS, np.uint64)
-    words = BITMAP_WORDS // parts
     # BITMAP_WORDS words in all, a row for each part
     marks = made.filter("part is not null").select("part", "bits").toArrow()
     for k, bits in zip(marks["part"].to_pylist(), marks["bits"], strict=True):
@@ -279,7 +291,7 @@ def token_levels(docs: DataFrame) -> Levels:
     found = counts.filter(F.col("level") >= least).toArrow()
     token = found["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return Levels(bitmap, token[order], found["level"].to_numpy().astype(np.int64)[order])
+    return docs.sparkSession.sparkContext.broadcast((bitmap, token[order], found["level"].to_numpy().astype(np.int64)[order]))
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -288,18 +300,15 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def prefixes(docs: DataFrame) -> DataFrame:
+def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
     """doc_id, th, n, cid (class of equal sets), l, p (prefix length), u (unshared), tokens and marks (2 salt + short); cut."""
-    spark = docs.sparkSession
-    order = token_levels(docs)
-    shared = spark.sparkContext.broadcast((order.bitmap, order.hot, order.level))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(*shared.value)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             n, cid, matches, length, unshared, tokens, marks = [], [], [], [], [], [], []
-            for s in shingle_sets(_texts(batch.column(2))):
+            for s in shingle_sets(batch.column(2).to_pylist()):
                 key = _set_id(s) if len(s) else None
                 own, lv, l, alone = choose_prefix(s, levels) if len(s) else (s, np.empty(0, np.int64), 0, 0)  # noqa: E741
                 n.append(len(s))
@@ -322,11 +331,10 @@ def prefixes(docs: DataFrame) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return cut(
-        _rows(docs).mapInArrow(
-            run, f"doc_id {kind}, th long, n long, cid long, l long, p long, u long, tokens array<long>, marks array<long>"
-        )
+    made = _rows(docs).mapInArrow(
+        run, f"doc_id {kind}, th long, n long, cid long, l long, p long, u long, tokens array<long>, marks array<long>"
     )
+    return cut(made)
 
 
 def _sized(a: str, b: str) -> Column:
@@ -345,38 +353,31 @@ def _enough(a: str, b: str, short: bool = False) -> Column:
     return F.col("shared") >= F.greatest(F.least(f"{a}.l", f"{b}.l"), overlap - rest)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """The pairs (x, y) of classes whose sets link."""
-    need = pairs.select(F.col("x").alias("cid")).union(pairs.select(F.col("y").alias("cid"))).distinct().join(owners, "cid")
-    need = cut(need.select("cid", "owner.doc_id", "owner.th"))
+def sets_of(classes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """cid and its shingles s for the given distinct cids; cut."""
+    need = cut(classes.join(owners, "cid").select("cid", "owner.doc_id", "owner.th"))
     side = F.broadcast(need) if need.count() <= MAX_NEEDED else need
     own = _rows(docs).alias("a").join(
         side.alias("b"), same((F.col("a.doc_id"), F.col("b.doc_id")), (F.col("a.th"), F.col("b.th")))
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [s.tobytes() for s in shingle_sets(_texts(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["cid", "s"])
+        for batch in _slices(batches):
+            found = [s.view(np.int64) for s in shingle_sets(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], names=["cid", "s"])
 
     # rows that repeat doc_id and text have equal sets
-    held = own.select("b.cid", "a.text").mapInArrow(sets, "cid long, s binary").dropDuplicates(["cid"])
-    held = held.persist(StorageLevel.DISK_ONLY)
+    return cut(own.select("b.cid", "a.text").mapInArrow(sets, "cid long, s array<long>").dropDuplicates(["cid"]))
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [
-                links(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
-                for a, b in zip(_texts(batch.column(2)), _texts(batch.column(3)), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
+def verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """The pairs (x, y) of classes whose sets link."""
+    held = sets_of(pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct(), docs, owners)
     both = pairs.join(held.select(F.col("cid").alias("x"), F.col("s").alias("sx")), "x").join(
         held.select(F.col("cid").alias("y"), F.col("s").alias("sy")), "y"
     )
-    out = cut(both.select("x", "y", "sx", "sy").mapInArrow(test, "x long, y long"))
-    held.unpersist()
-    return out
+    # 100 * shared >= 75 * union, row by row on the JVM: no batch holds many copies of a long set
+    return cut(both.filter(7 * F.size(F.array_intersect("sx", "sy")) >= 3 * (F.size("sx") + F.size("sy"))).select("x", "y"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -394,6 +395,16 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def merged(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components of label (v, root) after further edges (x, y); only their contracted graph is searched."""
+    ends = label.select(F.col("v").alias("x"), F.col("root").alias("a")), label.select(F.col("v").alias("y"), F.col("root").alias("b"))
+    named = edges.join(ends[0], "x", "left").join(ends[1], "y", "left")
+    more = components(named.select(F.coalesce("a", "x").alias("x"), F.coalesce("b", "y").alias("y")))
+    up = more.select(F.col("v").alias("root"), F.col("root").alias("top"))
+    old = label.join(up, "root", "left").select("v", F.coalesce("top", "root").alias("root"))
+    return cut(old.union(more.join(label, "v", "left_anti")))
+
+
 def _lists_of(lite: DataFrame) -> DataFrame:
     """Postings of tokens that several classes share: token, salt, short, m (u, cid, n, l, p), hub; cut."""
     postings = lite.select(
@@ -416,7 +427,7 @@ def _named(lists: DataFrame, label: DataFrame) -> DataFrame:
     return named.select("token", "short", "m", F.coalesce("root", "m.cid").alias("root")).distinct()
 
 
-def class_links(docs: DataFrame, lite: DataFrame) -> DataFrame:
+def class_links(docs: DataFrame, lite: DataFrame, shared: Broadcast) -> DataFrame:
     """v, root for every class that links with another one."""
     owners = lite.filter("cid is not null").groupBy("cid").agg(F.min(F.struct("doc_id", "th")).alias("owner"))
     lists = _lists_of(lite)
@@ -427,7 +438,8 @@ def class_links(docs: DataFrame, lite: DataFrame) -> DataFrame:
     strong = star.filter(_sized("a", "b")).groupBy("a", "b").agg(F.count("*").alias("shared")).filter(_enough("a", "b"))
     tried = cut(_pairs(strong))
     found = verify(tried, docs, owners)
-    named = _named(lists, components(found))
+    label = components(found)
+    named = cut(_named(lists, label))
     # second star round: members outside their hub's component meet the next hubs of the list
     place = F.row_number().over(W.partitionBy("token").orderBy("m", "short"))
     hubs = named.withColumn("place", place).filter(F.col("place") <= HUBS)
@@ -435,32 +447,105 @@ def class_links(docs: DataFrame, lite: DataFrame) -> DataFrame:
     met = met.select(F.col("p.m").alias("b"), F.col("q.m").alias("a"), F.col("p.token").alias("token")).filter(_sized("a", "b"))
     again = met.groupBy("a", "b").agg(F.count_distinct("token").alias("shared")).filter(_enough("a", "b"))
     again = cut(_pairs(again).join(tried, ["x", "y"], "left_anti"))
-    found = cut(found.union(verify(again, docs, owners)))
+    new = verify(again, docs, owners)
     tried = tried.union(again)
+    label = merged(label, new)
     # closing round: only lists that still span several components
-    named = _named(lists, components(found))
-    group = W.partitionBy("token")
-    mixed = named.select(
-        "*", F.min("root").over(group).alias("lo"), F.max("root").over(group).alias("hi"), F.max("short").over(group).alias("any")
-    ).filter("lo <> hi and any")
-    mixed = cut(mixed.select("token", "short", "m", "root"))
-    pairs = mixed.filter("short").alias("p").join(
-        mixed.alias("q"),
+    named = cut(_named(lists, label))
+    of_list = named.groupBy("token").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("short").alias("any"), F.count("*").alias("size"), F.min("m").alias("hub")
+    ).filter("lo <> hi and any").select("token", "size", "hub")
+    mixed = cut(named.join(of_list, "token"))
+    few = mixed.filter(F.col("size") <= FEW)
+    pairs = few.filter("short").alias("p").join(
+        few.alias("q"),
         (F.col("p.token") == F.col("q.token"))
         & (F.col("p.root") != F.col("q.root"))
         & (F.struct("p.m.n", "p.m.cid") < F.struct("q.m.n", "q.m.cid"))
         & _sized("p.m", "q.m"),
     ).select(F.col("p.m").alias("a"), F.col("q.m").alias("b"))
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).filter(_enough("a", "b", True))
-    rest = _pairs(counted).join(tried, ["x", "y"], "left_anti")
-    more = verify(cut(rest), docs, owners)
-    return components(found.union(more))
+    rest, near = _pairs(counted), None
+    many = mixed.filter(F.col("size") > FEW)
+    if not many.isEmpty():
+        beyond, near = _beyond_hubs(many, docs, owners, shared)
+        rest = rest.union(beyond).distinct()
+    more = verify(cut(rest.join(tried, ["x", "y"], "left_anti")), docs, owners)
+    return merged(label, more.union(near) if near else more)
+
+
+def _beyond_hubs(many: DataFrame, docs: DataFrame, owners: DataFrame, shared: Broadcast) -> tuple[DataFrame, DataFrame]:
+    """Pairs (x, y) of long lists that may link though one of them doesn't link with the hub; links of members with their hubs."""
+    duo = many.filter("m.cid <> hub.cid").select("m", "root", "hub").distinct()
+    least = many.groupBy(F.col("hub.cid").alias("h")).agg(F.min("m.n").alias("least"))
+    duo = cut(duo.withColumn("h", F.col("hub.cid")).join(least, "h"))
+    held = sets_of(duo.select(F.col("m.cid").alias("cid")).union(duo.select("h")).distinct(), docs, owners)
+    both = duo.withColumn("cid", F.col("m.cid")).join(held, "cid").join(held.select(F.col("cid").alias("h"), F.col("s").alias("sh")), "h")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = Levels(*shared.value)
+        for batch in _slices(batches):
+            common, outside, index, probe, tokens, front = [], [], [], [], [], []
+            for least, s, hub in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)], strict=True):
+                s, hub = np.array(s, np.int64).view(np.uint64), np.array(hub, np.int64).view(np.uint64)
+                own = np.setdiff1d(s, hub, assume_unique=True)
+                n, c = len(s), len(s) - len(own)
+                level = levels(own)
+                order = np.lexsort((own, level))
+                own, level = own[order], level[order]
+                # a partner of n' >= 3/4 n shingles needs 3/7 (n + n') - c common ones outside the hub
+                p = max(0, len(own) - max(1, required(n) - c) + 1)
+                q = max(0, len(own) - max(1, -(-3 * (n + max(required(n), least)) // 7) - c) + 1)
+                q = q if 7 * c < 3 * (n + len(hub)) else 0
+                keep = level[:p] > 0
+                common.append(c)
+                outside.append(len(own))
+                index.append(p)
+                probe.append(q)
+                tokens.append(own[:p][keep].view(np.int64))
+                front.append((np.arange(p) < q)[keep])
+            ints = [pa.array(x, pa.int64()) for x in (common, outside, index, probe)]
+            flags = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, front)]).astype(np.int32)), pa.array(np.concatenate(front)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *ints, _lists(tokens), flags],
+                names=["h", "cid", "c", "d", "index", "probe", "tokens", "front"],
+            )
+
+    schema = "h long, cid long, c long, d long, index long, probe long, tokens array<long>, front array<boolean>"
+    seen = cut(both.select("h", "cid", "least", "s", "sh").mapInArrow(differ, schema))
+    seen = duo.select("h", F.col("m.cid").alias("cid"), "m", "root", "hub").join(seen, ["h", "cid"])
+    near = seen.filter(7 * F.col("c") >= 3 * (F.col("m.n") + F.col("hub.n")))
+    near = cut(near.select(F.least("h", "cid").alias("x"), F.greatest("h", "cid").alias("y")).distinct())
+    listed = seen.select("h", "m", "root", "c", "d", "index", "probe", F.explode(F.arrays_zip("tokens", "front")).alias("t"))
+    listed = cut(listed.select("h", F.col("t.tokens").alias("token"), F.struct("m.u", "m.cid", "m.n", "c", "d", "index", "probe").alias("m"), "root", F.col("t.front").alias("front")))
+    over = F.ceil(3 * (F.col("a.n") + F.col("b.n")) / 7) - F.least("a.c", "b.c")
+    met = listed.filter("front").alias("p").join(
+        listed.alias("q"),
+        (F.col("p.h") == F.col("q.h")) & (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root")) & _sized("p.m", "q.m"),
+    ).select(F.col("p.h").alias("h"), F.col("p.m").alias("a"), F.col("q.m").alias("b"))
+    strong = met.groupBy("h", "a", "b").agg(F.count("*").alias("shared"))
+    strong = strong.filter(F.col("shared") >= over - F.greatest(F.col("a.d") - F.col("a.probe"), F.col("b.d") - F.col("b.index")))
+    # both lie in the hub so far that they need nothing outside: x, not linked with it, and y, shorter than it
+    inside = many.filter("m.cid <> hub.cid").select("token", F.col("hub.cid").alias("h"), F.col("m.cid").alias("cid"), "m", "root")
+    inside = inside.join(seen.select("h", "cid", "c", (7 * F.col("c") < 3 * (F.col("m.n") + F.col("hub.n"))).alias("open"), F.floor(7 * F.col("c") / 3 - F.col("m.n")).alias("most")), ["h", "cid"])
+    inside = inside.filter("4 * most >= 3 * m.n")
+    bound = inside.groupBy("token").agg(F.max(F.when(F.col("open"), F.col("most"))).alias("hi"), F.min(F.when(F.col("open"), F.col("m.n"))).alias("lo"), F.min("m.n").alias("low"))
+    inside = inside.join(bound, "token").filter("(open and most >= low) or (m.n <= hi and most >= lo)")
+    inside = cut(inside.select("token", "open", "most", "m", "root"))
+    within = inside.filter("open").alias("p").join(
+        inside.alias("q"),
+        (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root"))
+        & (F.col("p.most") >= F.col("q.m.n")) & (F.col("q.most") >= F.col("p.m.n")) & _sized("p.m", "q.m"),
+    ).select(F.col("p.m").alias("a"), F.col("q.m").alias("b"))
+    return cut(_pairs(strong).union(_pairs(within)).distinct()), near
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
     """doc_id, th, n_shingles, component_id for every row of docs."""
-    lite = prefixes(docs)
-    label = class_links(docs, lite)
+    shared = token_levels(docs)
+    lite = prefixes(docs, shared)
+    label = class_links(docs, lite, shared)
+    shared.destroy()  # all that used it has been cut
     rows = lite.select("doc_id", "th", "n", "cid")
     least = rows.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
     rooted = least.join(label.withColumnRenamed("v", "cid"), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))

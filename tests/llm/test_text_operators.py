@@ -126,15 +126,21 @@ def shingle_set(text):
 
 
 def brute_components(texts):
-    sets, n = [shingle_set(t) for t in texts], len(texts)
-    root = list(range(n))
-    for _ in range(n):
-        for i in range(n):
-            for j in range(n):
-                both = len(sets[i] & sets[j])
-                if sets[i] and sets[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
-                    root[j] = root[i] = min(root[i], root[j])
-    return [(len(s), r) for s, r in zip(sets, root, strict=True)]
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for j, b in enumerate(sets):
+        for i, a in enumerate(sets[:j]):
+            both = len(a & b)
+            if a and b and 100 * both >= 75 * (len(a) + len(b) - both):
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    return [(len(s), top(i)) for i, s in enumerate(sets)]
 
 
 def near_copies(rng, base, n):
@@ -160,6 +166,25 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, salt):
     assert [out[i] for i in range(len(texts))] == brute_components(texts)
 
 
+@pytest.mark.parametrize("hubs", [0, 1])
+def test_jaccard_group_beyond_hubs(spark, monkeypatch, hubs):
+    """Copies whose few edits recur, excerpts shorter than any hub, and clusters far from the hub."""
+    monkeypatch.setattr(jaccard, "FEW", 2)
+    monkeypatch.setattr(jaccard, "HUBS", hubs)
+    rng = random.Random(5 + hubs)
+    base = words(rng, 70).split()
+    texts = []
+    for _ in range(90):
+        w = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            w[10 * rng.randrange(7) + 3] = rng.choice(["aa", "bb", "cc"])
+        texts.append(" ".join(w))
+    texts += [" ".join(base[i : i + n]) for i, n in [(0, 50), (4, 50), (9, 47), (15, 40), (20, 40), (2, 62), (8, 62), (30, 40), (31, 39)]]
+    texts += [" ".join(base[:50]) + f" {words(rng, 30)}" for _ in range(4)] + near_copies(rng, words(rng, 60) + " " + " ".join(base[:20]), 9)
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.link_documents(frame(spark, texts)).collect()}
+    assert [out[i] for i in range(len(texts))] == brute_components(texts)
+
+
 def test_jaccard_repeated_null_and_empty(spark):
     rng = random.Random(9)
     t = words(rng, 40)
