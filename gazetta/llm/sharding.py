@@ -1,7 +1,8 @@
 """Uniform shuffle into shards of exact size by a hypergeometric communication matrix.
 
 Law ``rows``: shard sizes differ by one row at most and every assignment of rows
-to shards is equally likely (for the seed's pseudo-random draws).
+to shards is equally likely (for the seed's pseudo-random draws), that of rows which
+repeat doc_id and text too: each row is dealt by its own place.
 
 1. Narrow rows (id, size, checksum, random key) are checkpointed, so a retried
    task sees the same partitions as the counting job did.
@@ -16,7 +17,9 @@ to shards is equally likely (for the seed's pseudo-random draws).
    holds a whole shard.
 
 Nulls: a null text counts as empty (size 1, checksum 0); a null doc_id is kept.
-Equal rows get different slots. An empty table gives an empty result.
+Equal rows get different slots. Texts of any length pass by their size and checksum
+alone. Further columns of docs are not read, whatever their names. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -95,7 +98,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFram
             "doc_id",
             (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-            F.xxhash64(F.lit(seed), "doc_id", text).alias("key"),
+            # the row's place keeps rows that repeat doc_id and text apart; the checkpoint holds it still
+            F.xxhash64(F.lit(seed), "doc_id", text, F.monotonically_increasing_id()).alias("key"),
         )
     )
     # local permutation: ids of sorted partitions carry partition and rank

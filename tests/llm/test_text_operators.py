@@ -283,6 +283,13 @@ def test_license_versions_and_variants(spark):
 # --- 9: shards ---
 
 
+def test_shards_spread_equal_rows(spark):
+    """400 equal rows among 1,601: no shard may hold far from its 25."""
+    df = frame(spark, ["same"] * 400 + [f"other {i}" for i in range(1201)], [1] * 400 + list(range(2, 1203))).repartition(4, "doc_id")
+    got = Counter(r.shard for r in sharding.shard_rows(df).collect() if r.doc_id == 1)
+    assert sum(got.values()) == 400 and len(got) == 16 and min(got.values()) >= 8 and max(got.values()) <= 45
+
+
 def test_shards(spark):
     texts = [None, "", "é", *(f"t{i % 40}" for i in range(500))]
     df = frame(spark, texts)
