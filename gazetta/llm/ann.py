@@ -1,37 +1,53 @@
 """Nearest neighbours by inner product with low-dimensional stable projections.
 
 Inner products become distances by one more coordinate sqrt(M^2 - |x|^2), M the
-largest norm. ``DIMS`` Gaussian (2-stable) projections of these vectors are indexed
-by a kd-tree in each block of rows. A query takes the tree's leaves in the order of
-projected distance and verifies their rows exactly. For a row at distance d the
-squared projected distance over d^2 is chi-square with ``DIMS`` degrees of freedom,
-so the search stops when a row nearer than the current k-th would have been met
-already with probability ``STOP``.
+largest norm. ``DIMS`` Gaussian (2-stable) projections of these vectors are indexed by
+one kd-tree, whose splits are fitted on at most about ``SAMPLE`` rows and whose cells
+(at most ``CELLS``) take every row; a cell of many rows is cut into blocks of about
+``BLOCK_ROWS`` by hash. For a row at distance d the squared projected distance over
+d^2 is chi-square with ``DIMS`` degrees of freedom, so a search may stop when a row
+nearer than the current k-th would have been met already with probability ``STOP``.
 
-Blocks hold about ``BLOCK_ROWS`` rows, query chunks about ``CHUNK_ROWS``; a task has one
-of each whatever the table's size. Scores are sums of products in double precision,
-computed alike for every pair; ties go to the smaller vec_id.
+1. Each query verifies the ``FIRST`` cells nearest to its projection exactly.
+2. Its k-th score decides which further cells the stopping test still leaves open, and
+   it goes to those. Within a block a second kd-tree of small leaves is searched in the
+   order of projected distance, with the same test after each leaf.
+
+Rows go to their cell's task once in each of the two steps, however many queries there
+are; queries are copied to the cells that they visit and stream through the task, which
+holds one block. Scores are sums of products in double precision, computed alike for
+every pair; ties go to the smaller vec_id.
 
 Vectors that are null, empty or zero, or hold null or non-finite components take no
-part. Vectors of different lengths are not compared. A row is not its own neighbour,
-nor is one that repeats its vec_id.
+part, nor do rows with a null vec_id. Vectors of different lengths are not compared. A row is not its own
+neighbour, but rows that repeat its vec_id or vector are. A query row that is repeated
+gets its result once for each repetition. Other columns are not read, whatever their
+names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import pairwise
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
-from gazetta.llm.common import table
+from gazetta.llm.common import cut, table
 
 DIMS = 8
-LEAF = 64
+LEAF = 128
 STOP = 0.99
+SAMPLE = 65_536
+CELLS = 4096
+CELL_ROWS = 2048
 BLOCK_ROWS = 8192
-CHUNK_ROWS = 1024
+CHUNK_ROWS = 256
+FIRST = 4
 K = 20
 
 
@@ -45,6 +61,17 @@ def chi_square_cdf(x: np.ndarray) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+def directions(d: int, seed: int = 11) -> np.ndarray:
+    """Gaussian directions for vectors of length d and the coordinate that makes norms equal."""
+    return np.random.default_rng(seed + d).standard_normal((d + 1, DIMS))
+
+
+def project(rows: np.ndarray, top: float) -> np.ndarray:
+    side = directions(rows.shape[1])
+    extra = np.sqrt(np.maximum(top * top - (rows * rows).sum(axis=1), 0))
+    return rows @ side[:-1] + extra[:, None] * side[-1]
+
+
 def kd_leaves(points: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     """Row numbers of the leaves of a kd-tree split at medians of the widest coordinate."""
     todo, out = [np.arange(len(points))], []
@@ -61,52 +88,87 @@ def kd_leaves(points: np.ndarray, leaf: int = LEAF) -> list[np.ndarray]:
     return out
 
 
+class Tree:
+    """Splits of space at medians of a sample; cells are numbered leaves and cover all of it."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        nodes: list[list[float]] = [[-1, 0.0, 0, 0]]  # axis, value, lower child, upper child; a leaf has its cell
+        todo, most, self.cells = [(0, sample)], max(1, len(sample) // cells), 0
+        while todo:
+            at, own = todo.pop()
+            axis = int(np.argmax(np.ptp(own, axis=0))) if len(own) > most else -1
+            value = float(np.median(own[:, axis])) if axis >= 0 else 0.0
+            upper = own[:, axis] >= value
+            if axis < 0 or upper.all():
+                nodes[at] = [-1, 0.0, self.cells, self.cells]
+                self.cells += 1
+                continue
+            nodes[at] = [axis, value, len(nodes), len(nodes) + 1]
+            todo += [(len(nodes), own[~upper]), (len(nodes) + 1, own[upper])]
+            nodes += [[-1, 0.0, 0, 0], [-1, 0.0, 0, 0]]
+        table = np.array(nodes)
+        self.axis, self.value, self.child = table[:, 0].astype(int), table[:, 1], table[:, 2:].astype(int)
+
+    def cell(self, points: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(points), int)
+        while (inner := np.flatnonzero(self.axis[at] >= 0)).size:
+            own = at[inner]
+            at[inner] = self.child[own, (points[inner, self.axis[own]] >= self.value[own]).astype(int)]
+        return self.child[at, 0]
+
+
+def gaps(spots: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each spot to each box."""
+    return np.stack([(np.maximum(np.maximum(a - spots, spots - b), 0) ** 2).sum(axis=1) for a, b in zip(low, high, strict=True)], axis=1)
+
+
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Inner products; each pair is summed in the same order, so equal vectors get equal scores."""
     return np.einsum("qd,nd->qn", queries, rows)
 
 
-def search_block(
-    ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, top: float, seed: int = 11
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest rows of one block for each query: positions of queries, vec_ids and scores."""
-    n, d = rows.shape
-    side = np.random.default_rng(seed + d).standard_normal((d + 1, DIMS))
-    extra = np.sqrt(np.maximum(top * top - (rows * rows).sum(axis=1), 0))
-    points = rows @ side[:d] + extra[:, None] * side[d]
-    spots = queries @ side[:d]
-    leaves = kd_leaves(points)
-    low = np.array([points[x].min(axis=0) for x in leaves])
-    high = np.array([points[x].max(axis=0) for x in leaves])
-    gap = np.stack([(np.maximum(np.maximum(lo - spots, spots - hi), 0) ** 2).sum(axis=1) for lo, hi in zip(low, high, strict=True)], axis=1)
-    order = np.argsort(gap, axis=1, kind="stable")
-    norm = (queries * queries).sum(axis=1) + top * top
-    best = np.full((len(queries), k), -np.inf)
-    held = np.full((len(queries), k), np.iinfo(np.int64).max)
-    live = np.arange(len(queries))
-    for step in range(len(leaves)):
-        if step:
-            bound = gap[live, order[live, step]]
-            far = np.maximum(norm[live] - 2 * best[live, -1], 1e-12)
-            live = live[~((best[live, -1] > -np.inf) & (chi_square_cdf(bound / far) >= STOP))]
+class Block:
+    """Rows of one block under a kd-tree of their projections."""
+
+    def __init__(self, ids: np.ndarray, names: np.ndarray, rows: np.ndarray, top: float):
+        points = project(rows, top)
+        leaves = kd_leaves(points)
+        self.leaves = [(ids[x], names[x], rows[x]) for x in leaves]
+        self.low = np.array([points[x].min(axis=0) for x in leaves])
+        self.high = np.array([points[x].max(axis=0) for x in leaves])
+        self.top = top
+
+    def search(self, own: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Up to k nearest rows that reach the floor, for each query (row id own): positions, vec_ids, scores."""
+        gap = gaps(queries @ directions(queries.shape[1])[:-1], self.low, self.high)
+        order = np.argsort(gap, axis=1, kind="stable")
+        norm = (queries * queries).sum(axis=1) + self.top * self.top
+        best = np.full((len(queries), k), -np.inf)
+        held = np.full((len(queries), k), np.iinfo(np.int64).max)
+        live = np.arange(len(queries))
+        for step in range(len(self.leaves)):
+            least = np.maximum(best[live, -1], floor[live])
+            far = np.maximum(norm[live] - 2 * least, 1e-12)
+            live = live[(least == -np.inf) | (chi_square_cdf(gap[live, order[live, step]] / far) < STOP)]
             if not len(live):
                 break
-        at = order[live, step]
-        for leaf in np.unique(at):
-            q, own = live[at == leaf], leaves[leaf]
-            score = products(queries[q], rows[own])
-            score[query_ids[q][:, None] == ids[own][None, :]] = -np.inf
-            both = np.concatenate([best[q], score], axis=1)
-            names = np.concatenate([held[q], np.broadcast_to(ids[own], score.shape)], axis=1)
-            pick = np.lexsort((names, -both), axis=1)[:, :k]
-            best[q], held[q] = np.take_along_axis(both, pick, 1), np.take_along_axis(names, pick, 1)
-    position, column = np.nonzero(best > -np.inf)
-    return position, held[position, column], best[position, column]
+            at = order[live, step]
+            for leaf in np.unique(at):
+                q, (ids, names, rows) = live[at == leaf], self.leaves[leaf]
+                score = products(queries[q], rows)
+                score[own[q][:, None] == ids[None, :]] = -np.inf
+                both = np.concatenate([best[q], score], axis=1)
+                every = np.concatenate([held[q], np.broadcast_to(names, score.shape)], axis=1)
+                pick = np.lexsort((every, -both), axis=1)[:, :k]
+                best[q], held[q] = np.take_along_axis(both, pick, 1), np.take_along_axis(every, pick, 1)
+        position, column = np.nonzero((best > -np.inf) & (best >= floor[:, None]))
+        return position, held[position, column], best[position, column]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and vector (doubles) of the rows that take part, with length d."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
+    """vec_id and vector v of the rows that take part, with length d."""
+    exact = isinstance(vectors.schema["embedding"].dataType.elementType, (DoubleType, FloatType))
+    v = F.col("embedding") if exact else F.col("embedding").cast("array<double>")
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
@@ -115,35 +177,142 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
+def _by_length(batch: pa.RecordBatch, d: int, v: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, row numbers and matrix of the vectors of each length in a batch."""
+    lengths = batch.column(d).to_numpy()
+    for n in np.unique(lengths):
+        at = np.flatnonzero(lengths == n)
+        own = batch.column(v) if len(at) == len(lengths) else batch.column(v).take(pa.array(at))
+        yield int(n), at, own.flatten().to_numpy().astype(float).reshape(len(at), n)
+
+
+def _index(rows: DataFrame, count: int, top: float) -> tuple[DataFrame, dict[int, tuple[np.ndarray, ...]]]:
+    """Rows (id, vec_id, d, v, cell, p) in a reliable copy, and by length the cells with their boxes and row counts."""
+
+    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, at, own in _by_length(batch, 0, 1):
+                spots = pa.array(list(project(own, top)), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), n, np.int32)), spots], names=["d", "p"])
+
+    # about SAMPLE rows of DIMS numbers
+    part = rows if count <= SAMPLE else rows.sample(SAMPLE / count, seed=5)
+    sample = part.select("d", "v").mapInArrow(points, "d int, p array<double>").toArrow()
+    lengths, spots = sample["d"].to_numpy(), np.array(sample["p"].to_pylist(), float).reshape(-1, DIMS)
+    scale = count / max(1, len(lengths))
+    trees = {}
+    for n in np.unique(lengths):
+        own = spots[lengths == n]
+        trees[int(n)] = Tree(own, min(CELLS, max(1, int(len(own) * scale) // CELL_ROWS)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, spots = np.zeros(batch.num_rows, np.int32), np.zeros((batch.num_rows, DIMS))
+            for n, at, own in _by_length(batch, 2, 3):
+                spots[at] = project(own, top)
+                if n in trees:
+                    cell[at] = trees[n].cell(spots[at])
+            p = pa.array(list(spots), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), p], names=["id", "vec_id", "d", "v", "cell", "p"])
+
+    kind = rows.schema["v"].dataType.simpleString()
+    numbered = rows.select(F.monotonically_increasing_id().alias("id"), "vec_id", "d", "v")
+    placed = cut(numbered.mapInArrow(place, f"id long, vec_id long, d int, v {kind}, cell int, p array<double>"))
+    ends = [f(F.col("p")[i]).alias(f"{f.__name__}{i}") for f in (F.min, F.max) for i in range(DIMS)]
+    # a row for each cell: CELLS at most for each length of vectors
+    boxes: dict[int, tuple[np.ndarray, ...]] = {}
+    found = sorted(placed.groupBy("d", "cell").agg(F.count("*").alias("n"), *ends).collect(), key=lambda r: (r["d"], r["cell"]))
+    for n in {r["d"] for r in found}:
+        own = np.array([tuple(r)[1:] for r in found if r["d"] == n], float)
+        boxes[n] = own[:, 0].astype(np.int64), own[:, 2 : 2 + DIMS], own[:, 2 + DIMS :], -(-own[:, 1] // BLOCK_ROWS).astype(np.int64)
+    return placed, boxes
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score for the queries (vec_id divisible by ``every``) against all rows."""
     rows = usable(vectors)
-    is_query = F.pmod("vec_id", F.lit(every)) == 0
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    stats = rows.agg(F.count("*"), F.count_if(is_query), F.max(norm)).first()
-    blocks, chunks, top = max(1, -(-stats[0] // BLOCK_ROWS)), max(1, -(-stats[1] // CHUNK_ROWS)), (stats[2] or 0.0) * (1 + 1e-12)
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int")).withColumn("chunk", numbers(chunks))
-    right = (
-        rows.filter(is_query)
-        .withColumn("chunk", F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(chunks)).cast("int"))
-        .withColumn("block", numbers(blocks))
-    )
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    count, most = rows.agg(F.count("*"), F.max(norm)).first()
+    top = (most or 0.0) * (1 + 1e-12)
+    placed, boxes = _index(rows, count, top)
+    kind = rows.schema["v"].dataType.simpleString()
+
+    def route(first: bool):
+        """The units (cell and block as one number) that a query visits: the FIRST cells, or what the test leaves of the others."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for i in range(0, whole.num_rows, CHUNK_ROWS):
+                    batch = whole.slice(i, CHUNK_ROWS)
+                    units: list[np.ndarray] = [np.empty(0, np.int64)] * batch.num_rows
+                    for n, at, own in _by_length(batch, 2, 3):
+                        cells, low, high, pieces = boxes[n]
+                        gap = gaps(own @ directions(n)[:-1], low, high)
+                        near = np.argsort(gap, axis=1, kind="stable")[:, :FIRST]
+                        go = np.zeros(gap.shape, bool)
+                        np.put_along_axis(go, near, True, 1)
+                        if not first:
+                            floor = batch.column(4).to_numpy()[at]
+                            far = np.maximum((own * own).sum(axis=1) + top * top - 2 * floor, 1e-12)[:, None]
+                            go = ~go & ((floor == -np.inf)[:, None] | (chi_square_cdf(gap / far) < STOP))
+                        for row, mask in zip(at, go, strict=True):
+                            c, b = cells[mask], pieces[mask]
+                            start = np.repeat(c << 32, b)
+                            units[row] = start + (np.arange(len(start)) - np.repeat(np.cumsum(b) - b, b))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(units, pa.list_(pa.int64()))], names=["id", "vec_id", "d", "v", "floor", "units"])
+
+        return run
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, block = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in pairwise([0, *cuts.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                if (now := tuple(keys[:2, a].tolist())) != key:
+                    key, held, block = now, [], None
+                ids, names, v, floor = (batch.column(i).slice(a, b - a) for i in range(3, 7))
+                own = v.flatten().to_numpy().astype(float).reshape(b - a, key[0])
+                ids, names = ids.to_numpy(), names.to_numpy()
+                if keys[2, a] == 0:
+                    held.append((ids, names, own))
+                    continue
+                if block is None:
+                    block = Block(*(np.concatenate(x) for x in zip(*held, strict=True)), top)
+                    held = []
+                for i in range(0, b - a, CHUNK_ROWS):
+                    few = slice(i, i + CHUNK_ROWS)
+                    position, found, scores = block.search(ids[few], own[few], floor.to_numpy()[few], k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x) for x in (ids[few][position], names[few][position], found, scores)], names=["q", "query_id", "vec_id", "score"]
+                    )
+
+    # a row for each cell, as in boxes
+    counts = [(n, int(c), int(b)) for n, box in boxes.items() for c, b in zip(box[0], box[3], strict=True)]
+    pieces = F.broadcast(rows.sparkSession.createDataFrame(counts, "d int, cell int, pieces long"))
+    unit = F.shiftleft(F.col("cell").cast("long"), 32) + F.pmod(F.xxhash64("id"), "pieces")
+    stored = placed.join(pieces, ["d", "cell"]).select("d", unit.alias("unit"), F.lit(0).alias("kind"), "id", "vec_id", "v", F.lit(0.0).alias("floor"))
+
+    def ask(queries: DataFrame, first: bool) -> DataFrame:
+        routed = queries.mapInArrow(route(first), f"id long, vec_id long, d int, v {kind}, floor double, units array<long>")
+        asked = routed.select("d", F.explode("units").alias("unit"), F.lit(1).alias("kind"), "id", "vec_id", "v", "floor")
+        both = stored.union(asked).repartition("d", "unit").sortWithinPartitions("d", "unit", "kind")
+        return both.mapInArrow(search, "q long, query_id long, vec_id long, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        order = W.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    def run(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(own) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        own = own.sort_values("vec_id")
-        position, ids, scores = search_block(
-            own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy()).astype(float),
-            asked["vec_id"].to_numpy(), np.stack(asked["v"].to_numpy()).astype(float), k, top,
-        )
-        return pd.DataFrame({"query_id": asked["vec_id"].to_numpy()[position], "vec_id": ids, "score": scores})
-
-    keys = ["d", "block", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = placed.filter(F.pmod("vec_id", F.lit(every)) == 0).select("id", "vec_id", "d", "v")
+    found = best(ask(queries.withColumn("floor", F.lit(float("-inf"))), True))
+    if any(len(box[0]) > FIRST for box in boxes.values()):
+        found = cut(found.drop("rank"))
+        kth = found.groupBy(F.col("q").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("kth"))
+        again = queries.join(kth, "id", "left").withColumn("floor", F.coalesce("kth", F.lit(float("-inf")))).drop("kth")
+        found = best(found.union(ask(again, False)))
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
