@@ -18,10 +18,21 @@ Outside article and main elements, the headings and unlinked paragraphs that sta
 directly in a container around the chosen one, and boxes of headings only, are kept too.
 Blocks are cut at block-level tags. A null or empty page gives an empty text.
 The table of hosts is broadcast up to ``BROADCAST_HOSTS`` rows and shuffled beyond.
+
+Class and id words of menus, adverts and the like take a container out by themselves only
+where they are a whole class or stand beside filler words; in a longer name, or as an id in
+an article, only together with a text that consists of links. Paragraphs, headings and
+inline elements go by a few unmistakable whole classes alone.
+
+A page is parsed in time linear in its length, however broken: once a tag does not end, tags
+end at the next angle bracket. Repeated rows each get their text, rows with a null url share
+the host "". Equal scores go to the larger path. An empty table gives an empty result, and
+columns beside page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -33,7 +44,6 @@ from pyspark.sql import functions as F
 from gazetta.llm.common import table
 
 BROADCAST_HOSTS = 500_000
-DEPTH = 8
 WRAPPED = 0.9
 #: Ranked paths of a host: its templates, with room for rarer ones.
 HOST_PATHS = 32
@@ -41,11 +51,14 @@ HOST_PATHS = 32
 PRIOR = 2
 #: One over the share of a page's unlinked text that a container needs for a vote.
 FAIR = 5
+#: Markup that starts at a "<"; every part but a tag's quoted values stops at the next "<", so nothing is scanned twice.
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=|[\"'])*)/?>",
+    r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[|<[!?][^<>]*>?"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"'=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=|[\"'])*+)(>?)",
     re.S,
 )
+#: The same without quoted values, for the rest of a page in which a quotation mark does not close.
+PLAIN = re.compile(r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[|<[!?][^<>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^<>]*+)(>?)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:@-][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\r\f\v  -     　 \u0085]+")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +79,15 @@ ODD = set(
     "breadcrumb breadcrumbs pagination pager share sharing social related recommended comment comments disqus respond "
     "replies footer masthead toolbar widget login signup search skip hidden copyright legal topbar".split()
 )
+#: Words beside them that say nothing of the content.
+FILLER = set(
+    "a an the area bar block bottom box btn button buttons center cnt col column container content foot form group header holder icons "
+    "inner item items l left line links list main module outer page panel post primary r right row secondary section side site slot small "
+    "text top unit wrap wrapper x".split()
+)
+#: Whole classes that take out paragraphs and inline elements too.
+CLEAR = set("ad ads adv advert adverts advertisement advertising adsense sponsored cookie cookies newsletter breadcrumb breadcrumbs pagination".split())
+CONTAINERS = set("div section ul ol dl table figure details td center".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 HEADS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = HEADS | {"p"}
@@ -92,20 +114,52 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _name(tag: str, attrs: dict[str, str]) -> str:
-    words = sorted({re.sub(r"\d+", "#", w) for w in attrs.get("class", "").lower().split()})
-    return ".".join([tag, *words[:4]])
+    return ".".join([tag, *sorted({re.sub(r"\d+", "#", w) for w in attrs.get("class", "").lower().split()})])
 
 
-def _odd(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
+def _odd(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """0: part of the content by its name, 1: not, 2: not if its text consists of links."""
     if tag in DROP or tag == "header" and not in_article:
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") and not ODD & {"comment", "comments"} & set(attrs.get("class", "").lower().split()):
-        return False
-    words = set(re.split(r"[^a-z]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
-    if ODD & words or not in_article and "header" in words or attrs.get("role", "").lower() in ROLES:
-        return True
+        return 1
+    if not attrs:
+        return 0
+    classes = attrs.get("class", "").lower().split()
     style = attrs.get("style", "").replace(" ", "").lower()
-    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+    hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+    if tag in ("html", "body", "article", "main"):
+        return int({"comment", "comments"} & set(classes) != set())
+    if hidden or attrs.get("role", "").lower() in ROLES:
+        return 1
+    if tag not in CONTAINERS:
+        return int(not CLEAR.isdisjoint(classes))
+    odd = 0
+    for name, is_id in [*((c, False) for c in classes), (attrs.get("id", "").lower(), True)]:
+        words = set(re.findall(r"[a-z]+", name))
+        if not words.isdisjoint(ODD) or not in_article and words == {"header"}:
+            sure = all(w in ODD or w in FILLER for w in words) and not (is_id and in_article)
+            odd = 1 if sure or odd == 1 else 2
+    return odd
+
+
+class _Stack:
+    """Open elements, with the places of each tag, so that the nearest one is found at once."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[str, int, bool, bool, int]] = []  # tag, node or -1, odd, article, first block if suspect else -1
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, row: tuple[str, int, bool, bool, int]) -> None:
+        self.places.setdefault(row[0], []).append(len(self.rows))
+        self.rows.append(row)
+
+    def pop(self) -> tuple[str, int, bool, bool, int]:
+        row = self.rows.pop()
+        self.places[row[0]].pop()
+        return row
+
+    def nearest(self, tags: set[str]) -> int:
+        """Place of the nearest open element of tags, or -1."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
 
 
 def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
@@ -113,10 +167,11 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
     blocks: list[str] = []
     links: list[int] = []
     nodes = [Node("", 0, 0, -1)]
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, node or -1, odd, article
+    stack = _Stack()
+    sums: list[tuple[int, int]] = [(0, 0)]  # characters and linked ones before each block
     own: list[str] = []
     linked, anchors, odd, articles, box, heads = 0, 0, 0, 0, 0, 0
-    path: list[str] = []
+    path: list[str] = [""]  # hashes of the chains of names down to each open container
 
     def flush() -> None:
         nonlocal linked
@@ -125,20 +180,34 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
             if text:
                 blocks.append(text)
                 links.append(linked)
+                sums.append((sums[-1][0] + len(text), sums[-1][1] + linked))
                 nodes[box].own.append(len(blocks) - 1)
                 nodes[box].plain |= not heads
             own.clear()
         linked = 0
 
+    def forget(first: int) -> None:
+        """Take back the blocks from first on, if they consist of links."""
+        if first < len(blocks) and 2 * (sums[-1][1] - sums[first][1]) >= sums[-1][0] - sums[first][0]:
+            del blocks[first:], links[first:], sums[first + 1 :]
+            last = len(nodes) - 1
+            while last and nodes[last].first >= first and nodes[last].last >= 0:
+                nodes.pop()
+                last -= 1
+            while nodes[box].own and nodes[box].own[-1] >= first:
+                nodes[box].own.pop()
+
     def pop() -> None:
         nonlocal odd, anchors, articles, box, heads
-        tag, node, was_odd, was_article = stack.pop()
-        if tag in BLOCK:
+        tag, node, was_odd, was_article, suspect = stack.pop()
+        if tag in BLOCK or suspect >= 0:
             flush()
         if node >= 0:
             nodes[node].last = len(blocks)
             box = nodes[node].parent
             path.pop()
+        if suspect >= 0:
+            forget(suspect)
         odd -= was_odd
         articles -= was_article
         anchors -= tag == "a"
@@ -146,31 +215,37 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
 
     def close(tags: set[str], stop: set[str]) -> None:
         """Close the nearest open element of tags, unless one of stop is nearer."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i][0] in stop:
-                return
-
-    at, end = 0, len(page)
+        at = stack.nearest(tags)
+        if at > stack.nearest(stop):
+            while len(stack.rows) > at:
+                pop()
+
+    at, end, token = 0, len(page), TOKEN
+    sections = True  # a CDATA section may still end
     while at < end:
-        m = TOKEN.search(page, at)
+        m = token.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text and not odd:
             own.append(text)
             linked += len(text) if anchors else 0
         if not m:
             break
+        if m[2] and not m[4] and token is TOKEN:
+            token = PLAIN
+            m = token.search(page, m.start())
         at = m.end()
+        if m[0] == "<![CDATA[":
+            stop = page.find("]]>", at) if sections else -1
+            sections = stop >= 0
+            at = stop + 3 if sections else (page.find(">", at) + 1 or end)
+            continue
         tag = (m[2] or "").lower()
         if not tag:
             continue
         if m[1]:
             if tag == "br":
                 own.append(" ")
-            elif any(s[0] == tag for s in reversed(stack)):
+            elif stack.places.get(tag):
                 close({tag}, set())
             elif tag in BLOCK:
                 flush()
@@ -190,27 +265,29 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
         attrs = _attributes(m[3])
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        is_odd = _odd(tag, attrs, articles > 0)
+        name = _odd(tag, attrs, articles > 0)
+        is_odd = name == 1
         if tag in RAW:
-            rest = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+            rest = re.compile(f"</{tag}(?=[\\s/>])[^<>]*>?", re.I).search(page, at)
             if not is_odd and not odd:
-                own.append(page[at : rest.start()] if rest else page[at:])
+                own.append(html.escape(page[at : rest.start()] if rest else page[at:], quote=False))
             at = rest.end() if rest else end
             continue
+        if name == 2 and not odd:
+            flush()
+        suspect = len(blocks) if name == 2 and not odd else -1
         node = -1
-        if tag in BOXES:
-            path.append(_name(tag, attrs))
-            if not odd and not is_odd:
-                nodes.append(Node(">".join(path[-DEPTH:]), len(blocks), len(path), box))
-                box = node = len(nodes) - 1
-            else:
-                path.pop()
-        stack.append((tag, node, is_odd, tag in ("article", "main")))
+        if tag in BOXES and not odd and not is_odd:
+            named = _name(tag, attrs)
+            path.append(hashlib.blake2b(f"{path[-1]}>{named}".encode("utf-8", "replace"), digest_size=8).hexdigest())
+            nodes.append(Node(f"{path[-1]}>{named}", len(blocks), len(path), box))
+            box = node = len(nodes) - 1
+        stack.push((tag, node, is_odd, tag in ("article", "main"), suspect))
         odd += is_odd
         articles += tag in ("article", "main")
         anchors += tag == "a"
         heads += tag in HEADS
-    while stack:
+    while stack.rows:
         pop()
     flush()
     nodes[0].last = len(blocks)

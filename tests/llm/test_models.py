@@ -55,6 +55,51 @@ def test_html():
     assert htmltext.extract(htmltext.parse("<div><p>deep</p></div>" * 3), None) == "deep\n\ndeep\n\ndeep"
 
 
+def test_html_names_inside_an_article():
+    page = """<article><p>one two</p><p class="related-work">rel</p><h2 id="search">Search</h2><h2 id="legal">Legal</h2><p>text</p>
+    <div id="notice"><p>A long notice text</p></div><div class="related-links"><a>x</a></div><div class="ad">Buy</div><div class="ad-box">Buy</div>
+    <section class="related-work"><p>long text of the section</p></section><section class="related-stories"><a>see more</a></section>
+    <p class="advert">Buy</p><div class="comments-list">Nice</div><xmp>&amp; <b></xmp><div hidden>no</div></article>"""
+    want = ["one two", "rel", "Search", "Legal", "text", "A long notice text", "long text of the section", "&amp; <b>"]
+    assert htmltext.extract(htmltext.parse(page), None).split("\n\n") == want
+
+
+def test_html_long_broken_pages():
+    import time
+
+    parts = ['<div class="', "<![CDATA[>", "<!", "<b>", "<div>", "<b><h1></h1>", "</script ", "<a <b", "<td><p><button><b>", '<div class="related-work">x', "<i></b>"]
+    for part in parts:
+        start = time.process_time()
+        htmltext.extract(htmltext.parse(part * (1_000_000 // len(part)) + ">"), None)
+        assert time.process_time() - start < 8, part
+    assert htmltext.extract(htmltext.parse("<p>a</p>" * 3 + '<p class="b>c</p><p>d</p>'), None) == "a\n\na\n\na\n\nc\n\nd"
+
+
+def test_html_paths_keep_all_classes_and_depths():
+    deep = lambda last: "<div>" * 12 + f"<div class='a b c d {last}'>"
+    one, two = ({n.path for n in htmltext.parse(deep(x) + "text")[2][1:]} for x in "ef")
+    assert len(one) == 13 and len(one - two) == 1
+    outer = htmltext.parse("<section>" + deep("e") + "text")[2][-1].path
+    assert outer not in one
+
+
+def test_html_equals_a_plain_reading(spark):
+    """Pages put together from known blocks: the text must be those blocks."""
+    rng = random.Random(4)
+    sentence = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    junk = ["<nav><a href='/'>Home</a></nav>", "<div class='ad'>Buy now</div>", "<aside>Side</aside>", "<form><input>Mail</form>", "<script>x<1</script>", "<!-- <p>no</p> -->", "<footer>Foot</footer>"]
+    rows, want = [], {}
+    for i in range(120):
+        blocks = [sentence(rng.randrange(5, 60)) for _ in range(rng.randrange(2, 9))]
+        inner = "".join(rng.choice(junk) * rng.randrange(2) + f"<p id='p{k}' class='related-{k}'>{b.replace(' ', rng.choice([' ', '  ', chr(10)]), 1)}</p>" for k, b in enumerate(blocks))
+        body = "".join(rng.choice(junk) for _ in range(3)) + f"<article><h1 id='menu'>{sentence(4)} &amp; x</h1>{inner}</article>" + rng.choice(junk)
+        rows.append((i, f"https://h{i % 3}.example/{i}", f"<html><body>{body}</body></html>"))
+        head = body.split("<h1 id='menu'>")[1].split("</h1>")[0].replace("&amp;", "&")
+        want[i] = "\n\n".join([head, *blocks])
+    out = htmltext.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == want
+
+
 def test_html_consensus(spark):
     page = lambda body, side: f"<html><body><div class='left'><p>{side}</p></div><div class='post-1'><p>{body}</p></div></body></html>"
     rows = [(i, f"http://h.example/{i}", page("long article text " * 20, "x"), 1) for i in range(5)]
