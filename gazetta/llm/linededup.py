@@ -3,7 +3,8 @@
 A line goes if an equal line, or one within one edit (insertion,
 deletion, substitution of one character) stands earlier in the corpus; earliest
 means smallest (doc_id, line number), null doc_ids first. Blank lines always stay.
-Lines shorter than ``MIN_FUZZY`` characters are compared for equality only.
+A caller may ask that lines shorter than ``min_fuzzy`` characters are compared for
+equality only; by default all lines are compared.
 
 Deleting single characters would give a key for every character of the corpus, so
 variants are formed in two steps that together find the same pairs:
@@ -14,25 +15,27 @@ variants are formed in two steps that together find the same pairs:
    so two lines within the bound share a hashed key; 2 s(n) keys are emitted.
 2. Only for lines whose key another line has too (known by hash; up to
    ``BROADCAST_LINES`` of them are broadcast, more are shuffled), each position of the (short)
-   deleted block is deleted in turn. Equal variants meet; in every list members are
-   compared with the earliest line of the other kind, and the edit distance of the
+   deleted block is deleted in turn. Variants that another line has too (known by hash,
+   and broadcast or shuffled likewise) meet: members are compared with the earliest line
+   of the other kind, and the edit distance of the
    blocks is verified. All members of a substitution list differ at one character
    and an insertion list has one short line, so the earliest decides and no list
    is expanded into pairs.
 
-Lines are known by a 128-bit hash and their length; line texts are not shuffled.
-Null texts stay null. Rows that agree in doc_id and text are one document.
+Keys and variants are reduced by sums with partial aggregation and joined back, so one that
+many lines share is split. Lines are known by a 128-bit hash and their length; line texts
+are not shuffled. Null texts stay null, empty ones empty; of equal lines the earliest stays.
+Rows that agree in doc_id and text are one document and keep the same lines. Other columns
+pass unchanged; an empty table stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from gazetta.llm.common import cut, same, table, text_key
 
-MIN_FUZZY = 16
 BROADCAST_LINES = 2_000_000
 NOT_BLANK = r"[^\x09-\x0D\x20]"
 
@@ -59,7 +62,7 @@ def _blocks(n: Column) -> Column:
     return F.when(n < 512, 2).when(n < 4096, 4).otherwise(8)
 
 
-def _variants(lines: DataFrame, whole: bool) -> DataFrame:
+def _variants(lines: DataFrame, whole: bool, min_fuzzy: int) -> DataFrame:
     """Keys of the variants and the line's first hash; or, with ``whole``, all that a pair is verified by.
 
     ``long`` says that the line counts as one character too long; ``block`` is what the variant deletes.
@@ -83,24 +86,27 @@ def _variants(lines: DataFrame, whole: bool) -> DataFrame:
 
     n = F.col("n")
     both = F.concat(cut_out(n, 0), cut_out(n - 1, 1))
-    fuzzy = lines.filter(n >= MIN_FUZZY)
+    fuzzy = lines.filter(n >= min_fuzzy) if min_fuzzy > 1 else lines
     if not whole:
         return fuzzy.select(F.col("cls.a").alias("a"), F.explode(both).alias("key"))
     return fuzzy.select("cls", "at", F.explode(both).alias("v")).select("cls", "at", "v.*")
 
 
-def _near(lines: DataFrame) -> DataFrame:
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has at most BROADCAST_LINES rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_LINES else df
+
+
+def _near(lines: DataFrame, min_fuzzy: int) -> DataFrame:
     """cls of lines that have an earlier line within one edit."""
-    keys = _variants(lines, False).distinct()  # equal lines fall together before the shuffle
-    group = W.partitionBy("key")
-    shared = keys.select("key", "a", F.min("a").over(group).alias("lo"), F.max("a").over(group).alias("hi")).filter("lo <> hi")
-    shared = cut(shared.select("key", "a"))
-    near = shared.select("a").distinct()
-    side = F.broadcast(near) if near.count() <= BROADCAST_LINES else near
-    few = lines.withColumn("a", F.col("cls.a")).join(side, "a").drop("a")
-    members = (
-        _variants(few, True)
-        .join(shared.select("key").distinct(), "key")
+    keys = cut(_variants(lines, False, min_fuzzy).distinct())  # equal lines fall together before the shuffle
+    several = F.min("a") != F.max("a")
+    shared = cut(keys.groupBy("key").agg(several.alias("several")).filter("several").select("key"))
+    near = cut(keys.join(_small(shared), "key").select("a").distinct())
+    few = lines.withColumn("a", F.col("cls.a")).join(_small(near), "a").drop("a")
+    members = cut(
+        _variants(few, True, min_fuzzy)
+        .join(_small(shared), "key")
         .groupBy("key", "long", "cls")
         .agg(F.min("at").alias("at"), F.first("block").alias("block"))
     )
@@ -116,32 +122,34 @@ def _near(lines: DataFrame) -> DataFrame:
             F.array(F.xxhash64(F.lit("I"), F.col("key"), F.lit(-1), F.col("block"))),
         ),
     ).otherwise(F.array_distinct(F.transform(places, lambda p: F.xxhash64(F.lit("I"), F.col("key"), F.lit(-1), less(p)))))
-    keyed = members.select("cls", "at", "long", "block", F.explode(deletions).alias("variant"))
-    whole = W.partitionBy("variant")
+    variants = members.select(F.col("cls.a").alias("a"), F.explode(deletions).alias("variant")).groupBy("variant")
+    variants = cut(variants.agg(several.alias("several")).filter("several").select("variant"))
+    keyed = members.select("cls", "at", "long", "block", F.explode(deletions).alias("variant")).join(_small(variants), "variant")
+    keyed = cut(keyed)
     entry = F.struct("at", "cls", "block")
-    met = keyed.withColumn("short", F.min(F.when(~F.col("long"), entry)).over(whole)).withColumn(
-        "longer", F.min(F.when(F.col("long"), entry)).over(whole)
+    first = keyed.groupBy("variant").agg(
+        F.min(F.when(~F.col("long"), entry)).alias("short"), F.min(F.when(F.col("long"), entry)).alias("longer")
     )
     earlier = lambda c: (F.col(f"{c}.at") < F.col("at")) & (
         F.levenshtein(F.col("block"), F.col(f"{c}.block"), 1) >= 0
     )
     hit = F.coalesce(earlier("short"), F.lit(False)) | (~F.col("long") & F.coalesce(earlier("longer"), F.lit(False)))
-    return met.filter(hit).select("cls").distinct()
+    return keyed.join(first, "variant").filter(hit).select("cls").distinct()
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
+def kept_lines(docs: DataFrame, min_fuzzy: int = 0) -> DataFrame:
     """doc_id, th and the sorted numbers of the lines that stay, blank ones aside."""
     lines = _lines(docs)
     first = lines.groupBy("cls").agg(F.min("at").alias("at"))
-    stay = first.join(_near(lines), "cls", "left_anti")
+    stay = first.join(_near(lines, min_fuzzy), "cls", "left_anti")
     return stay.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.th").alias("th")).agg(
         F.collect_list("at.no").alias("stay")
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_fuzzy: int = 0) -> DataFrame:
     """docs with repeated lines cut out of text, plus ``_lines`` and ``_kept`` (lines that aren't blank)."""
-    stay = kept_lines(docs.select("doc_id", "text")).alias("b")
+    stay = kept_lines(docs.select("doc_id", "text"), min_fuzzy).alias("b")
     joined = docs.alias("a").join(
         stay, same((F.col("a.doc_id"), F.col("b.doc_id")), (text_key(F.col("a.text")), F.col("b.th"))), "left"
     )
@@ -184,7 +192,7 @@ WITH l AS (
 ), m AS (SELECT *, doc_id::HUGEINT * 100000000 + no AS pos, regexp_matches(line, '[^\x09-\x0D\x20]') AS word FROM l),
 c AS (SELECT line, min(pos) AS pos, length(line) AS n FROM m WHERE word GROUP BY line),
 f AS (SELECT *, left(line, n // 2) AS a0, substr(line, n // 2 + 1) AS b0,
-             left(line, (n - 1) // 2) AS a1, substr(line, (n - 1) // 2 + 2) AS b1 FROM c WHERE n >= 16),
+             left(line, (n - 1) // 2) AS a1, substr(line, (n - 1) // 2 + 2) AS b1 FROM c),
 cand AS (
   SELECT x.line AS l1, x.pos AS t1, y.line AS l2, y.pos AS t2, x.n AS n FROM f x JOIN f y ON x.n = y.n AND x.a0 = y.a0 AND x.line < y.line
   UNION SELECT x.line, x.pos, y.line, y.pos, x.n FROM f x JOIN f y ON x.n = y.n AND x.b0 = y.b0 AND x.line < y.line
