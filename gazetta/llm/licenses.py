@@ -18,9 +18,11 @@ Of a template with a version, a window must also hold a shingle with the version
 words that no other version of the license has. Variants of one license ("MIT#2")
 are reported by the name before the sign.
 
-The template table is a parameter; its bands are broadcast and their number is
-checked (``MAX_BANDS``). Null and empty texts have no license. Rows that agree in
-doc_id and text are one document with one result each.
+The template table is a parameter; up to ``MAX_BANDS`` bands of it are broadcast, more are
+joined by a shuffle. Null and empty texts have no license; long ones are searched whole.
+Rows that agree in doc_id and text are one document with one result each. Of several
+occurrences the first place and the best containment are given. An empty table gives an
+empty result; columns beside doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -82,6 +84,21 @@ TEMPLATES = {
 }
 # Full texts as their publishers state them.
 TEMPLATES |= {f"{p.stem}-full": p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+# Notices by rule: Creative Commons licenses of each version, and SPDX lines of two words or more.
+CC_TERMS = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+CC_VERSIONS = {"2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+for _code, _terms in CC_TERMS.items():
+    for _version, _kind in CC_VERSIONS.items():
+        TEMPLATES[f"CC-{_code}-{_version}#notice"] = f"This work is licensed under a Creative Commons {_terms} {_version} {_kind} License."
+        TEMPLATES[f"CC-{_code}-{_version}#short"] = f"Licensed under CC {_code} {_version}."
+SPDX = (
+    "AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only "
+    "GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT-0 MPL-1.1 MPL-2.0 MS-PL OFL-1.1 PSF-2.0 Zlib-acknowledgement"
+).split()
+TEMPLATES |= {f"{_id}#spdx": f"SPDX-License-Identifier: {_id}" for _id in SPDX}
 #: Versions of templates whose names have none.
 VERSIONS = {"GPL-header": "3", "AGPL-header": "3"}
 
@@ -190,7 +207,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     spark = docs.sparkSession
     bands = template_bands(spark, templates)
     sizes = sorted({r["m"] for r in bands.select("m").distinct().collect()})
-    assert len(templates) * BANDS <= MAX_BANDS, "too many templates to broadcast"
+    side = F.broadcast(bands) if len(templates) * BANDS <= MAX_BANDS else bands
     guards = guard_words(templates)
     low = ascii_lower(F.col("text"))
     held = F.lit(False)
@@ -216,7 +233,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     )
     shared = F.size(F.array_intersect("inside", "own"))
     return (
-        keyed.join(F.broadcast(bands), ["m", "band", "hash"])
+        keyed.join(side, ["m", "band", "hash"])
         .withColumn("shared", shared)
         .filter(F.col("shared") * 100 >= F.col("m") * CONTAINMENT)
         .filter((F.size("keys") == 0) | F.arrays_overlap("inside", "keys"))
