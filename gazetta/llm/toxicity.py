@@ -4,7 +4,7 @@ Learning (labelled rows only, never those held out):
 
 1. Words and word stems are counted by document over a sample of the labelled rows,
    bounded by ``TRAIN_ROWS``; terms far more common in toxic documents form the
-   lexicon (at most ``MAX_TERMS``, and the whole words that its stems cover).
+   lexicon, all of them, with the whole words that its stems cover.
 2. The lexicon is a trie. Words run through its product with a Levenshtein automaton,
    determinised lazily: a state is a set of (trie node, edits so far). Whole terms
    match within one edit (two from ten letters on; none below five) and look-alike
@@ -15,7 +15,8 @@ Learning (labelled rows only, never those held out):
    A misspelling also weighs by the share of toxic documents among those of its term.
 4. A logistic model over sums of these weights is fitted on the same sample.
 
-Scoring streams whole texts through the automaton. Empty and null texts have the
+Scoring streams whole texts through the automaton, row by row: repeated rows each get the
+score of their text, other columns pass through ``keep_civil``, an empty table stays empty. Empty and null texts have the
 score of no match. A doc_id with several labels counts as toxic if one is. Labels
 without a document, and null labels, are ignored. Without both classes among the
 labels the lexicon is empty and every score is the share of toxic ones, kept below 0.5.
@@ -31,11 +32,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from gazetta.llm.common import cut, table, text_key
 
 TRAIN_ROWS = 12_000
-MAX_TERMS = 400
 LEAST_DOCS = 5
 LEAST_RATIO = 6.0
 STEMS = range(4, 9)
@@ -248,7 +249,7 @@ def learn_terms(train: DataFrame) -> list[str]:
         *[F.when(F.length(w) > k, F.array(F.concat(F.substring(w, 1, k), F.lit("*")))).otherwise(F.array().cast("array<string>")) for k in STEMS],
     )
     found = (
-        train.withColumn("w", F.filter(words, lambda w: F.length(w).between(3, 40)))
+        train.withColumn("w", F.filter(words, lambda w: F.length(w) >= 3))
         .select("toxic", F.explode(F.array_distinct(F.flatten(F.transform("w", forms)))).alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
@@ -256,21 +257,26 @@ def learn_terms(train: DataFrame) -> list[str]:
     )
     ratio = (F.col("bad") / n[1]) / ((F.col("good") + 1) / n[0])
     gain = F.col("bad") * F.log(ratio)
-    best = found.withColumn("gain", gain).filter(ratio >= LEAST_RATIO).orderBy(F.desc("gain"), "term").limit(5 * MAX_TERMS).collect()
+    # forms of the words of a sample bounded by TRAIN_ROWS, each in LEAST_DOCS of its documents
+    best = found.withColumn("gain", gain).filter(ratio >= LEAST_RATIO).collect()
     chosen: list[str] = []
     covered: list[str] = []  # whole words of a chosen stem, which matches no misspelling of them
-    count: dict[str, int] = {}
-    for r in sorted(best, key=lambda r: (-r["gain"], r["term"][0] != "=", -len(r["term"]))):
-        word = r["term"].strip("=*")
-        if any(c[-1] == "*" and word.startswith(c[:-1]) for c in chosen):
-            if r["term"][0] == "=":
+    stems: set[str] = set()
+    begun: dict[str, int] = {}  # by beginning: the most documents of a chosen whole word
+    for r in sorted(best, key=lambda r: (-r["gain"], r["term"][0] != "=", -len(r["term"]), r["term"])):
+        whole, word = r["term"][0] == "=", r["term"].strip("=*")
+        if any(word[:k] in stems for k in STEMS):
+            if whole:
                 covered.append(r["term"])
             continue
-        if r["term"][-1] == "*" and any(c[0] == "=" and c[1:].startswith(word) and count[c] * 1.3 >= r["bad"] for c in chosen):
+        if not whole and begun.get(word, 0) * 1.3 >= r["bad"]:
             continue
-        if len(chosen) < MAX_TERMS:
-            chosen.append(r["term"])
-            count[r["term"]] = r["bad"]
+        chosen.append(r["term"])
+        if whole:
+            for k in STEMS:
+                begun[word[:k]] = max(begun.get(word[:k], 0), r["bad"])
+        else:
+            stems.add(word)
     return chosen + covered
 
 
@@ -388,7 +394,9 @@ def keep_civil(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Da
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # numbered names on the way, as mapInArrow takes none with a dot
+    fields = [StructField(f"_{i}", f.dataType, True) for i, f in enumerate(docs.schema)]
+    return docs.toDF(*[f.name for f in fields]).mapInArrow(run, StructType(fields)).toDF(*docs.columns)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
