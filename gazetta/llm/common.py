@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,13 @@ ASCII_LOWER = ASCII_UPPER.lower()
 def cut(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint in the cluster's shared folder.
 
-    ``spark.checkpoint.dir`` of the session decides; only where it is unset
-    (tests on one machine) a folder is made here.
+    ``spark.checkpoint.dir`` of the session decides; only where it is unset on one
+    machine (tests) a folder is made here. A cluster without that setting is an error.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gazetta-checkpoint-"))
     return df.checkpoint(eager=True)
 

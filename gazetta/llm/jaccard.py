@@ -36,7 +36,9 @@ five-word shingles. Links are found without listing the pairs inside a group:
 Nothing is capped: hot tokens are delayed by the order, never dropped. Documents
 without words have n_shingles 0 and link with nothing. A null text counts as empty.
 Rows that agree in doc_id and text are one document. component_id is the smallest
-doc_id reachable; null doc_ids do not count for it.
+doc_id reachable; null doc_ids do not count for it. An empty table gives an empty result;
+``keep_one`` passes other columns unchanged, and keeps all rows that repeat the doc_id and
+text of the document that stays.
 """
 
 from __future__ import annotations

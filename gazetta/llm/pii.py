@@ -17,7 +17,9 @@ classifier is sure and no base span overlaps.
 4. The classifier's weights become a SQL expression over the candidates.
 
 Places are code points, ends exclusive. A null text counts as empty. Repeated rows
-each get their own result. The patterns need no backtracking over long runs: a
+each get their own result. Spans that begin alike are ordered by kind as listed; of added
+candidates that overlap, the first stays. Without candidates, or for an empty table, nothing
+is fitted and no span is added. Columns beside doc_id and text are not read. The patterns need no backtracking over long runs: a
 start inside a run is tried only where the previous match ended.
 """
 

@@ -206,13 +206,13 @@ def edits_at_most_one(a, b):
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
-def brute_lines(rows):
+def brute_lines(rows, min_fuzzy=0):
     first = {}
     for i, t in sorted((i, t) for i, t in rows if t is not None):
         for n, line in enumerate(t.split("\n")):
             if line.strip(" \t\n\r\x0b\x0c"):
                 first.setdefault(line, (i, n))
-    gone = {a for a in first for b in first if first[b] < first[a] and min(len(a), len(b)) >= linededup.MIN_FUZZY and edits_at_most_one(a, b)}
+    gone = {a for a in first for b in first if first[b] < first[a] and min(len(a), len(b)) >= min_fuzzy and edits_at_most_one(a, b)}
     keep = lambda i, n, x: not x.strip(" \t\n\r\x0b\x0c") or first[x] == (i, n) and x not in gone
     return {i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if keep(i, n, x)) for i, t in rows}
 
@@ -237,6 +237,15 @@ def test_line_dedup_matches_brute_force(spark):
     assert out.columns[:5] == [c.split()[0] for c in SCHEMA.split(", ")]
 
 
+@pytest.mark.parametrize("min_fuzzy", [0, 3])
+def test_short_lines(spark, min_fuzzy):
+    rng = random.Random(6)
+    texts = ["\n".join("".join(rng.choice("abé7") for _ in range(rng.randrange(1, 16))) for _ in range(rng.randrange(1, 9))) for _ in range(25)]
+    texts += ["a", "b", "fifteen letters", "fifteen lettert", "", "ab"]
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, texts), min_fuzzy).collect()}
+    assert got == brute_lines(list(enumerate(texts)), min_fuzzy)
+
+
 def test_line_dedup_repeated_rows_and_empty_table(spark):
     out = linededup.dedup_lines(frame(spark, ["a line here", "a line here", "a line here"], [2, 2, None])).collect()
     assert sorted((str(r.doc_id), r.text) for r in out) == [("2", ""), ("2", ""), ("None", "a line here")]
@@ -267,6 +276,44 @@ def test_guard_words_cover_every_template():
         assert len({g for g in grams if not guards & set(g)}) < 0.75 * len(grams)
 
 
+def brute_licenses(text, templates):
+    """Licenses by any window of shingles as long as a window of the operator, compared with every template."""
+    grams = lambda t: [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if (w := [x for x in licenses.template_words(t or "") if x]) else []
+    keys, own, found = licenses.version_shingles(templates), grams(text), set()
+    for name, template in templates.items():
+        want = set(grams(template))
+        m = len(want)
+        step = max(1, m // 4)
+        for i in range(0, max(1, len(own) - (m + step - 1) + step), step):
+            inside = set(own[i : i + m + step - 1])
+            if 100 * len(inside & want) >= 75 * m and (name not in keys or {" ".join(g) for g in inside} & set(keys[name])):
+                found.add(name.split("#")[0])
+    return found
+
+
+def test_licenses_match_brute_force(spark):
+    rng = random.Random(8)
+    names = [k for k in sorted(licenses.TEMPLATES) if len(licenses.TEMPLATES[k]) < 3000]
+    templates = {k: licenses.TEMPLATES[k] for k in names}
+    texts = []
+    for k in names:
+        w = templates[k].split()
+        for _ in range(len(w) // 40):
+            w[rng.randrange(len(w))] = rng.choice(["changed", "license", "3.0"])
+        texts.append(f"{words(rng, rng.randrange(60))} {' '.join(w)} {words(rng, rng.randrange(40))}")
+    texts += [" ".join(templates[k] for k in rng.sample(names, 3)) for _ in range(12)]
+    found = {i: set() for i in range(len(texts))}
+    for r in licenses.scan(frame(spark, texts), templates).collect():
+        found[r.doc_id].add(r.license)
+    assert found == {i: brute_licenses(t, templates) for i, t in enumerate(texts)}
+
+
+def test_large_template_table_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "MAX_BANDS", 1)
+    texts = [f"{words(random.Random(1), 40)} Released under the MIT license!", "nothing"]
+    assert {(r.doc_id, r.license) for r in licenses.scan(frame(spark, texts)).collect()} == {(0, "MIT")}
+
+
 def test_license_versions_and_variants(spark):
     t = licenses.TEMPLATES
     texts = [t["GPL-3.0"].replace("3", "2"), t["GPL-3.0"].replace("3", "9"), "Licensed under the MIT license", t["Unlicense"], t["LGPL-2.1"], t["LGPL-3.0"], t["AGPL-3.0"]]
