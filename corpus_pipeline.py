@@ -1,7 +1,14 @@
 """Corpus pipeline: toxicity, line dedup, near duplicates, decontamination, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. All
-but the last return the columns of docs; the last returns what op6_sentencepiece does.
+but the last return the columns of docs, whatever further columns there are; the last
+returns what op6_sentencepiece does.
+
+A null text stays null, counts as empty, links with nothing and has the end id only. Rows
+that agree in doc_id and text are one document and go or stay together; a null doc_id is
+kept like any other. Of equal lines and of linked documents the one with the smallest
+doc_id stays. Empty tables of documents, labels or benchmark give no rows, no lexicon and
+no hits.
 """
 
 from __future__ import annotations
@@ -51,7 +58,7 @@ STAGES = [
     ("tokens", tokens),
 ]
 
-#: The learned toxicity score has no SQL form; the tests hold run() against a brute-force version.
+#: The learned toxicity score has no SQL form; tests/llm/test_pipeline.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
