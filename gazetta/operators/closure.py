@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> None:
+    """Make sure of a checkpoint folder: the one of spark.checkpoint.dir, or on one machine a new one."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gazetta-checkpoint-"))
+
+
 def resolve_successors(edges: DataFrame, starts: DataFrame, reference: DataFrame) -> DataFrame:
     """id, resolved: the first unit of ``reference`` on the chain from each start; null for a cycle or a dead end.
 
@@ -16,9 +25,7 @@ def resolve_successors(edges: DataFrame, starts: DataFrame, reference: DataFrame
     of n edges takes log2(n) joins and a cycle ends by the round that passes the
     number of edges, without visited lists.
     """
-    spark = edges.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gazetta-checkpoint-"))
+    shared_folder(edges.sparkSession)
     ref = reference.select(F.col("id").alias("to_id")).distinct().withColumn("done", F.lit(True))
     first = edges.filter("to_id is not null and to_id <> ''").groupBy("from_id").agg(F.min_by("to_id", "seq").alias("to_id"))
     # a unit of the reference set points to itself and stays
