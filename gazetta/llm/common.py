@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver's JVM collect, so that Spark's cleaner drops the shuffle files, checkpoints and
+    broadcast blocks of rounds that are over, which it only does for objects that have been collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs inside, as long texts make large ones."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. Pure ASCII strings take the JVM's fast path."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

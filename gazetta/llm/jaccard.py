@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import cut, same, table, text_key, without
+from gazetta.llm.common import cut, release, same, small_batches, table, text_key, without
 
 K = 5
 MATCHES = 4
@@ -69,6 +69,7 @@ HELD_TOKENS = 1_000_000
 SLICE = 256
 MAX_NEEDED = 1_000_000
 SALT_FROM = 4096
+TASK_EDGES = 1_000_000
 CHUNK = 1_000_000
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
@@ -275,7 +276,8 @@ def token_levels(docs: DataFrame) -> Broadcast:
 
     blocks = distinct_texts(docs).select("text").mapInArrow(cut_up, "part int, tokens binary, counts binary")
     blocks = blocks.repartition(parts, "part").sortWithinPartitions("part")
-    made = cut(blocks.mapInArrow(add_up, "part int, bits binary, token long, level int"))
+    with small_batches(docs.sparkSession):
+        made = cut(blocks.mapInArrow(add_up, "part int, bits binary, token long, level int"))
     bitmap = np.zeros(BITMAP_WORDS, np.uint64)
     # BITMAP_WORDS words in all, a row for each part
     marks = made.filter("part is not null").select("part", "bits").toArrow()
@@ -336,7 +338,13 @@ def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
     made = _rows(docs).mapInArrow(
         run, f"doc_id {kind}, th long, n long, cid long, l long, p long, u long, tokens array<long>, marks array<long>"
     )
-    return cut(made)
+    with small_batches(docs.sparkSession):
+        return cut(made)
+
+
+def _far(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: always shuffled, never collected by the driver to be broadcast."""
+    return df.hint("merge")
 
 
 def _sized(a: str, b: str) -> Column:
@@ -357,7 +365,7 @@ def _enough(a: str, b: str, short: bool = False) -> Column:
 
 def sets_of(classes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """cid and its shingles s for the given distinct cids; cut."""
-    need = cut(classes.join(owners, "cid").select("cid", "owner.doc_id", "owner.th"))
+    need = cut(classes.join(_far(owners), "cid").select("cid", "owner.doc_id", "owner.th"))
     side = F.broadcast(need) if need.count() <= MAX_NEEDED else need
     own = _rows(docs).alias("a").join(
         side.alias("b"), same((F.col("a.doc_id"), F.col("b.doc_id")), (F.col("a.th"), F.col("b.th")))
@@ -369,30 +377,59 @@ def sets_of(classes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], names=["cid", "s"])
 
     # rows that repeat doc_id and text have equal sets
-    return cut(own.select("b.cid", "a.text").mapInArrow(sets, "cid long, s array<long>").dropDuplicates(["cid"]))
+    with small_batches(docs.sparkSession):
+        return cut(own.select("b.cid", "a.text").mapInArrow(sets, "cid long, s array<long>").dropDuplicates(["cid"]))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """The pairs (x, y) of classes whose sets link."""
     held = sets_of(pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct(), docs, owners)
-    both = pairs.join(held.select(F.col("cid").alias("x"), F.col("s").alias("sx")), "x").join(
-        held.select(F.col("cid").alias("y"), F.col("s").alias("sy")), "y"
+    both = pairs.join(_far(held.select(F.col("cid").alias("x"), F.col("s").alias("sx"))), "x").join(
+        _far(held.select(F.col("cid").alias("y"), F.col("s").alias("sy"))), "y"
     )
+    release(docs.sparkSession)
     # 100 * shared >= 75 * union, row by row on the JVM: no batch holds many copies of a long set
     return cut(both.filter(7 * F.size(F.array_intersect("sx", "sy")) >= 3 * (F.size("sx") + F.size("sy"))).select("x", "y"))
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(v, root) of the components of a partition's edges; root is the smallest vertex."""
+    rows = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches]
+    ends = np.concatenate(rows, axis=1) if rows else np.empty((2, 0), np.int64)
+    names, at = np.unique(ends, return_inverse=True)
+    x, y = at.reshape(2, -1)
+    root = np.arange(len(names))
+    while (apart := root[x] != root[y]).any():
+        x, y = x[apart], y[apart]
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        np.minimum.at(root, high, low)
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up
+    for i in range(0, len(names), SLICE * 64):
+        few = slice(i, i + SLICE * 64)
+        yield pa.RecordBatch.from_arrays([pa.array(names[few]), pa.array(names[root[few]])], names=["x", "y"])
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """v, root (smallest vertex of its component) for every vertex of the edges (x, y)."""
-    both = edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).filter("x <> y").distinct()
+    """v, root (smallest vertex of its component) for every vertex of the edges (x, y).
+
+    Partitions of at most about ``TASK_EDGES`` edges become forests first; what spans several is joined in rounds.
+    """
+    edges = cut(edges.select("x", "y"))
+    parts = -(-edges.count() // TASK_EDGES)
+    forest = cut(edges.repartition(max(1, parts)).mapInArrow(_forest, "x long, y long"))
+    if parts <= 1:
+        return forest.select(F.col("x").alias("v"), F.col("y").alias("root"))
+    both = forest.union(forest.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
     both = cut(both)
     label = cut(both.groupBy(F.col("x").alias("v")).agg(F.least(F.min("y"), F.first("x")).alias("root")))
     while True:
-        near = both.join(label.select(F.col("v").alias("y"), "root"), "y").groupBy(F.col("x").alias("v")).agg(F.min("root").alias("low"))
-        step = label.join(near, "v").select("v", "root", F.least("root", "low").alias("low"))
+        near = both.join(_far(label.select(F.col("v").alias("y"), "root")), "y").groupBy(F.col("x").alias("v")).agg(F.min("root").alias("low"))
+        step = label.join(_far(near), "v").select("v", "root", F.least("root", "low").alias("low"))
         jump = label.select(F.col("v").alias("low"), F.col("root").alias("far"))
-        step = cut(step.join(jump, "low", "left").select("v", F.least("low", F.coalesce("far", "low")).alias("root"), F.col("root").alias("was")))
+        step = cut(step.join(_far(jump), "low", "left").select("v", F.least("low", F.coalesce("far", "low")).alias("root"), F.col("root").alias("was")))
         label = step.select("v", "root")
+        release(edges.sparkSession)
         if step.filter("root <> was").isEmpty():
             return label
 
@@ -400,11 +437,11 @@ def components(edges: DataFrame) -> DataFrame:
 def merged(label: DataFrame, edges: DataFrame) -> DataFrame:
     """The components of label (v, root) after further edges (x, y); only their contracted graph is searched."""
     ends = label.select(F.col("v").alias("x"), F.col("root").alias("a")), label.select(F.col("v").alias("y"), F.col("root").alias("b"))
-    named = edges.join(ends[0], "x", "left").join(ends[1], "y", "left")
+    named = edges.join(_far(ends[0]), "x", "left").join(_far(ends[1]), "y", "left")
     more = components(named.select(F.coalesce("a", "x").alias("x"), F.coalesce("b", "y").alias("y")))
     up = more.select(F.col("v").alias("root"), F.col("root").alias("top"))
-    old = label.join(up, "root", "left").select("v", F.coalesce("top", "root").alias("root"))
-    return cut(old.union(more.join(label, "v", "left_anti")))
+    old = label.join(_far(up), "root", "left").select("v", F.coalesce("top", "root").alias("root"))
+    return cut(old.union(more.join(_far(label), "v", "left_anti")))
 
 
 def _lists_of(lite: DataFrame) -> DataFrame:
@@ -425,7 +462,7 @@ def _pairs(counted: DataFrame) -> DataFrame:
 def _named(lists: DataFrame, label: DataFrame) -> DataFrame:
     """Members of lists (token, short, m) with the root of their component."""
     own = label.select(F.col("v").alias("cid"), "root")
-    named = lists.select("token", "short", "m").join(own, F.col("m.cid") == F.col("cid"), "left")
+    named = lists.select("token", "short", "m").join(_far(own), F.col("m.cid") == F.col("cid"), "left")
     return named.select("token", "short", "m", F.coalesce("root", "m.cid").alias("root")).distinct()
 
 
@@ -433,6 +470,7 @@ def class_links(docs: DataFrame, lite: DataFrame, shared: Broadcast) -> DataFram
     """v, root for every class that links with another one."""
     owners = lite.filter("cid is not null").groupBy("cid").agg(F.min(F.struct("doc_id", "th")).alias("owner"))
     lists = _lists_of(lite)
+    release(docs.sparkSession)
     star = lists.filter("m.cid <> hub.cid").select("token", F.col("hub").alias("a"), F.col("m").alias("b"))
     hubs = lists.filter("salt > 0").select("token", "hub").distinct()
     top = hubs.select("token", "hub", F.min("hub").over(W.partitionBy("token")).alias("top"))
@@ -445,10 +483,10 @@ def class_links(docs: DataFrame, lite: DataFrame, shared: Broadcast) -> DataFram
     # second star round: members outside their hub's component meet the next hubs of the list
     place = F.row_number().over(W.partitionBy("token").orderBy("m", "short"))
     hubs = named.withColumn("place", place).filter(F.col("place") <= HUBS)
-    met = named.alias("p").join(hubs.alias("q"), (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root")))
+    met = named.alias("p").join(_far(hubs.alias("q")), (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root")))
     met = met.select(F.col("p.m").alias("b"), F.col("q.m").alias("a"), F.col("p.token").alias("token")).filter(_sized("a", "b"))
     again = met.groupBy("a", "b").agg(F.count_distinct("token").alias("shared")).filter(_enough("a", "b"))
-    again = cut(_pairs(again).join(tried, ["x", "y"], "left_anti"))
+    again = cut(_pairs(again).join(_far(tried), ["x", "y"], "left_anti"))
     new = verify(again, docs, owners)
     tried = tried.union(again)
     label = merged(label, new)
@@ -457,10 +495,11 @@ def class_links(docs: DataFrame, lite: DataFrame, shared: Broadcast) -> DataFram
     of_list = named.groupBy("token").agg(
         F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("short").alias("any"), F.count("*").alias("size"), F.min("m").alias("hub")
     ).filter("lo <> hi and any").select("token", "size", "hub")
-    mixed = cut(named.join(of_list, "token"))
+    mixed = cut(named.join(_far(of_list), "token"))
+    release(docs.sparkSession)
     few = mixed.filter(F.col("size") <= FEW)
     pairs = few.filter("short").alias("p").join(
-        few.alias("q"),
+        _far(few.alias("q")),
         (F.col("p.token") == F.col("q.token"))
         & (F.col("p.root") != F.col("q.root"))
         & (F.struct("p.m.n", "p.m.cid") < F.struct("q.m.n", "q.m.cid"))
@@ -472,74 +511,73 @@ def class_links(docs: DataFrame, lite: DataFrame, shared: Broadcast) -> DataFram
     if not many.isEmpty():
         beyond, near = _beyond_hubs(many, docs, owners, shared)
         rest = rest.union(beyond).distinct()
-    more = verify(cut(rest.join(tried, ["x", "y"], "left_anti")), docs, owners)
+    more = verify(cut(rest.join(_far(tried), ["x", "y"], "left_anti")), docs, owners)
     return merged(label, more.union(near) if near else more)
 
 
 def _beyond_hubs(many: DataFrame, docs: DataFrame, owners: DataFrame, shared: Broadcast) -> tuple[DataFrame, DataFrame]:
     """Pairs (x, y) of long lists that may link though one of them doesn't link with the hub; links of members with their hubs."""
-    duo = many.filter("m.cid <> hub.cid").select("m", "root", "hub").distinct()
-    least = many.groupBy(F.col("hub.cid").alias("h")).agg(F.min("m.n").alias("least"))
-    duo = cut(duo.withColumn("h", F.col("hub.cid")).join(least, "h"))
+    duo = cut(many.filter("m.cid <> hub.cid").select("m", "root", "hub", F.col("hub.cid").alias("h")).distinct())
     held = sets_of(duo.select(F.col("m.cid").alias("cid")).union(duo.select("h")).distinct(), docs, owners)
-    both = duo.withColumn("cid", F.col("m.cid")).join(held, "cid").join(held.select(F.col("cid").alias("h"), F.col("s").alias("sh")), "h")
+    both = duo.withColumn("cid", F.col("m.cid")).join(_far(held), "cid").join(_far(held.select(F.col("cid").alias("h"), F.col("s").alias("sh"))), "h")
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(*shared.value)
         for batch in _slices(batches):
-            common, outside, index, probe, tokens, front = [], [], [], [], [], []
-            for least, s, hub in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)], strict=True):
+            common, outside, probe, tokens, places = [], [], [], [], []
+            for s, hub in zip(*[batch.column(i).to_pylist() for i in (2, 3)], strict=True):
                 s, hub = np.array(s, np.int64).view(np.uint64), np.array(hub, np.int64).view(np.uint64)
                 own = np.setdiff1d(s, hub, assume_unique=True)
                 n, c = len(s), len(s) - len(own)
                 level = levels(own)
                 order = np.lexsort((own, level))
                 own, level = own[order], level[order]
-                # a partner of n' >= 3/4 n shingles needs 3/7 (n + n') - c common ones outside the hub
+                # a partner of n' shingles needs 3/7 (n + n') - c common ones outside the hub; n' >= 3/4 n, or >= n of the larger one
                 p = max(0, len(own) - max(1, required(n) - c) + 1)
-                q = max(0, len(own) - max(1, -(-3 * (n + max(required(n), least)) // 7) - c) + 1)
-                q = q if 7 * c < 3 * (n + len(hub)) else 0
+                q = max(0, len(own) - max(1, (6 * n + 6) // 7 - c) + 1)
                 keep = level[:p] > 0
                 common.append(c)
                 outside.append(len(own))
-                index.append(p)
                 probe.append(q)
                 tokens.append(own[:p][keep].view(np.int64))
-                front.append((np.arange(p) < q)[keep])
-            ints = [pa.array(x, pa.int64()) for x in (common, outside, index, probe)]
-            flags = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, front)]).astype(np.int32)), pa.array(np.concatenate(front)))
+                places.append(np.arange(p)[keep])
+            ints = [pa.array(x, pa.int64()) for x in (common, outside, probe)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *ints, _lists(tokens), flags],
-                names=["h", "cid", "c", "d", "index", "probe", "tokens", "front"],
+                [batch.column(0), batch.column(1), *ints, _lists(tokens), _lists(places)],
+                names=["h", "cid", "c", "d", "probe", "tokens", "places"],
             )
 
-    schema = "h long, cid long, c long, d long, index long, probe long, tokens array<long>, front array<boolean>"
-    seen = cut(both.select("h", "cid", "least", "s", "sh").mapInArrow(differ, schema))
-    seen = duo.select("h", F.col("m.cid").alias("cid"), "m", "root", "hub").join(seen, ["h", "cid"])
-    near = seen.filter(7 * F.col("c") >= 3 * (F.col("m.n") + F.col("hub.n")))
+    schema = "h long, cid long, c long, d long, probe long, tokens array<long>, places array<long>"
+    with small_batches(docs.sparkSession):
+        seen = cut(both.select("h", "cid", "s", "sh").mapInArrow(differ, schema))
+    seen = duo.select("h", F.col("m.cid").alias("cid"), "m", "root", "hub").join(_far(seen), ["h", "cid"])
+    seen = seen.withColumn("open", 7 * F.col("c") < 3 * (F.col("m.n") + F.col("hub.n")))
+    near = seen.filter("not open")
     near = cut(near.select(F.least("h", "cid").alias("x"), F.greatest("h", "cid").alias("y")).distinct())
-    listed = seen.select("h", "m", "root", "c", "d", "index", "probe", F.explode(F.arrays_zip("tokens", "front")).alias("t"))
-    listed = cut(listed.select("h", F.col("t.tokens").alias("token"), F.struct("m.u", "m.cid", "m.n", "c", "d", "index", "probe").alias("m"), "root", F.col("t.front").alias("front")))
-    over = F.ceil(3 * (F.col("a.n") + F.col("b.n")) / 7) - F.least("a.c", "b.c")
-    met = listed.filter("front").alias("p").join(
-        listed.alias("q"),
-        (F.col("p.h") == F.col("q.h")) & (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root")) & _sized("p.m", "q.m"),
-    ).select(F.col("p.h").alias("h"), F.col("p.m").alias("a"), F.col("q.m").alias("b"))
-    strong = met.groupBy("h", "a", "b").agg(F.count("*").alias("shared"))
-    strong = strong.filter(F.col("shared") >= over - F.greatest(F.col("a.d") - F.col("a.probe"), F.col("b.d") - F.col("b.index")))
+    listed = seen.select("h", F.struct("m.n", "m.cid", "m.u", "c", "d", "probe").alias("m"), "root", "open", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
+    listed = cut(listed.select("h", F.col("t.tokens").alias("token"), F.col("t.places").alias("place"), "m", "root", "open"))
+    # the smaller set of a pair probes with few tokens, the larger one's prefix is indexed; from the first
+    # shingle that both have outside the hub on, there must be as many as the pair needs
+    rest = F.least(F.col("p.m.d") - F.col("p.place"), F.col("q.m.d") - F.col("q.place"))
+    met = listed.filter("place < m.probe").alias("p").join(
+        _far(listed.alias("q")),
+        (F.col("p.h") == F.col("q.h")) & (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root"))
+        & (F.struct("p.m.n", "p.m.cid") < F.struct("q.m.n", "q.m.cid")) & (F.col("p.open") | F.col("q.open")) & _sized("p.m", "q.m")
+        & (7 * (F.least("p.m.c", "q.m.c") + rest) >= 3 * (F.col("p.m.n") + F.col("q.m.n"))),
+    ).select(F.col("p.m").alias("a"), F.col("q.m").alias("b"))
     # both lie in the hub so far that they need nothing outside: x, not linked with it, and y, shorter than it
     inside = many.filter("m.cid <> hub.cid").select("token", F.col("hub.cid").alias("h"), F.col("m.cid").alias("cid"), "m", "root")
-    inside = inside.join(seen.select("h", "cid", "c", (7 * F.col("c") < 3 * (F.col("m.n") + F.col("hub.n"))).alias("open"), F.floor(7 * F.col("c") / 3 - F.col("m.n")).alias("most")), ["h", "cid"])
+    inside = inside.join(_far(seen.select("h", "cid", "c", "open", F.floor(7 * F.col("c") / 3 - F.col("m.n")).alias("most"))), ["h", "cid"])
     inside = inside.filter("4 * most >= 3 * m.n")
     bound = inside.groupBy("token").agg(F.max(F.when(F.col("open"), F.col("most"))).alias("hi"), F.min(F.when(F.col("open"), F.col("m.n"))).alias("lo"), F.min("m.n").alias("low"))
-    inside = inside.join(bound, "token").filter("(open and most >= low) or (m.n <= hi and most >= lo)")
+    inside = inside.join(_far(bound), "token").filter("(open and most >= low) or (m.n <= hi and most >= lo)")
     inside = cut(inside.select("token", "open", "most", "m", "root"))
     within = inside.filter("open").alias("p").join(
-        inside.alias("q"),
+        _far(inside.alias("q")),
         (F.col("p.token") == F.col("q.token")) & (F.col("p.root") != F.col("q.root"))
         & (F.col("p.most") >= F.col("q.m.n")) & (F.col("q.most") >= F.col("p.m.n")) & _sized("p.m", "q.m"),
     ).select(F.col("p.m").alias("a"), F.col("q.m").alias("b"))
-    return cut(_pairs(strong).union(_pairs(within)).distinct()), near
+    return cut(_pairs(met).union(_pairs(within)).distinct()), near
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -548,12 +586,13 @@ def link_documents(docs: DataFrame) -> DataFrame:
     lite = prefixes(docs, shared)
     label = class_links(docs, lite, shared)
     shared.destroy()  # all that used it has been cut
+    release(docs.sparkSession)
     rows = lite.select("doc_id", "th", "n", "cid")
     least = rows.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(label.withColumnRenamed("v", "cid"), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
+    rooted = least.join(_far(label.withColumnRenamed("v", "cid")), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     group = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = rooted.select("cid", "root").join(group, "root").select("cid", "component_id")
-    out = rows.join(of_class, "cid", "left")
+    of_class = rooted.select("cid", "root").join(_far(group), "root").select("cid", "component_id")
+    out = rows.join(_far(of_class), "cid", "left")
     return out.select(
         "doc_id", "th", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

@@ -166,6 +166,20 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, salt):
     assert [out[i] for i in range(len(texts))] == brute_components(texts)
 
 
+@pytest.mark.parametrize("task_edges", [10**6, 40])
+def test_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(jaccard, "TASK_EDGES", task_edges)
+    rng = random.Random(2)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000)]
+    root = {v: v for e in edges for v in e}
+    for _ in edges:
+        for x, y in edges:
+            root[x] = root[y] = min(root[x], root[y])
+    out = jaccard.components(spark.createDataFrame(edges, "x long, y long"))
+    assert sorted((r.v, r.root) for r in out.collect()) == sorted(root.items())
+    assert jaccard.components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
 @pytest.mark.parametrize("hubs", [0, 1])
 def test_jaccard_group_beyond_hubs(spark, monkeypatch, hubs):
     """Copies whose few edits recur, excerpts shorter than any hub, and clusters far from the hub."""
