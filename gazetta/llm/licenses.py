@@ -93,7 +93,7 @@ CC_VERSIONS = {"2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "In
 for _code, _terms in CC_TERMS.items():
     for _version, _kind in CC_VERSIONS.items():
         TEMPLATES[f"CC-{_code}-{_version}#notice"] = f"This work is licensed under a Creative Commons {_terms} {_version} {_kind} License."
-        TEMPLATES[f"CC-{_code}-{_version}#short"] = f"Licensed under CC {_code} {_version}."
+        TEMPLATES[f"CC-{_code}-{_version}#short"] = f"This work is licensed under CC {_code} {_version}."
 SPDX = (
     "AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only "
     "GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT-0 MPL-1.1 MPL-2.0 MS-PL OFL-1.1 PSF-2.0 Zlib-acknowledgement"
