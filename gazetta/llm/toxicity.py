@@ -3,8 +3,10 @@
 Learning (labelled rows only, never those held out):
 
 1. Words and word stems are counted by document over a sample of the labelled rows,
-   bounded by ``TRAIN_ROWS``; terms far more common in toxic documents form the
-   lexicon, all of them, with the whole words that its stems cover.
+   bounded by ``TRAIN_ROWS``. Terms far more common in toxic documents than by chance join
+   the lexicon in the order of their gain, as long as they occur in toxic documents
+   that the terms before explain too little, with the whole words that stems cover.
+   Its size follows from the labels; there is no cap.
 2. The lexicon is a trie. Words run through its product with a Levenshtein automaton,
    determinised lazily: a state is a set of (trie node, edits so far). Whole terms
    match within one edit (two from ten letters on; none below five) and look-alike
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,10 @@ from gazetta.llm.common import cut, table, text_key
 TRAIN_ROWS = 12_000
 LEAST_DOCS = 5
 LEAST_RATIO = 6.0
+#: Chance that any term of the lexicon stands out by chance only.
+CHANCE = 0.05
+#: A toxic document with so many chosen terms speaks for no further one.
+EXPLAINED = 2
 STEMS = range(4, 9)
 WINDOW = 6
 MAX_STATES = 200_000
@@ -249,20 +256,30 @@ def learn_terms(train: DataFrame) -> list[str]:
         *[F.when(F.length(w) > k, F.array(F.concat(F.substring(w, 1, k), F.lit("*")))).otherwise(F.array().cast("array<string>")) for k in STEMS],
     )
     found = (
-        train.withColumn("w", F.filter(words, lambda w: F.length(w) >= 3))
-        .select("toxic", F.explode(F.array_distinct(F.flatten(F.transform("w", forms)))).alias("term"))
+        train.withColumn("row", F.monotonically_increasing_id())
+        .withColumn("w", F.filter(words, lambda w: F.length(w) >= 3))
+        .select("toxic", "row", F.explode(F.array_distinct(F.flatten(F.transform("w", forms)))).alias("term"))
         .groupBy("term")
-        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+        # at most the toxic rows of a sample bounded by TRAIN_ROWS
+        .agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.collect_list(F.when(F.col("toxic") == 1, F.col("row"))).alias("rows"))
         .filter(F.col("bad") >= LEAST_DOCS)
     )
     ratio = (F.col("bad") / n[1]) / ((F.col("good") + 1) / n[0])
     gain = F.col("bad") * F.log(ratio)
-    # forms of the words of a sample bounded by TRAIN_ROWS, each in LEAST_DOCS of its documents
-    best = found.withColumn("gain", gain).filter(ratio >= LEAST_RATIO).collect()
+    found = cut(found.withColumn("gain", gain).withColumn("ratio", ratio))
+    # Chernoff's bound on so many toxic documents by chance, for as many terms as there are
+    tested, least = found.count(), n[1] / (n[0] + n[1])
+    best = []
+    for r in found.filter(F.col("ratio") >= LEAST_RATIO).collect():
+        m, share = r["bad"] + r["good"], r["bad"] / (r["bad"] + r["good"])
+        divergence = share * math.log(share / least) + (1 - share) * (math.log((1 - share) / (1 - least)) if share < 1 else 0)
+        if m * divergence >= math.log(tested / CHANCE):
+            best.append(r)
     chosen: list[str] = []
     covered: list[str] = []  # whole words of a chosen stem, which matches no misspelling of them
     stems: set[str] = set()
     begun: dict[str, int] = {}  # by beginning: the most documents of a chosen whole word
+    explained: Counter[int] = Counter()  # by toxic document: how many chosen terms it has
     for r in sorted(best, key=lambda r: (-r["gain"], r["term"][0] != "=", -len(r["term"]), r["term"])):
         whole, word = r["term"][0] == "=", r["term"].strip("=*")
         if any(word[:k] in stems for k in STEMS):
@@ -271,7 +288,11 @@ def learn_terms(train: DataFrame) -> list[str]:
             continue
         if not whole and begun.get(word, 0) * 1.3 >= r["bad"]:
             continue
+        # words that only go along with better terms, as those of a group of alike documents, explain nothing more
+        if sum(explained[i] < EXPLAINED for i in r["rows"]) < LEAST_DOCS:
+            continue
         chosen.append(r["term"])
+        explained.update(r["rows"])
         if whole:
             for k in STEMS:
                 begun[word[:k]] = max(begun.get(word[:k], 0), r["bad"])
