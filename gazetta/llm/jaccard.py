@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import cut, release, same, small_batches, table, text_key, without
+from gazetta.llm.common import cut, release, same, slices, small_batches, table, text_key, without
 
 K = 5
 MATCHES = 4
@@ -87,13 +87,6 @@ def _fold(parts: list[np.ndarray]) -> np.ndarray:
     return _mix(out)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few rows at a time, so that what a task holds beside Spark's own batch (64 MB at most) is small."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, SLICE):
-            yield batch.slice(i, SLICE)
-
-
 def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text (split at ASCII blanks, A-Z lowered)."""
     batch: list[list[bytes]] = []
@@ -227,7 +220,7 @@ def token_levels(docs: DataFrame) -> Broadcast:
                 names=["part", "tokens", "counts"],
             )
 
-        for batch in _slices(batches):
+        for batch in slices(batches):
             for s in shingle_sets(batch.column(0).to_pylist()):
                 key = _set_id(s)
                 if key not in seen and len(s):
@@ -261,7 +254,7 @@ def token_levels(docs: DataFrame) -> Broadcast:
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, blocks = None, []  # rows come in the order of part: one range at a time is held
-        for batch in _slices(batches):
+        for batch in slices(batches):
             for k, t, c in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 if k != part and blocks:
                     yield shared_tokens(part, blocks)
@@ -310,7 +303,7 @@ def prefixes(docs: DataFrame, shared: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(*shared.value)
         seen: set[int] = set()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             n, cid, matches, length, unshared, tokens, marks = [], [], [], [], [], [], []
             for s in shingle_sets(batch.column(2).to_pylist()):
                 key = _set_id(s) if len(s) else None
@@ -372,7 +365,7 @@ def sets_of(classes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [s.view(np.int64) for s in shingle_sets(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(found)], names=["cid", "s"])
 
@@ -523,7 +516,7 @@ def _beyond_hubs(many: DataFrame, docs: DataFrame, owners: DataFrame, shared: Br
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = Levels(*shared.value)
-        for batch in _slices(batches):
+        for batch in slices(batches):
             common, outside, probe, tokens, places = [], [], [], [], []
             for s, hub in zip(*[batch.column(i).to_pylist() for i in (2, 3)], strict=True):
                 s, hub = np.array(s, np.int64).view(np.uint64), np.array(hub, np.int64).view(np.uint64)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from gazetta.llm.common import cut, table, text_key
+from gazetta.llm.common import cut, slices, table, text_key
 
 TRAIN_ROWS = 12_000
 LEAST_DOCS = 5
@@ -306,7 +306,7 @@ def ordinary_words(train: DataFrame, terms: list[str]) -> set[str]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 (w, y)
                 for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
@@ -331,7 +331,7 @@ def misspelling_trust(train: DataFrame, terms: list[str], ordinary: set[str]) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms, ordinary)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 (t, y)
                 for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
@@ -371,7 +371,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms, ordinary, trust)
-        for batch in batches:
+        for batch in slices(batches):
             found = [scorer.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
 
@@ -397,7 +397,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms, ordinary, trust, weights)
-        for batch in batches:
+        for batch in slices(batches):
             found = [scorer.score(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "th", "score"])
 
@@ -412,7 +412,7 @@ def keep_civil(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(terms, ordinary, trust, weights)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
     # numbered names on the way, as mapInArrow takes none with a dot
