@@ -266,7 +266,7 @@ def match_table(
 def search_names(queries: DataFrame, index: DataFrame, limit: int = 3) -> DataFrame:
     """Partial and fuzzy candidates by Levenshtein and containment, for (query) against (choice, entity_id, source).
 
-    All partial candidates are kept if there are any, else the best ``limit``. The
+    All partial candidates are kept if there are any, else the best ``limit``. Of an entity's equal scores one of source "county" wins. The
     index is a dimension of place names; its size is checked.
     """
     q, c = F.col("query"), F.col("choice")
@@ -274,9 +274,9 @@ def search_names(queries: DataFrame, index: DataFrame, limit: int = 3) -> DataFr
     fuzzy = sim.levenshtein_similarity(q, c)
     score = F.greatest(partial, F.when(fuzzy >= 0.75, fuzzy).otherwise(0.0))
     both = queries.select("query").distinct().join(dimension(index)).withColumn("partial", partial).withColumn("score", score).filter("score > 0")
-    best = both.groupBy("query", "entity_id").agg(F.max(F.struct(F.floor(F.col("score") * 1000 + 0.5).alias("s"), F.col("source").alias("source"), (F.col("partial") > 0).alias("p"), c.alias("choice"))).alias("b"))
+    best = both.groupBy("query", "entity_id").agg(F.max(F.struct(F.floor(F.col("score") * 1000 + 0.5).alias("s"), (F.col("source") == "county").alias("county"), (F.col("partial") > 0).alias("p"), c.alias("choice"), F.col("source").alias("source"))).alias("b"))
     best = best.withColumn("any", F.max(F.col("b.p")).over(W.partitionBy("query")))
     best = best.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("b.s"), "entity_id")))
     method = F.when(F.col("any"), "partial_candidate").otherwise("fuzzy_candidate")
     out = best.filter(F.col("any") | (F.col("rank") <= limit))
-    return out.select("query", "rank", "entity_id", F.col("b.choice").alias("matched_name"), (F.col("b.s") / 10).alias("score"), method.alias("method"))
+    return out.select("query", "rank", "entity_id", F.col("b.choice").alias("matched_name"), (F.col("b.s") / 10).alias("score"), method.alias("method"), F.col("b.source").alias("source"))

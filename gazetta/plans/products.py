@@ -201,6 +201,18 @@ def q60_search_names(spark, sf_dir):
     return matcher.search_names(asked, names).select("query", "rank", "matched_name", F.round("score", 1).alias("score"), "method")
 
 
+@R.add("""
+SELECT 'NATION_1' AS query, n_name AS entity_id, CASE WHEN n_nationkey % 2 = 0 THEN 'county' ELSE 'prefecture' END AS source
+FROM nation
+WHERE contains(n_name, 'NATION_1') OR 1 - levenshtein(n_name, 'NATION_1') / greatest(length(n_name), 8) >= 0.75""")
+def q66_county_wins_ties(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    own = lambda df, source: df.select(F.col("n_name").alias("choice"), F.col("n_name").alias("entity_id"), F.lit(source).alias("source"))
+    names = own(nation, "prefecture").union(own(nation.filter("n_nationkey % 2 = 0"), "county"))
+    asked = spark.range(1).select(F.lit("NATION_1").alias("query"))
+    return matcher.search_names(asked, names).select("query", "entity_id", "source")
+
+
 @R.add("""
 SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '国函〔1993〕' || o_orderkey || '号' ELSE '' END AS document_number, CASE WHEN o_orderkey % 3 = 0 THEN '某省' ELSE '' END AS province FROM orders""")
 def q61_document_numbers(spark, sf_dir):

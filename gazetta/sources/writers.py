@@ -90,7 +90,7 @@ def export_json(value, path: str | None = None) -> str:
 
 
 def write_features(features: DataFrame, path: str, by: list[str]) -> DataFrame:
-    """GeoJSON feature lines partitioned by columns, stale partitions replaced; returns a manifest row for each.
+    """GeoJSON feature lines partitioned by columns, replacing all that was there before; returns a manifest row for each.
 
     features: id, properties (JSON), geometry (JSON) and the columns of ``by``.
     """
@@ -98,7 +98,7 @@ def write_features(features: DataFrame, path: str, by: list[str]) -> DataFrame:
         F.lit('{"type":"Feature","id":'), F.concat(F.lit('"'), F.col("id"), F.lit('"')),
         F.lit(',"properties":'), "properties", F.lit(',"geometry":'), "geometry", F.lit("}"),
     ).alias("value")
-    features.select(*by, line).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).text(path)
+    features.select(*by, line).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).text(path)
     return features.groupBy(*by).agg(F.count("*").alias("features"), F.sum(F.octet_length(line)).alias("bytes"))
 
 
