@@ -34,6 +34,8 @@ CHUNK = 2_000_000
 CACHE = 300_000
 LONG = 2_000
 
+from gazetta.llm.common import slices
+
 
 def _varint(data: bytes, i: int) -> tuple[int, int]:
     value = shift = 0
@@ -342,7 +344,8 @@ def encode_documents(docs: DataFrame, model_file: str, real: bool = False) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for batch in batches:
+        # flat symbol arrays of a whole batch of Spark's would take some hundred MB
+        for batch in slices(batches, 1000):
             coder = coder or BatchCoder(PieceModel(shared.value))
             out: list[tuple] = []
             for n, ids, text in coder(batch.column(1).to_pylist()):
