@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.functions import classify, units
+from gazetta.functions import changes, classify, units
 from gazetta.functions.text import approval_date
 from gazetta.operators.aggregate import token_frequency
 from gazetta.operators.joins import containment
@@ -32,15 +32,22 @@ def early_events(items: DataFrame, names: DataFrame, overrides: DataFrame) -> Da
 
 
 def county_events(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """Events of archived table rows: row_id, year, section, row_text, cells -> type, linked prefectures, units."""
-    data = rows.filter("row_kind = 'data'")
+    """Events of archived table rows: row_id, year, section, row_kind, row_text, raw_cells -> type, linked prefectures, sides, unit types, scope."""
+    data = rows.filter("row_kind = 'data' AND row_text <> ''")
     linked = containment(data, "row_id", "row_text", names, "name").groupBy("row_id").agg(F.array_sort(F.collect_set("name")).alias("prefectures"))
-    kind = classify.county_type(F.col("section"), F.col("row_text"))
-    out = data.withColumn("event_type", kind).withColumn("sides", units.old_and_new_col(F.col("row_text"), F.lit("split"))).join(linked, "row_id", "left")
-    n = F.coalesce(F.size("prefectures"), F.lit(0))
-    status = F.when(n == 0, "review_required").when(n == 1, "auto_linked").otherwise("multiple_prefectures")
+    out = data.withColumn("event_type", classify.county_type(F.col("section"), F.col("row_text")))
+    out = out.withColumn("sides", changes.change_sides_col(F.col("raw_cells"))).join(linked, "row_id", "left")
     join = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), "、")
-    return out.select("row_id", "year", "section", "event_type", join(F.col("prefectures")).alias("prefecture_names"), join(F.col("sides.old")).alias("old_county_units"), join(F.col("sides.new")).alias("new_county_units"), status.alias("review_status"), "row_text")
+    all_names = join(F.concat("sides.old_raw", "sides.new_raw"))
+    out = out.withColumn("description", F.coalesce(F.nullif("sides.action", F.lit("")), "row_text"))
+    out = out.withColumn("types", changes.unit_types(F.col("section"), F.concat_ws(" ", "row_text", "description"), all_names))
+    status = F.when(F.col("prefectures").isNull(), "wikipedia_row_unlinked").otherwise("wikipedia_row_loose_relation")
+    return out.select(
+        "row_id", "year", "section", "event_type", join(F.col("prefectures")).alias("prefecture_names"),
+        join(F.col("sides.old")).alias("old_county_units"), join(F.col("sides.new")).alias("new_county_units"),
+        F.col("description").alias("change_description"), join(F.col("types")).alias("county_unit_types"),
+        changes.scope(F.col("types"), all_names).alias("scope"), status.alias("review_status"), "row_text",
+    )
 
 
 def district_category(old: Column, new: Column, text: Column) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gazetta.functions import geometry, units, wikitext
+from gazetta.functions import changes, geometry, units, wikitext
 from gazetta.functions import text as T
 from gazetta.operators import aggregate as agg
-from gazetta.operators import joins
+from gazetta.operators import counties, joins
 from gazetta.plans.common import Registry, table
 
 R = Registry()
@@ -155,4 +155,59 @@ def q47_fragment_rules(spark, sf_dir):
     return joins.fragment_rules(rows, "at", "text", rules, "v").select("c_custkey", "v")
 
 
+@R.add("""
+WITH t AS (SELECT s_suppkey, s_suppkey % 4 AS k, '甲' || translate(CAST(s_suppkey AS VARCHAR), '0123456789', '零壹贰叁肆伍陆柒捌玖') AS n FROM supplier)
+SELECT s_suppkey, '东市' AS prefecture_names, CASE WHEN k = 3 THEN '' ELSE n || '县' END AS old_county_units, CASE k WHEN 0 THEN n || '区' WHEN 1 THEN n || '市' WHEN 2 THEN n || '县' ELSE n || '林区' END AS new_county_units,
+CASE k WHEN 0 THEN '市辖区、县' WHEN 1 THEN '县级市、县' WHEN 2 THEN '县' ELSE '市辖区、林区' END AS county_unit_types,
+CASE k WHEN 0 THEN 'abolish_or_merge' WHEN 1 THEN 'abolish_or_merge' WHEN 2 THEN 'jurisdiction_transfer' ELSE 'establish' END AS event_type, 'county_level' AS scope FROM t""")
+def q69_structured_changes(spark, sf_dir):
+    digits = F.translate(F.col("s_suppkey").cast("string"), "0123456789", "零壹贰叁肆伍陆柒捌玖")
+    n, k = F.concat(F.lit("甲"), digits), F.col("s_suppkey") % 4
+    both = lambda *parts: F.concat(*[n if p is None else F.lit(p) for p in parts])
+    cells = (
+        F.when(k == 0, F.array(both("[[", None, "县]]"), F.lit("东市"), both("撤销[[", None, "县]]，设立区"), both("[[", None, "区]]")))
+        .when(k == 1, F.array(both("[[旧|", None, "县]]"), F.lit("东市"), both("撤销", None, "县，设立县级市"), both(None, "市")))
+        .when(k == 2, F.array(both(None, "县"), F.lit("东市"), F.lit("划归西市管辖"), both(None, "县")))
+        .otherwise(F.array(F.lit("无"), F.lit("东市"), both("设立[[", None, "林区]]"), F.lit("无")))
+    )
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("row_id"), F.lit(2000).alias("year"), F.lit("县级").alias("section"), F.lit("data").alias("row_kind"), cells.alias("raw_cells"))
+    rows = rows.withColumn("row_text", F.array_join(F.transform("raw_cells", wikitext.clean_wikitext), " | "))
+    out = counties.county_events(rows, spark.createDataFrame([("东市",)], "name string"))
+    return out.select(F.col("row_id").alias("s_suppkey"), "prefecture_names", "old_county_units", "new_county_units", "county_unit_types", "event_type", "scope")
+
+
+@R.add("""
+WITH t AS (SELECT s_suppkey, s_suppkey % 5 AS k, translate(CAST(s_suppkey AS VARCHAR), '0123456789', '零壹贰叁肆伍陆柒捌玖') || '山' AS n FROM supplier)
+SELECT s_suppkey, CASE k WHEN 0 THEN 'rename' WHEN 1 THEN 'upgrade' WHEN 2 THEN 'upgrade' WHEN 3 THEN 'merge' ELSE 'merge' END AS kind,
+CASE WHEN k = 2 THEN n || '市' ELSE n || '地区' END AS old_name, CASE k WHEN 0 THEN n || '市' WHEN 1 THEN '乙' || n || '市' WHEN 2 THEN n || '市' WHEN 3 THEN '丙' || n || '市' ELSE n || '市' END AS new_name FROM t""")
+def q67_history_names(spark, sf_dir):
+    n = F.concat(F.translate(F.col("s_suppkey").cast("string"), "0123456789", "零壹贰叁肆伍陆柒捌玖"), F.lit("山"))
+    k = F.col("s_suppkey") % 5
+    text = (
+        F.when(k == 0, F.concat(n, F.lit("地区更名为"), n, F.lit("市")))
+        .when(k == 1, F.concat(F.lit("行|销"), n, F.lit("地区，设立地级乙"), n, F.lit("市（地级）")))
+        .when(k == 2, F.concat(n, F.lit("市升为地级市")))
+        .when(k == 3, F.concat(n, F.lit("地区与"), n, F.lit("市合并，组建新的丙"), n, F.lit("市")))
+        .otherwise(F.concat(F.lit("撤销"), n, F.lit("地区，实行地、市合并")))
+    )
+    kind = F.when(k == 0, "rename").when(k == 1, "abolish").when(k == 2, "establish").otherwise("merge")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", changes.repaired(text).alias("text"), kind.alias("kind"), F.lit("").alias("province"))
+    return changes.final_history(changes.with_history_names(rows)).select("s_suppkey", "kind", "old_name", "new_name")
+
+
+@R.add("""
+WITH t AS (SELECT s_suppkey, s_suppkey % 3 AS k, translate(CAST(s_suppkey AS VARCHAR), '0123456789', '零壹贰叁肆伍陆柒捌玖') || '山' AS n FROM supplier)
+SELECT s_suppkey, CASE k WHEN 0 THEN n || '地区' WHEN 1 THEN n || '市、丁市' ELSE n || '盟、' || n || '地区' END AS old_name, CASE k WHEN 0 THEN '乙' || n || '市、丁市' WHEN 1 THEN n || '市、丁市' ELSE '丁市' END AS new_name FROM t""")
+def q68_region_and_city(spark, sf_dir):
+    n = F.concat(F.translate(F.col("s_suppkey").cast("string"), "0123456789", "零壹贰叁肆伍陆柒捌玖"), F.lit("山"))
+    k = F.col("s_suppkey") % 3
+    text = (
+        F.when(k == 0, F.concat(F.lit("撤销"), n, F.lit("地区，设立乙"), n, F.lit("市（地级）")))
+        .when(k == 1, F.concat(n, F.lit("市升为地级市")))
+        .otherwise(F.concat(F.lit("撤消"), n, F.lit("盟，原"), n, F.lit("地区各县划归丁市")))
+    )
+    old, new = changes.region_and_city(text, F.array(F.lit("戊县"), F.lit("丁市")))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", old.alias("old_name"), new.alias("new_name"))
+
+
 QUERIES, SQL = R.queries, R.sql

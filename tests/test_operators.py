@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from gazetta.functions import classify, geometry, similarity, units, wikitext
+from gazetta.functions import changes, classify, geometry, similarity, units, wikitext
 from gazetta.operators import aggregate, closure, joins, temporal
 
 
@@ -105,6 +105,52 @@ def test_clean_wikitext(spark):
     assert wikitext.without_template("a{{notetag|x{{y}}z}}b", "notetag") == "ab"
 
 
+def test_prose_is_no_unit():
+    assert units.named_units("国务院同意实行区") == [] and units.named_units("撤销甲山县") == ["甲山县"]
+    assert units.expand_counted("") == units.all_units("") == [] and units.unit_name("") == ""
+    assert units.old_and_new("撤销甲山县，设立乙水市", "rename") == (["甲山县"], ["乙水市"])
+
+
+def test_cells_cover_rows_and_empty_rows_have_no_number():
+    source = "{| x\n|-\n|-\n| rowspan=3 | a || colspan=2 | b\n|-\n| c\nmore\n|-\n| 某省\n|}"
+    assert [(r[0], r[2], r[3]) for r in wikitext.table_rows(source)] == [(1, ["a", "b"], ["a", "b"]), (2, ["a", "c more"], ["c more"]), (3, ["a", "某省"], ["某省"])]
+    assert wikitext.grid(source)[1].columns == 2 and list(wikitext.table_rows("")) == []
+
+
+def test_structured_changes(spark):
+    assert changes.is_unit_name("甲县") and changes.is_unit_name("甲林区") and not changes.is_unit_name("甲开发区") and not changes.is_unit_name("甲地区")
+    assert changes.is_unit_name("甲市", plain_city=True) and not changes.is_unit_name("甲市") and not changes.is_unit_name("")
+    row = ["[[奉贤县]]", "上海市", "撤销上海市[[奉贤县]]，设立上海市奉贤区", "奉贤区"]
+    assert changes.change_sides(row)[:2] == (["奉贤县"], ["奉贤区"]) and changes.action_cell(row) == 2
+    assert changes.change_sides(["无", "设立[[茂港区]]"])[:2] == ([], ["茂港区"])
+    assert changes.change_sides(None) == changes.change_sides([]) == ([], [], "")
+    df = spark.createDataFrame([("", "某开发区", ""), ("", "设立甲旗", "甲旗"), ("市辖区", "", ""), (None, "工农区", ""), ("", "x", "")], "s string, t string, n string")
+    types = changes.unit_types(df.s, df.t, df.n)
+    assert [tuple(r) for r in df.select(F.array_join(types, "、"), changes.scope(types, df.n)).collect()] == [
+        ("开发区", "non_county_development_zone"),
+        ("旗", "county_level"),
+        ("市辖区", "county_level"),
+        ("工农区", "historical_county_level_other"),
+        ("", "untyped_county_record"),
+    ]
+
+
+def test_history_names(spark):
+    rows = [
+        ("rename", "甲山地区更名为乙水市", "", ("rename", "甲山地区", "乙水市")),
+        ("abolish", "撤销某省甲山地区，设立地级甲山市", "", ("upgrade", "甲山地区", "甲山市")),
+        ("establish", "丁省乙水市升格为地级市", "丁省", ("upgrade", "乙水市", "乙水市")),
+        ("merge", "撤销甲山地区，与乙水市合并", "", ("merge", "甲山地区", "甲山市")),
+        ("establish_prefecture", "设立丙丁地区", "", ("establish_prefecture", "", "丙丁地区")),
+        ("abolish", "撤销", "", None),
+    ]
+    df = spark.createDataFrame([(i, *r[:3]) for i, r in enumerate(rows)], "i int, kind string, text string, province string")
+    got = {r.i: (r.kind, r.old_name, r.new_name) for r in changes.final_history(changes.with_history_names(df)).collect()}
+    assert got == {i: r[3] for i, r in enumerate(rows) if r[3]}
+    one = spark.createDataFrame([("a|销甲山地区，b",)], "t string")
+    assert one.select(changes.repaired(one.t)).first()[0] == "a|撤销甲山地区，b"
+
+
 def test_geometry():
     square = {"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]}
     assert geometry.centroid(square) == (1, 1)
