@@ -574,27 +574,35 @@ def _beyond_hubs(many: DataFrame, docs: DataFrame, owners: DataFrame, shared: Br
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, th, n_shingles, component_id for every row of docs."""
+    """doc_id, th, n_shingles, component_id and first (none, doc_id, th) for every row of docs.
+
+    ``first`` is the component's first document: the smallest doc_id, null last, then the smallest hash of the text.
+    """
     shared = token_levels(docs)
     lite = prefixes(docs, shared)
     label = class_links(docs, lite, shared)
     shared.destroy()  # all that used it has been cut
     release(docs.sparkSession)
     rows = lite.select("doc_id", "th", "n", "cid")
-    least = rows.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("least"))
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    least = rows.filter("cid is not null").groupBy("cid").agg(F.min(own).alias("least"))
     rooted = least.join(_far(label.withColumnRenamed("v", "cid")), "cid", "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
-    group = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = rooted.select("cid", "root").join(_far(group), "root").select("cid", "component_id")
+    group = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    of_class = rooted.select("cid", "root").join(_far(group), "root").select("cid", "first")
     out = rows.join(_far(of_class), "cid", "left")
     return out.select(
         "doc_id", "th", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"), "first",
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that are the smallest doc_id of their component, with all their columns."""
-    gone = link_documents(docs).filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id", "th").distinct()
+    """The rows of docs that are their component's first document, with all their columns.
+
+    Linked texts under one doc_id, or under null doc_ids, are documents of their own: one of them stays. Texts without words stay.
+    """
+    linked = link_documents(docs).filter("n_shingles > 0")
+    gone = linked.filter(~same((F.col("first.doc_id"), F.col("doc_id")), (F.col("first.th"), F.col("th")))).select("doc_id", "th").distinct()
     return without(docs, gone)
 
 

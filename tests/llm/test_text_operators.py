@@ -231,6 +231,20 @@ def brute_lines(rows, min_fuzzy=0):
     return {i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if keep(i, n, x)) for i, t in rows}
 
 
+def test_one_of_linked_texts_stays_under_repeated_and_null_ids(spark):
+    rng = random.Random(12)
+    one, two = words(rng, 60), words(rng, 60)
+    near, other = [f"{one} end{i}" for i in range(3)], [f"{two} end{i}" for i in range(4)]
+    alone = words(rng, 30)
+    texts = [*near, *other, alone, alone, None]
+    ids = [4, 4, 4, None, None, None, None, 4, None, None]
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, texts, ids)).collect())
+    assert sum(n for (i, t), n in kept.items() if t in near and i == 4) == 1
+    assert sum(n for (i, t), n in kept.items() if t in other and i is None) == 1
+    # equal texts under an id and under none are linked: the one with an id stays
+    assert kept[4, alone] == 1 and (None, alone) not in kept and kept[None, None] == 1 and sum(kept.values()) == 4
+
+
 def test_line_dedup_matches_brute_force(spark):
     rng = random.Random(4)
     base = [words(rng, rng.randrange(1, 30)) for _ in range(12)] + ["short", "y" * 6000, "é" * 20, ""]
