@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,6 +57,63 @@ def simplify_ring(ring: list[list[float]], tolerance: float) -> list[list[float]
     return out if len(out) >= 4 else ring
 
 
+def simplify_arc(line: list[tuple[float, float]], tolerance: float, keep_one: bool = False) -> list[tuple[float, float]]:
+    """Douglas-Peucker on a line with fixed ends; a closed line keeps its farthest point too. A negative tolerance keeps all.
+
+    ``keep_one``: an open line keeps its farthest point, a closed one two points beside its ends, so that no ring of two arcs or of one collapses.
+    """
+    closed = line[0] == line[-1]
+    if len(line) <= (4 if closed else 2) or tolerance < 0:
+        return line
+    xy = np.array(line)
+    keep = {0, len(line) - 1}
+
+    def farthest(a: int, b: int) -> tuple[float, int]:
+        """Largest distance of the points between a and b to the segment's line, or to a if both ends are one point."""
+        p, q, own = xy[a], xy[b], xy[a + 1 : b]
+        n = math.hypot(*(q - p))
+        far = np.abs((q[0] - p[0]) * (p[1] - own[:, 1]) - (p[0] - own[:, 0]) * (q[1] - p[1])) / n if n else np.hypot(*(own - p).T)
+        return float(far.max()), a + 1 + int(far.argmax())
+
+    todo = [(0, len(line) - 1)]
+    if closed or keep_one:
+        middle = farthest(0, len(line) - 1)[1]
+        keep.add(middle)
+        todo = [(0, middle), (middle, len(line) - 1)]
+    if closed:
+        side = max(((*farthest(a, b),) for a, b in todo if b - a > 1), default=(0.0, 0))
+        keep.add(side[1])
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        far, at = farthest(a, b)
+        if far > tolerance:
+            keep.add(at)
+            todo += [(a, at), (at, b)]
+    return [line[i] for i in sorted(keep)]
+
+
+def crosses_itself(ring: np.ndarray) -> bool:
+    """Whether two edges of a ring (given without its closing point) that aren't neighbours meet, or the ring has no area."""
+    n = len(ring)
+    if n < 3:
+        return True
+    ahead = np.roll(ring, -1, axis=0)
+    if not float(np.abs((ring[:, 0] * ahead[:, 1] - ahead[:, 0] * ring[:, 1]).sum())) > 0:
+        return True
+    side = lambda p, q, r: np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
+    step = max(1, 1_000_000 // n)
+    for s in range(0, n, step):
+        i = np.arange(s, min(s + step, n))[:, None]
+        j = np.arange(n)[None, :]
+        apart = (j > i + 1) & ((i > 0) | (j < n - 1))
+        p, q, r, t = ring[i], ahead[i], ring[j], ahead[j]
+        if (apart & (side(p, q, r) * side(p, q, t) < 0) & (side(r, t, p) * side(r, t, q) < 0)).any():
+            return True
+    return False
+
+
 def area(ring: list[list[float]]) -> float:
     """Signed area; positive counter-clockwise."""
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:], strict=False)) / 2

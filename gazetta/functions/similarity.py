@@ -63,16 +63,11 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(full, partial_ratio(a, b) * (0.9 if lengths <= 8 else 0.6))
 
 
-def top_choices(choices: list[str], cutoff: float = 75.0, limit: int = 8):
-    """UDF: for each name its best choices (choice, its position, score), at most ``limit`` with ``cutoff`` or more."""
+def weighted_ratio_of(a: Column, b: Column) -> Column:
+    """Weighted ratio of two columns of names, in Arrow batches; null if either is null."""
 
-    @F.pandas_udf("array<struct<choice: string, at: int, score: double>>")
-    def run(names: pd.Series) -> pd.Series:
-        def one(name: str) -> list[dict]:
-            scored = ((weighted_ratio(name, c), i) for i, c in enumerate(choices))
-            best = sorted(((s, i) for s, i in scored if s >= cutoff), key=lambda x: (-x[0], x[1]))[:limit]
-            return [{"choice": choices[i], "at": i, "score": s} for s, i in best]
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else weighted_ratio(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
 
-        return names.map(one, na_action="ignore")
-
-    return run
+    return run(a, b)

@@ -21,8 +21,9 @@ def _compose(texts: pd.Series) -> pd.Series:
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode compatibility composition, which Spark SQL lacks."""
-    return F.pandas_udf(_compose, "string")(text)
+    """Unicode compatibility composition, which Spark SQL lacks. Pure ASCII is left as it is and isn't sent to Python."""
+    plain = F.length(text) == F.octet_length(text)
+    return F.when(plain, text).otherwise(F.pandas_udf(_compose, "string")(F.when(~plain, text)))
 
 
 @functools.lru_cache(maxsize=4)

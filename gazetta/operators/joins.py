@@ -8,12 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def dimension(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A dimension table with a broadcast hint if it really is small; else AQE picks the join."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+from gazetta.operators.sizes import dimension
+from gazetta.operators.strings import contained, longest_only
 
 
 def interval_join(facts: DataFrame, spans: DataFrame, on: list[str], at: str, start: str = "start", end: str = "end", how: str = "left") -> DataFrame:
@@ -33,34 +29,8 @@ def unique_match(rows: DataFrame, keys: list[str], candidate: str) -> DataFrame:
 
 
 def containment(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
-    """(key, name) for every name that a text contains, without names inside a longer match.
-
-    Names are grouped by their first word-like token and joined on the text's own
-    tokens, so that texts meet only names that can occur; the containment is verified.
-    """
-    parts = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    named = names.select(name).distinct().filter(F.length(name) > 0)
-    # the longest token of a name that has blanks around it on both sides is whole in every text that contains the name
-    token = F.array_max(
-        F.transform(
-            F.regexp_extract_all(F.col(name), F.lit(r"(?<=[^\p{L}\p{N}])[\p{L}\p{N}]+(?=[^\p{L}\p{N}])"), F.lit(0)),
-            lambda t: F.struct(F.length(t).alias("n"), t.alias("t")),
-        )
-    )
-    named = named.withColumn("token", token["t"])
-    own = texts.select(key, text)
-    by_token = (
-        own.select(key, text, F.explode(parts(F.col(text))).alias("token"))
-        .join(dimension(named.filter("token is not null")), "token")
-        .filter(F.contains(text, F.col(name)))
-        .select(key, name)
-    )
-    # names of one or two words have no such token; they are few and compared one by one
-    plain = own.join(F.broadcast(named.filter("token is null").select(name)), F.contains(text, F.col(name))).select(key, name)
-    found = by_token.union(plain).distinct()
-    longer = found.select(F.col(key).alias("_key"), F.col(name).alias("_name"))
-    inside = (F.col(key) == F.col("_key")) & (F.col(name) != F.col("_name")) & F.contains("_name", F.col(name))
-    return found.join(longer, inside, "left_anti")
+    """(key, name) for every name that a text contains, without names inside a longer one that it contains too."""
+    return longest_only(contained(texts, key, text, names, name), key, name)
 
 
 def last_rule(rules: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
@@ -87,16 +57,6 @@ def cascade(rows: DataFrame, on: str, sources: list[tuple[str, DataFrame]], valu
     return out.select(*rows.columns, F.coalesce(*names).alias(value), basis.alias("match_basis"))
 
 
-def nearest(points: DataFrame, key: str, labels: DataFrame, label: str, x: str, y: str) -> DataFrame:
-    """key and the nearest label by squared distance, ties to the smaller label.
-
-    Labels are a small set (place labels of one map); the size is checked by ``dimension``.
-    """
-    far = (F.col(f"p.{x}") - F.col(f"l.{x}")) ** 2 + (F.col(f"p.{y}") - F.col(f"l.{y}")) ** 2
-    both = points.alias("p").join(dimension(labels).alias("l"))
-    return both.groupBy(F.col(f"p.{key}").alias(key)).agg(F.min_by(f"l.{label}", F.struct(far, F.col(f"l.{label}"))).alias(label))
-
-
 def shadowed(rows: DataFrame, keys: list[str], owner: str, start: str = "start", end: str = "end") -> DataFrame:
     """rows without those whose span lies within the span of another owner of the same key; equal spans go both."""
     same = reduce(lambda a, b: a & b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])

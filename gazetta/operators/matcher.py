@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gazetta.functions import similarity as sim
 from gazetta.functions import text as T
-from gazetta.operators.joins import dimension, last_rule
+from gazetta.operators import strings
+from gazetta.operators.closure import shared_folder
+from gazetta.operators.joins import last_rule
 
 RULE_VERSION = "2026.08.2-year-end"
 MIN_YEAR, ROSTER_MIN_YEAR, MAX_YEAR = 1983, 1987, 2026
+CUTOFF, CHOICES = 75.0, 8
 MATCHES = "array<struct<layer:int,seq:bigint,entity_id:string,method:string,start:int,end:int,events:string,province:string>>"
 OUTPUT = [
     "entity_id", "canonical_name", "normalized_input", "match_status", "match_method", "confidence", "year_status", "level_status",
@@ -62,7 +64,7 @@ class MatchTables:
             F.lit("").alias("events"), F.lit(1).alias("layer"), "seq",
         )
         own = self.entities.select("entity_id", self.province(F.col("province")).alias("province"))
-        rows = official.unionByName(other).join(dimension(own), "entity_id", "left")
+        rows = official.unionByName(other).join(own, "entity_id", "left")
         item = F.struct("layer", "seq", "entity_id", "method", "start", "end", "events", "province")
         return rows.select(self.norm(F.col("name")).alias("norm"), item.alias("m")).groupBy("norm").agg(F.array_sort(F.collect_list("m")).alias("matches"))
 
@@ -81,10 +83,10 @@ def _decide(keys: DataFrame, t: MatchTables, rules: DataFrame | None) -> DataFra
     index = t.index().select("norm", F.col("matches").cast(MATCHES).alias("matches"))
     excluded = t.exclusions.select(t.norm(F.col("name")).alias("norm"), F.struct("seq", "parent_entity_id", "start", "end", "risk_code").alias("x"))
     excluded = excluded.groupBy("norm").agg(F.min("x").alias("x"))
-    out = keys.join(dimension(index), "norm", "left").join(dimension(excluded), "norm", "left")
+    out = keys.join(index, "norm", "left").join(excluded, "norm", "left")
     if rules is not None and {"alias", "entity_id"} <= set(rules.columns):
         seq = rules.withColumn("_seq", F.monotonically_increasing_id()).withColumn("norm", t.norm(F.col("alias")))
-        out = out.join(dimension(last_rule(seq, ["norm"], "entity_id", "_seq").withColumnRenamed("entity_id", "custom")), "norm", "left")
+        out = out.join(last_rule(seq, ["norm"], "entity_id", "_seq").withColumnRenamed("entity_id", "custom"), "norm", "left")
     else:
         out = out.withColumn("custom", F.lit(None).cast("string"))
     out = out.withColumn("all", F.coalesce("matches", none)).drop("matches")
@@ -123,8 +125,8 @@ def _annotate(decided: DataFrame, t: MatchTables) -> DataFrame:
     )
     lineage = t.lineage.groupBy(F.col("from_entity_id").alias("entity_id")).agg(F.min("year").alias("material"))
     names = t.entities.select("entity_id", F.col("canonical_name").alias("canon"))
-    out = decided.join(dimension(names), "entity_id", "left").join(dimension(roster.dropDuplicates(["entity_id", "year"])), ["entity_id", "year"], "left")
-    out = out.join(dimension(risks), "entity_id", "left").join(dimension(lineage), "entity_id", "left")
+    out = decided.join(names, "entity_id", "left").join(roster.dropDuplicates(["entity_id", "year"]), ["entity_id", "year"], "left")
+    out = out.join(risks, "entity_id", "left").join(lineage, "entity_id", "left")
     status = (
         F.when(year.isNull(), "not_checked")
         .when(~year.between(MIN_YEAR, MAX_YEAR), "unsupported_year")
@@ -201,13 +203,15 @@ def fuzzy_candidates(names: DataFrame, t: MatchTables) -> DataFrame:
     The eight best names come first, then the province; an entity keeps the score of
     the last of its candidates, in the place of its first.
     """
-    index = t.index()
-    # names of the dimension, in the index's order
-    choices = [r["norm"] for r in index.orderBy(F.get("matches", 0)["layer"], F.get("matches", 0)["seq"]).select("norm").collect()]
-    scored = names.select("norm").distinct().withColumn("best", sim.top_choices(choices)(F.col("norm")))
-    hits = scored.select("norm", F.explode("best").alias("b")).select("norm", "b.*")
+    shared_folder(names.sparkSession)
+    index = t.index().checkpoint()
+    # the first entry tells a name's place in the index
+    order = F.get("matches", 0)
+    choices = index.select(F.col("norm").alias("choice"), F.struct(order["layer"].alias("layer"), order["seq"].alias("seq")).alias("at"))
+    pairs = strings.ratio_pairs(names, "norm", choices, "choice", CUTOFF).join(choices, "choice")
+    hits = strings.best(pairs, "norm", CHOICES, F.col("at"), F.col("choice")).select("norm", "choice", "at", "score")
     index = index.select(F.col("norm").alias("choice"), F.posexplode("matches").alias("place", "m"))
-    hits = hits.join(dimension(index), "choice")
+    hits = hits.join(index, "choice")
     hits = names.select("norm", "province").distinct().join(hits, "norm").filter((F.col("province") == "") | (F.col("m.province") == F.col("province")))
     hits = hits.withColumn("score", F.bround("score", 1))
     order = W.partitionBy("norm", "province").orderBy(F.desc("score"), "at", "place")
@@ -216,7 +220,7 @@ def fuzzy_candidates(names: DataFrame, t: MatchTables) -> DataFrame:
         F.min("n").alias("first"), F.max_by("score", "n").alias("score"), F.max_by("choice", "n").alias("matched_name")
     )
     one = one.withColumn("rank", F.row_number().over(W.partitionBy("norm", "province").orderBy("first"))).filter("rank <= 3")
-    canon = dimension(t.entities.select("entity_id", "canonical_name"))
+    canon = t.entities.select("entity_id", "canonical_name")
     return one.join(canon, "entity_id", "left").select("norm", "province", "rank", "entity_id", "canonical_name", "matched_name", "score")
 
 
@@ -246,10 +250,14 @@ def match_table(
     p = tables.province(F.col(f"`{province}`")) if province else F.lit("")
     own = rows.withColumn("_norm", tables.norm(F.col(f"`{name}`"))).withColumn("_year", y).withColumn("_province", p)
     keys = own.select(F.col("_norm").alias("norm"), F.col("_year.year").alias("year"), F.col("_year.bad").alias("bad"), F.col("_province").alias("province")).distinct()
-    decided = _decide(keys, tables, rules)
+    # a row for each distinct key, read by the rules' results and by the fuzzy side
+    shared_folder(rows.sparkSession)
+    decided = _decide(keys, tables, rules).checkpoint()
     done = _annotate(decided.filter("rule <> 'fuzzy'"), tables)
     rest = decided.filter("rule = 'fuzzy'")
-    if fuzzy:
+    if rest.isEmpty():
+        pass  # nothing to look for, so no index of characters is built
+    elif fuzzy:
         done = done.unionByName(_fuzzy(rest, tables))
     else:
         nothing = _annotate(rest, tables).withColumns(
@@ -263,20 +271,27 @@ def match_table(
     return out.select(*[F.col(f"`{c}`") if c not in done.columns else own[c] for c in rows.columns], *[F.col(f"d.{c}").alias(prefix + c) for c in OUTPUT])
 
 
-def search_names(queries: DataFrame, index: DataFrame, limit: int = 3) -> DataFrame:
-    """Partial and fuzzy candidates by Levenshtein and containment, for (query) against (choice, entity_id, source).
+def name_candidates(asked: DataFrame, names: DataFrame, limit: int = 3) -> DataFrame:
+    """ask, rank, entity_id, matched_name, score, source, method by Levenshtein and containment.
 
-    All partial candidates are kept if there are any, else the best ``limit``. Of an entity's equal scores one of source "county" wins. The
-    index is a dimension of place names; its size is checked.
+    All partial candidates of an ask are kept if it has any, else the best ``limit``. A choice may have several owners, of either
+    source; of an entity's equal scores one of source "county" wins. Pairs come from the string indexes: no query meets all names.
+    asked: ask, norm, home (a province, or empty for all) · names: choice, name, entity_id, source, province.
     """
-    q, c = F.col("query"), F.col("choice")
-    partial = sim.partial_similarity(q, c)
-    fuzzy = sim.levenshtein_similarity(q, c)
-    score = F.greatest(partial, F.when(fuzzy >= 0.75, fuzzy).otherwise(0.0))
-    both = queries.select("query").distinct().join(dimension(index)).withColumn("partial", partial).withColumn("score", score).filter("score > 0")
-    best = both.groupBy("query", "entity_id").agg(F.max(F.struct(F.floor(F.col("score") * 1000 + 0.5).alias("s"), (F.col("source") == "county").alias("county"), (F.col("partial") > 0).alias("p"), c.alias("choice"), F.col("source").alias("source"))).alias("b"))
-    best = best.withColumn("any", F.max(F.col("b.p")).over(W.partitionBy("query")))
-    best = best.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("b.s"), "entity_id")))
+    queries = asked.select(F.col("norm").alias("query")).filter("query <> ''").distinct()
+    partial = strings.partial_pairs(queries, "query", names, "choice").select("query", "choice", F.lit(True).alias("partial"), "score")
+    fuzzy = strings.edit_pairs(queries, "query", names, "choice").select("query", "choice", F.lit(False).alias("partial"), "score")
+    scored = partial.union(fuzzy).groupBy("query", "choice").agg(F.max("score").alias("score"), F.max("partial").alias("partial"))
+    met = asked.withColumnRenamed("norm", "query").join(scored, "query").join(names, "choice").filter((F.col("home") == "") | (F.col("home") == F.col("province")))
+    met = met.withColumn("s", F.floor(F.col("score") * 1000 + 0.5))
+    best = met.groupBy("ask", "entity_id").agg(F.max(F.struct("s", (F.col("source") == "county").alias("county"), "partial", "name", "source")).alias("b"))
+    best = best.withColumn("any", F.max("b.partial").over(W.partitionBy("ask"))).withColumn("rank", F.row_number().over(W.partitionBy("ask").orderBy(F.desc("b.s"), "entity_id")))
     method = F.when(F.col("any"), "partial_candidate").otherwise("fuzzy_candidate")
-    out = best.filter(F.col("any") | (F.col("rank") <= limit))
-    return out.select("query", "rank", "entity_id", F.col("b.choice").alias("matched_name"), (F.col("b.s") / 10).alias("score"), method.alias("method"), F.col("b.source").alias("source"))
+    return best.filter(F.col("any") | (F.col("rank") <= limit)).select("ask", "rank", "entity_id", F.col("b.name").alias("matched_name"), (F.col("b.s") / 10).alias("score"), F.col("b.source").alias("source"), method.alias("method"))
+
+
+def search_names(queries: DataFrame, index: DataFrame, limit: int = 3) -> DataFrame:
+    """query, rank, entity_id, matched_name, score, method, source: candidates for (query) among (choice, entity_id, source)."""
+    asked = queries.select(F.col("query").alias("ask"), F.col("query").alias("norm"), F.lit("").alias("home")).distinct()
+    names = index.select("choice", F.col("choice").alias("name"), "entity_id", "source", F.lit("").alias("province")).distinct()
+    return name_candidates(asked, names, limit).select(F.col("ask").alias("query"), "rank", "entity_id", "matched_name", "score", "method", "source")

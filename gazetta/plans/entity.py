@@ -9,7 +9,7 @@ from gazetta.functions import similarity as sim
 from gazetta.functions import text as T
 from gazetta.operators import aggregate as agg
 from gazetta.operators import joins, matcher, temporal
-from gazetta.plans.common import Registry, table
+from gazetta.plans.common import Registry, ratio_sql, table
 
 R = Registry()
 FIRST, LAST = 1995, 2001
@@ -203,7 +203,16 @@ def q20_match_cascade(spark, sf_dir):
     return out.select("k", "year", *[f"crosswalk_{c}" for c in ("entity_id", "match_status", "risk_codes", "name_validity")])
 
 
-@R.add()
+@R.add(f"""
+WITH s AS (SELECT CAST(s_suppkey AS VARCHAR) AS e, s_suppkey AS seq, s_name AS canon, regexp_replace(s_name, '#0*', '') AS alias FROM supplier),
+ix AS (SELECT canon AS c, e, 0 AS layer, seq FROM s UNION ALL SELECT alias, e, 1, seq FROM s),
+nm AS (SELECT DISTINCT left(s_name, 4) || substr(s_name, 6) AS q FROM supplier),
+pr AS (SELECT q, c FROM nm, (SELECT DISTINCT c FROM ix)), {ratio_sql("pr")},
+cp AS (SELECT q, c, score, min((layer, seq)) AS place FROM wr JOIN ix USING (c) WHERE score >= 75 GROUP BY q, c, score),
+ch AS (SELECT * FROM cp QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, place) <= 8),
+li AS (SELECT ch.q, ch.c, round_even(score, 1) AS score, ix.e, row_number() OVER (PARTITION BY ch.q ORDER BY round_even(score, 1) DESC, place, ix.layer, ix.seq) AS n FROM ch JOIN ix USING (c)),
+en AS (SELECT q, e, min(n) AS first, arg_max(score, n) AS score, arg_max(c, n) AS matched_name FROM li GROUP BY ALL)
+SELECT q AS norm, '' AS province, CAST(row_number() OVER (PARTITION BY q ORDER BY first) AS INTEGER) AS rank, e AS entity_id, canon AS canonical_name, matched_name, score FROM en JOIN s USING (e) QUALIFY rank <= 3""")
 def q20b_fuzzy_candidates(spark, sf_dir):
     """Weighted-ratio candidates of misspelt supplier names."""
     t = demo_tables(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gazetta.functions import changes, geometry, units, wikitext
 from gazetta.functions import text as T
 from gazetta.operators import aggregate as agg
-from gazetta.operators import counties, joins
+from gazetta.operators import counties, joins, spatial
 from gazetta.plans.common import Registry, table
 
 R = Registry()
@@ -55,10 +55,10 @@ def q27_pivot_round_trip(spark, sf_dir):
 
 
 @R.add("""
-WITH m AS (SELECT s_suppkey, printf('CNUR-%06d', row_number() OVER (ORDER BY s_name, s_suppkey)) AS minted_id, s_acctbal AS bal FROM supplier)
+WITH m AS (SELECT s_suppkey, printf('UNIT-%06d', row_number() OVER (ORDER BY s_name, s_suppkey)) AS minted_id, s_acctbal AS bal FROM supplier)
 SELECT l_orderkey, l_linenumber, coalesce(minted_id, CAST(l_suppkey AS VARCHAR)) AS supplier_id FROM lineitem LEFT JOIN m ON l_suppkey = s_suppkey AND bal > 0""")
 def q28_mint_and_migrate(spark, sf_dir):
-    minted = joins.minted_ids(table(spark, sf_dir, "supplier").select("s_name", "s_suppkey", "s_acctbal"), ["s_name", "s_suppkey"], "CNUR-", 6)
+    minted = joins.minted_ids(table(spark, sf_dir, "supplier").select("s_name", "s_suppkey", "s_acctbal"), ["s_name", "s_suppkey"], "UNIT-", 6)
     # ids that the crosswalk lacks stay as they are: it holds suppliers with a balance
     walk = minted.filter("s_acctbal > 0").select(F.col("s_suppkey").cast("string").alias("old"), F.col("minted_id").alias("new"))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("supplier_id"))
@@ -71,7 +71,7 @@ SELECT c_custkey, arg_min(n_name, ((p.x - l.x) * (p.x - l.x) + (p.y - l.y) * (p.
 def q29_nearest_label(spark, sf_dir):
     p = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_acctbal").alias("x"), (F.col("c_nationkey") * 300.0).alias("y"))
     n = table(spark, sf_dir, "nation").select("n_name", (F.col("n_nationkey") * 400.0).alias("x"), (F.col("n_regionkey") * 1500.0).alias("y"))
-    return joins.nearest(p, "c_custkey", n, "n_name", "x", "y")
+    return spatial.nearest(p, "c_custkey", n, "n_name", "x", "y")
 
 
 @R.add("SELECT r_regionkey, count(*) AS n, string_agg(n_name, ',' ORDER BY n_nationkey) AS names FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1")
