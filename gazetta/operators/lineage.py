@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gazetta.functions import text as T
 from gazetta.functions.classify import relation_hint
 from gazetta.operators import temporal
+from gazetta.operators.aggregate import audit, check
 from gazetta.operators.closure import resolve_successors
 from gazetta.operators.joins import dimension
 
@@ -51,7 +52,7 @@ def unknown_overrides(events: DataFrame, overrides: DataFrame) -> DataFrame:
 def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, life: DataFrame, names: DataFrame) -> DataFrame:
     """Status and name of every entity at the end of every year.
 
-    entities: entity_id, canonical_name, historical (bool), start_year, end_year ·
+    entities: entity_id, canonical_name, historical (bool), start_year, end_year, source_ids if known ·
     events: event_id, entity_id, event_type, automatic (bool), old_name, new_name ·
     timing: event_id, annual_effective_year, temporal_confidence, source_ids ·
     life (overrides): entity_id, first_active_year, last_active_year, pre_active_status, post_active_status,
@@ -66,11 +67,12 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     timed = timed.withColumn("at", F.struct("eff", "event_id"))
     born = timed.filter(F.col("event_type").isin(*ESTABLISHING)).groupBy("entity_id").agg(F.min("eff").alias("born"))
     o = life.select("entity_id", F.struct("first_active_year", "last_active_year", "pre_active_status", "post_active_status", "temporal_confidence", "source_ids").alias("o"))
+    entities = entities if "source_ids" in entities.columns else entities.withColumn("source_ids", F.lit(""))
     units = entities.join(dimension(born), "entity_id", "left").join(dimension(o), "entity_id", "left")
     own = lambda c, f: F.when(F.col("historical"), F.col(c)).otherwise(f)
     units = units.withColumn("first", F.coalesce("o.first_active_year", own("start_year", F.col("born")), F.lit(FIRST_YEAR)).cast("int"))
     units = units.withColumn("last", F.coalesce("o.last_active_year", own("end_year", F.lit(None)), F.lit(LAST_YEAR)).cast("int"))
-    cells = temporal.grid(units.select("entity_id", "canonical_name", "historical", "first", "last", "o"), FIRST_YEAR, LAST_YEAR, "year")
+    cells = temporal.grid(units.select("entity_id", "canonical_name", "historical", "first", "last", "source_ids", "o"), FIRST_YEAR, LAST_YEAR, "year")
     t = timed.select("entity_id", F.struct("at", "eff", "event_type", "automatic", "old_name", "new_name", "tc", "src").alias("e"))
     met = cells.join(dimension(t), "entity_id", "left")
     old, new = F.coalesce("e.old_name", F.lit("")), F.coalesce("e.new_name", F.lit(""))
@@ -78,7 +80,7 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     renamed = F.col("e.automatic") & past & (new != "")
     ended = F.col("e.event_type").isin(*ENDING) & past & (F.col("historical") | (old == F.col("canonical_name")))
     pending = F.col("e.automatic") & (F.col("e.eff") > F.col("year")) & (old != "")
-    keys = ["entity_id", "year", "canonical_name", "historical", "first", "last"]
+    keys = ["entity_id", "year", "canonical_name", "historical", "first", "last", "source_ids"]
     state = F.struct(ended.alias("ended"), new.alias("name"), F.col("e.tc").alias("tc"), F.col("e.src").alias("src"))
     decided = met.groupBy(*keys).agg(
         F.first("o").alias("o"),
@@ -96,16 +98,17 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     name = F.when(~alive | over, "").otherwise(F.coalesce("stop.name", "before", "canonical_name"))
     basis = (
         F.when(~alive, F.when(F.col("o").isNotNull(), "entity_year_end_override").otherwise("entity_lifespan"))
-        .when(F.col("stop").isNotNull(), "event_timeline")
-        .otherwise("continuous_identity")
+        .otherwise("reviewed_event_chain")
     )
+    # what an event says counts only within the entity's life; its own sources and those of the override always do
+    event = lambda c: F.when(alive, F.col(f"stop.{c}"))
     out = decided.select(
-        "entity_id", "year", name.alias("name"), status.alias("status"), basis.alias("derivation_basis"),
-        F.coalesce("o.temporal_confidence", "stop.tc", F.lit("medium")).alias("temporal_confidence"),
-        T.merge_ids(F.coalesce("stop.src", F.lit("")), F.coalesce("o.source_ids", F.lit(""))).alias("source_ids"),
+        "entity_id", "year", alive.alias("alive"), name.alias("name"), status.alias("status"), basis.alias("derivation_basis"),
+        F.coalesce("o.temporal_confidence", event("tc"), F.lit("medium")).alias("temporal_confidence"),
+        T.merge_ids(F.coalesce("source_ids", F.lit("")), F.coalesce(event("src"), F.lit("")), F.coalesce("o.source_ids", F.lit(""))).alias("source_ids"),
     )
     n = names.select("entity_id", "start_year", "end_year", F.struct("seq", "legal_name", "status", "temporal_confidence", "source_ids").alias("n"))
-    covered = out.select("entity_id", "year").join(dimension(n), "entity_id").filter(F.col("year").between(F.col("start_year"), F.col("end_year")))
+    covered = out.filter("alive").select("entity_id", "year").join(dimension(n), "entity_id").filter(F.col("year").between(F.col("start_year"), F.col("end_year")))
     first = covered.groupBy("entity_id", "year").agg(F.min("n").alias("n"))
     out = out.join(first, ["entity_id", "year"], "left")
     has = F.col("n").isNotNull()
@@ -113,7 +116,7 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
         "entity_id", "year", F.coalesce("n.legal_name", "name").alias("name"), F.coalesce("n.status", "status").alias("status"),
         F.when(has, "reviewed_name_span_override").otherwise(F.col("derivation_basis")).alias("derivation_basis"),
         F.coalesce("n.temporal_confidence", "temporal_confidence").alias("temporal_confidence"),
-        F.coalesce("n.source_ids", "source_ids").alias("source_ids"),
+        T.merge_ids(F.col("source_ids"), F.coalesce("n.source_ids", F.lit(""))).alias("source_ids"),
     )
     reviewed = (F.col("derivation_basis") == "entity_year_end_override") | (F.col("temporal_confidence") == "high")
     return final.withColumn("verification_status", F.when(reviewed, "reviewed").otherwise("inferred")).withColumn("year_basis", F.lit("year_end"))
@@ -143,7 +146,7 @@ def roster_diff(old: DataFrame, new: DataFrame, events: DataFrame) -> DataFrame:
     out = diff.join(near, ["entity_id", "year"], "left").join(new.select("entity_id", "year", "derivation_basis"), ["entity_id", "year"], "left").join(dimension(ended), "entity_id", "left")
     why = F.col("transition_event_ids").isNotNull() | F.col("derivation_basis").isin("entity_year_end_override", "reviewed_name_span_override")
     why = why | ((F.col("new_status") == "abolished") & F.coalesce("ends", F.lit(False)))
-    return out.drop("ends").withColumn("transition_event_ids", _blank("transition_event_ids")).withColumn("review_status", F.when(why, "explained").otherwise("review_required"))
+    return out.withColumns({"review_status": F.when(why, "explained").otherwise("review_required"), "transition_event_ids": _blank("transition_event_ids")}).drop("ends")
 
 
 def emit_relations(events: DataFrame, explicit: DataFrame) -> DataFrame:
@@ -253,8 +256,6 @@ def event_flags(units: DataFrame, city: DataFrame, district: DataFrame) -> DataF
 
 def continuity_audit(events: DataFrame, relations: DataFrame, entities: DataFrame) -> DataFrame:
     """Check rows: unique ids and signatures, known entities, automatic rules, name chains and order in time."""
-    from gazetta.operators.aggregate import audit, check
-
     own = dimension(entities.select("entity_id").distinct().withColumn("known", F.lit(True)))
     rows = events.join(own, "entity_id", "left")
     order = W.partitionBy("entity_id").orderBy("year", "event_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gazetta.plans import entity, events, linking, lists, products
+from gazetta.plans import audits, entity, events, linking, lists, products
 
-QUERIES: dict = {**entity.QUERIES, **events.QUERIES, **linking.QUERIES, **lists.QUERIES, **products.QUERIES}
-SQL: dict[str, str] = {**entity.SQL, **events.SQL, **linking.SQL, **lists.SQL, **products.SQL}
+QUERIES: dict = {**audits.QUERIES, **entity.QUERIES, **events.QUERIES, **linking.QUERIES, **lists.QUERIES, **products.QUERIES}
+SQL: dict[str, str] = {**audits.SQL, **entity.SQL, **events.SQL, **linking.SQL, **lists.SQL, **products.SQL}
