@@ -7,12 +7,15 @@ import hashlib
 import io
 import json
 import zipfile
+from functools import reduce
 from pathlib import Path
 from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.operators.closure import shared_folder
+
 FIXED_TIME = (2000, 1, 1, 0, 0, 0)
 
 
@@ -102,6 +105,68 @@ def write_features(features: DataFrame, path: str, by: list[str]) -> DataFrame:
     return features.groupBy(*by).agg(F.count("*").alias("features"), F.sum(F.octet_length(line)).alias("bytes"))
 
 
+def document_lines(items: DataFrame, by: list[str], head: DataFrame, tail: str) -> DataFrame:
+    """Lines (by, value) whose concatenation in order is one document for each group: head, items joined by commas, tail.
+
+    items: by, value · head: by, value (groups without items get an empty list). Lines are sorted by range, so a large group is
+    spread over tasks and files; only the first item of a group is looked up.
+    """
+    shared_folder(items.sparkSession)
+    rows = items.select(*by, "value").withColumn("_at", F.monotonically_increasing_id()).checkpoint()
+    first = rows.groupBy(*by).agg(F.min("_at").alias("_first"))
+    rows = rows.join(first, by).select(*by, F.lit(1).alias("_kind"), "_at", F.concat(F.when(F.col("_at") == F.col("_first"), "").otherwise(","), "value").alias("value"))
+    ends = head.select(*by, F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_at"), "value").union(head.select(*by, F.lit(2), F.lit(0).cast("long"), F.lit(tail)))
+    return rows.union(ends).repartitionByRange(*by, "_kind", "_at").sortWithinPartitions(*by, "_kind", "_at").select(*by, "value")
+
+
+def write_feature_collections(features: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """GeoJSON FeatureCollections by group: the files of a group's folder, in order of name, are one document (K7, K8).
+
+    Returns a manifest row for each group: by, features, bytes. features: id, properties (JSON), geometry (JSON) and the columns of ``by``.
+    """
+    line = F.concat(F.lit('{"type":"Feature","id":'), F.to_json(F.array("id")).substr(F.lit(2), F.length(F.to_json(F.array("id"))) - 2), F.lit(',"properties":'), "properties", F.lit(',"geometry":'), F.coalesce("geometry", F.lit("null")), F.lit("}"))
+    items = features.select(*by, line.alias("value"))
+    head = features.select(*by).distinct().withColumn("value", F.lit('{"type":"FeatureCollection","features":['))
+    document_lines(items, by, head, "]}").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).text(path)
+    return items.groupBy(*by).agg(F.count("*").alias("features"), F.sum(F.octet_length("value")).alias("bytes"))
+
+
+def level_manifest(rows: DataFrame, level: str) -> DataFrame:
+    """Manifest of all levels as rows (level, files, features, bytes, entries), entries a JSON list of a level's files.
+
+    rows: what the writers return for each file, with a column for the level; one row for each file.
+    """
+    rest = [c for c in rows.columns if c != level]
+    entries = F.to_json(F.array_sort(F.collect_list(F.struct(*rest))))
+    return rows.groupBy(level).agg(F.count("*").alias("files"), F.sum("features").alias("features"), F.sum("bytes").alias("bytes"), entries.alias("entries"))
+
+
+def bundle_lines(sections: dict[str, DataFrame]) -> DataFrame:
+    """Lines of one JSON document that holds every table as a list (K6): write them as text, parts in order of name are the document."""
+    names = sorted(sections)
+    spark = sections[names[0]].sparkSession
+    rows = [sections[n].select(F.lit(i).alias("section"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in sections[n].columns]), {"ignoreNullFields": "false"}).alias("value")) for i, n in enumerate(names)]
+    heads = [(i, ("{" if i == 0 else ",") + json.dumps(n) + ":[") for i, n in enumerate(names)]
+    lines = document_lines(reduce(DataFrame.union, rows), ["section"], spark.createDataFrame(heads, "section int, value string"), "]")
+    end = F.when((F.col("section") == len(names) - 1) & (F.col("value") == "]"), "]}").otherwise(F.col("value"))
+    return lines.select(end.alias("value"))
+
+
+def mirror(df: DataFrame, paths: list[str]) -> None:
+    """The same rows for several consumers, each a CSV folder of its own (K12). The rows are made once and written in one order."""
+    shared_folder(df.sparkSession)
+    once = df.checkpoint()
+    for path in paths:
+        write_csv(once, path, df.columns)
+
+
+def mirror_differences(spark, one: str, other: str) -> DataFrame:
+    """Contents (SHA-256 and number of files) that two folders don't have equally often; the names of part files don't count."""
+    own = [checksums(spark, p).filter("path not like '%/.%' and path not like '%/\\_%' escape '\\\\'").groupBy("sha256").agg(F.count("*").alias("n")) for p in (one, other)]
+    both = own[0].withColumnRenamed("n", "here").join(own[1].withColumnRenamed("n", "there"), "sha256", "full").na.fill(0, ["here", "there"])
+    return both.filter("here <> there")
+
+
 def bundle(sections: dict[str, DataFrame]) -> DataFrame:
     """One row with one JSON document that holds every table as a list; for dimension tables of a web page."""
     out = None
