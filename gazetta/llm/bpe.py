@@ -32,8 +32,8 @@ from gazetta.llm.common import slices
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NONE = np.int64(1) << 40
-CHUNK = 2_000_000
-CACHE = 300_000
+CHUNK = 500_000
+CACHE = 100_000
 LONG = 2_000
 
 
