@@ -5,8 +5,8 @@
    all its text doesn't count, unless it is an article or main element. Votes go to generalised paths (tags with classes,
    digits folded) of the page's host and are summed in Spark, where a host with a
    third of all pages is pre-aggregated before the shuffle.
-2. Paths are ranked per host by their votes for each page that has them, and the
-   ``HOST_PATHS`` with the most votes are joined back, but none that holds little on
+2. Paths are ranked per host by their votes for each page that has them, and those
+   that are the best of some page are joined back, but none that holds little on
    most pages that have it (such as a body around everything). Each page is extracted again
    from the elements on the best-ranked path that it has: pages of another template
    have another best path. Where those elements hold no fair share of the page's
@@ -19,9 +19,12 @@ directly in a container around the chosen one, and boxes of headings only, are k
 Blocks are cut at block-level tags. A null or empty page gives an empty text.
 The table of hosts is broadcast up to ``BROADCAST_HOSTS`` rows and shuffled beyond.
 
+A form goes unless it wraps the page: with ``FORM_PROSE`` unlinked characters or more for each of its
+controls it counts as a plain container. Classes of html and body are not looked at, nor are those of main but for comments.
 Class and id words of menus, adverts and the like take a container out by themselves only
 where they are a whole class or stand beside filler words; in a longer name, or as an id in
-an article, only together with a text that consists of links. Paragraphs, headings and
+an article, only together with a text that consists of links. Within an article, words that it may have on boxes of its own (such as
+share, search or notice) take out only boxes of links and boxes without an unlinked paragraph. Paragraphs, headings and
 inline elements go by a few unmistakable whole classes alone.
 
 A page is parsed in time linear in its length, however broken: once a tag does not end, tags
@@ -38,15 +41,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import table
+from gazetta.llm.common import cut, table
 
 BROADCAST_HOSTS = 500_000
 WRAPPED = 0.9
-#: Ranked paths of a host: its templates, with room for rarer ones.
-HOST_PATHS = 32
+#: Hosts of more paths than this have them joined one by one instead of as a list; the result is the same.
+LISTED = 256
 #: A path's votes count as if so many more pages had it without a vote, so that no rare path leads by chance.
 PRIOR = 2
 #: One over the share of a page's unlinked text that a container needs for a vote.
@@ -69,7 +72,7 @@ BLOCK = set(
 )
 BOXES = set("article main section div td body html center".split())
 DROP = set(
-    "nav footer aside form script style head title noscript template iframe object svg canvas select button textarea "
+    "nav footer aside script style head title noscript template iframe object svg canvas select button textarea "
     "input option dialog menu audio video math".split()
 )
 #: Class and id words of what isn't the article.
@@ -87,6 +90,11 @@ FILLER = set(
 )
 #: Whole classes that take out paragraphs and inline elements too.
 CLEAR = set("ad ads adv advert adverts advertisement advertising adsense sponsored cookie cookies newsletter breadcrumb breadcrumbs pagination".split())
+#: Words that an article may have on boxes of its own, such as a section on market share.
+DOUBTFUL = set("notice notices alert share sharing social search related recommended widget legal copyright toolbar skip pager topbar masthead overlay".split())
+CONTROLS = set("input select textarea button".split())
+#: Unlinked characters for each control from which a form is a wrapper of the page rather than a form of it.
+FORM_PROSE = 300
 CONTAINERS = set("div section ul ol dl table figure details td center".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 HEADS = set("h1 h2 h3 h4 h5 h6".split())
@@ -118,26 +126,29 @@ def _name(tag: str, attrs: dict[str, str]) -> str:
 
 
 def _odd(tag: str, attrs: dict[str, str], in_article: bool) -> int:
-    """0: part of the content by its name, 1: not, 2: not if its text consists of links."""
+    """0: part of the content by its name, 1: not, 2: not if its text consists of links, 3: not without an unlinked paragraph, 4: a form."""
     if tag in DROP or tag == "header" and not in_article:
         return 1
     if not attrs:
-        return 0
+        return 4 if tag == "form" else 0
     classes = attrs.get("class", "").lower().split()
     style = attrs.get("style", "").replace(" ", "").lower()
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-    if tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body"):
+        return 0
+    if tag in ("article", "main"):
         return int({"comment", "comments"} & set(classes) != set())
     if hidden or attrs.get("role", "").lower() in ROLES:
         return 1
     if tag not in CONTAINERS:
-        return int(not CLEAR.isdisjoint(classes))
+        return 1 if not CLEAR.isdisjoint(classes) else 4 if tag == "form" else 0
     odd = 0
     for name, is_id in [*((c, False) for c in classes), (attrs.get("id", "").lower(), True)]:
         words = set(re.findall(r"[a-z]+", name))
         if not words.isdisjoint(ODD) or not in_article and words == {"header"}:
             sure = all(w in ODD or w in FILLER for w in words) and not (is_id and in_article)
-            odd = 1 if sure or odd == 1 else 2
+            doubtful = in_article and not is_id and words & ODD <= DOUBTFUL
+            odd = 1 if sure and not doubtful or odd == 1 else max(odd, 3 if sure else 2)
     return odd
 
 
@@ -145,14 +156,15 @@ class _Stack:
     """Open elements, with the places of each tag, so that the nearest one is found at once."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, int, bool, bool, int]] = []  # tag, node or -1, odd, article, first block if suspect else -1
+        # tag, node or -1, odd, article, first block if suspect else -1, kind by its name, controls before it
+        self.rows: list[tuple[str, int, bool, bool, int, int, int]] = []
         self.places: dict[str, list[int]] = {}
 
-    def push(self, row: tuple[str, int, bool, bool, int]) -> None:
+    def push(self, row: tuple[str, int, bool, bool, int, int, int]) -> None:
         self.places.setdefault(row[0], []).append(len(self.rows))
         self.rows.append(row)
 
-    def pop(self) -> tuple[str, int, bool, bool, int]:
+    def pop(self) -> tuple[str, int, bool, bool, int, int, int]:
         row = self.rows.pop()
         self.places[row[0]].pop()
         return row
@@ -170,7 +182,8 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
     stack = _Stack()
     sums: list[tuple[int, int]] = [(0, 0)]  # characters and linked ones before each block
     own: list[str] = []
-    linked, anchors, odd, articles, box, heads = 0, 0, 0, 0, 0, 0
+    paragraph: list[bool] = []  # whether each block is one
+    linked, anchors, odd, articles, box, heads, texts, controls = 0, 0, 0, 0, 0, 0, 0, 0
     path: list[str] = [""]  # hashes of the chains of names down to each open container
 
     def flush() -> None:
@@ -180,16 +193,22 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
             if text:
                 blocks.append(text)
                 links.append(linked)
+                paragraph.append(texts > 0)
                 sums.append((sums[-1][0] + len(text), sums[-1][1] + linked))
                 nodes[box].own.append(len(blocks) - 1)
                 nodes[box].plain |= not heads
             own.clear()
         linked = 0
 
-    def forget(first: int) -> None:
-        """Take back the blocks from first on, if they consist of links."""
-        if first < len(blocks) and 2 * (sums[-1][1] - sums[first][1]) >= sums[-1][0] - sums[first][0]:
-            del blocks[first:], links[first:], sums[first + 1 :]
+    def forget(first: int, kind: int, before: int) -> None:
+        """Take back the blocks from first on, if they aren't content: see _odd."""
+        size, within = sums[-1][0] - sums[first][0], sums[-1][1] - sums[first][1]
+        if kind == 4:
+            gone = size - within < FORM_PROSE * max(1, controls - before)
+        else:
+            gone = 2 * within >= size or kind == 3 and not any(paragraph[b] and 2 * links[b] < len(blocks[b]) for b in range(first, len(blocks)))
+        if first < len(blocks) and gone:
+            del blocks[first:], links[first:], paragraph[first:], sums[first + 1 :]
             last = len(nodes) - 1
             while last and nodes[last].first >= first and nodes[last].last >= 0:
                 nodes.pop()
@@ -198,8 +217,8 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
                 nodes[box].own.pop()
 
     def pop() -> None:
-        nonlocal odd, anchors, articles, box, heads
-        tag, node, was_odd, was_article, suspect = stack.pop()
+        nonlocal odd, anchors, articles, box, heads, texts
+        tag, node, was_odd, was_article, suspect, kind, before = stack.pop()
         if tag in BLOCK or suspect >= 0:
             flush()
         if node >= 0:
@@ -207,11 +226,12 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
             box = nodes[node].parent
             path.pop()
         if suspect >= 0:
-            forget(suspect)
+            forget(suspect, kind, before)
         odd -= was_odd
         articles -= was_article
         anchors -= tag == "a"
         heads -= tag in HEADS
+        texts -= tag == "p"
 
     def close(tags: set[str], stop: set[str]) -> None:
         """Close the nearest open element of tags, unless one of stop is nearer."""
@@ -258,6 +278,7 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
                 flush()
         if tag in SIBLINGS:
             close(set(SIBLINGS[tag].split()), {"ul", "ol", "dl", "table", "select"})
+        controls += tag in CONTROLS
         if tag in VOID:
             if tag == "br" and not odd:
                 own.append(" ")
@@ -273,20 +294,21 @@ def parse(page: str) -> tuple[list[str], list[int], list[Node]]:
                 own.append(html.escape(page[at : rest.start()] if rest else page[at:], quote=False))
             at = rest.end() if rest else end
             continue
-        if name == 2 and not odd:
+        if name > 1 and not odd:
             flush()
-        suspect = len(blocks) if name == 2 and not odd else -1
+        suspect = len(blocks) if name > 1 and not odd else -1
         node = -1
         if tag in BOXES and not odd and not is_odd:
             named = _name(tag, attrs)
             path.append(hashlib.blake2b(f"{path[-1]}>{named}".encode("utf-8", "replace"), digest_size=8).hexdigest())
             nodes.append(Node(f"{path[-1]}>{named}", len(blocks), len(path), box))
             box = node = len(nodes) - 1
-        stack.push((tag, node, is_odd, tag in ("article", "main"), suspect))
+        stack.push((tag, node, is_odd, tag in ("article", "main"), suspect, name, controls))
         odd += is_odd
         articles += tag in ("article", "main")
         anchors += tag == "a"
         heads += tag in HEADS
+        texts += tag == "p"
     while stack.rows:
         pop()
     flush()
@@ -377,43 +399,68 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host, paths: the container paths with the most votes of each host, by their votes a page that has them."""
+    """host, path, rank: the container paths that are the best of some page, ranked by their votes a page that has them."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cast: dict[tuple[str, str], list[float]] = {}
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 share, own = shares(*parse(page)) if page else ({}, {})
+                first = max(own, key=lambda p: (own[p], p)) if own else None
                 for path in share:
-                    cell = cast.setdefault((host, path), [0.0, 0])
+                    cell = cast.setdefault((host, path), [0.0, 0, 0])
                     cell[0] += own.get(path, 0.0)
                     cell[1] += 1
-            rows = [(h, p, s, n) for (h, p), (s, n) in cast.items()]
-            cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
-            kinds = [pa.string(), pa.string(), pa.float64(), pa.int64()]
+                    cell[2] += path == first
+            rows = [(h, p, *cell) for (h, p), cell in cast.items()]
+            cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+            kinds = [pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "path", "score", "n"]
+                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["host", "path", "score", "n", "first"]
             )
 
     cast = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        vote, "host string, path string, score double, n long"
+        vote, "host string, path string, score double, n long, first long"
     )
-    summed = cast.groupBy("host", "path").agg(F.round(F.sum("score"), 6).alias("score"), F.sum("n").alias("n"))
-    order = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("score"), F.desc("n"), F.desc("path")))
-    most = summed.filter("score > 0").withColumn("k", order).filter(F.col("k") <= HOST_PATHS)
+    summed = cast.groupBy("host", "path").agg(F.round(F.sum("score"), 6).alias("score"), F.sum("n").alias("n"), F.sum("first").alias("first"))
     rate = F.col("score") / (F.col("n") + PRIOR)
-    rank = F.struct(rate.alias("rate"), "score", "n", "path")
-    # at most HOST_PATHS entries
-    return most.filter(rate * FAIR >= 1).groupBy("host").agg(F.sort_array(F.collect_list(rank), asc=False)["path"].alias("paths"))
+    kept = summed.filter("first > 0").filter(rate * FAIR >= 1)
+    return kept.select("host", "path", F.struct(rate.alias("rate"), "score", "n", "path").alias("rank"))
+
+
+def best_paths(pages: DataFrame, ranks: DataFrame) -> DataFrame:
+    """key, paths: the best-ranked path of each page (key, host, html) among its host's, for hosts of many paths."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, hosts, paths = [], [], []
+            for key, host, page in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                there = {n.path for n in parse(page)[2][1:] if n.last > n.first} if page else set()
+                keys += [key] * len(there)
+                hosts += [host] * len(there)
+                paths += there
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(hosts, pa.string()), pa.array(paths, pa.string())], names=["key", "host", "path"])
+
+    has = pages.select("key", "host", "html").mapInArrow(own, "key string, host string, path string")
+    best = has.join(ranks, ["host", "path"]).groupBy("key").agg(F.max("rank").alias("rank"))
+    return best.select("key", F.array("rank.path").alias("paths"))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and the path that was used, for every row of pages."""
-    paths = host_paths(pages)
-    n = pages.select(F.approx_count_distinct(host_of(F.col("url")))).first()[0]
-    side = F.broadcast(paths) if n <= BROADCAST_HOSTS else paths
+    ranks = cut(host_paths(pages))
+    sizes = ranks.groupBy("host").agg(F.count("*").alias("k"))
+    many = cut(sizes.filter(F.col("k") > LISTED).select("host"))
+    n = sizes.count()
+    listed = ranks.join(many, "host", "left_anti").groupBy("host").agg(F.sort_array(F.collect_list("rank"), asc=False)["path"].alias("paths"))
     own = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    joined = own.join(side, "host", "left").select("page_id", "url", "paths", "html")
+    joined = own.join(F.broadcast(listed) if n <= BROADCAST_HOSTS else listed, "host", "left").select("page_id", "url", "host", "paths", "html")
+    if not many.isEmpty():
+        # equal pages have equal keys, and take the same path
+        keyed = joined.withColumn("key", F.sha2(F.concat_ws("\u0000", "host", "html"), 256))
+        large = keyed.join(many, "host", "left_semi")
+        chosen = best_paths(large.select("key", "host", "html").distinct(), ranks.join(many, "host", "left_semi"))
+        joined = keyed.drop("paths").join(chosen, "key").select("page_id", "url", "host", "paths", "html").union(keyed.join(chosen, "key", "left_anti").select("page_id", "url", "host", "paths", "html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -426,7 +473,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             )
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, path string")
+    return joined.select("page_id", "url", "paths", "html").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, path string")
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
