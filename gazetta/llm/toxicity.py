@@ -7,7 +7,7 @@ Learning (labelled rows only, never those held out):
    the lexicon in the order of their gain, as long as they occur in toxic documents
    that the terms before explain too little, with the whole words that stems cover.
    Its size follows from the labels; there is no cap.
-2. The lexicon is a trie. Words run through its product with a Levenshtein automaton,
+2. The lexicon is a trie. Words, and the parts of words that signs or apostrophes glue together, run through its product with a Levenshtein automaton,
    determinised lazily: a state is a set of (trie node, edits so far). Whole terms
    match within one edit (two from ten letters on; none below five) and look-alike
    digits and signs fold first; stems match exactly. Ordinary words of clean
@@ -52,6 +52,8 @@ MAX_STATES = 200_000
 #: A misspelling found in more than one of so many clean documents is an ordinary word.
 ORDINARY = 2_000
 WORD = re.compile(r"[^\W_]+(?:[@$!*'’][^\W_]+)*")
+PARTS = re.compile(r"[^\W_]+")
+#: The same for learning, which sees the parts only.
 JAVA_WORD = r"[\p{L}\p{Nd}]+"
 # Look-alike characters, and words of reporting and of address in four languages.
 LOOKS = str.maketrans("013457@$!", "oieastasi")
@@ -179,6 +181,11 @@ class Scorer:
                     if other and other[1] and word in self.ordinary:
                         other = None
                     found = min(filter(None, (found, other)), key=lambda f: f[1], default=None)
+            if found is None or found[1]:
+                # what signs and apostrophes glue together counts by its parts too, which are the words that learning sees
+                parts = PARTS.findall(word)
+                if len(parts) > 1:
+                    found = min(filter(None, (found, *map(self._lookup, parts))), key=lambda f: f[1], default=None)
             self.cache[word] = found
         return self.cache[word]
 

@@ -304,6 +304,14 @@ def test_guard_words_cover_every_template():
         assert len({g for g in grams if not guards & set(g)}) < 0.75 * len(grams)
 
 
+def test_toxicity_finds_terms_in_glued_words():
+    s = toxicity.Scorer(["=moron", "=loser", "=idiot"])
+    for text in ("you moron!loser", "trash!loser", "word*moron", "moron's", "l'idiot", "L’IDIOT", "m0ron", "lo$er"):
+        assert [e for _, e, _ in s.matches(text)] == [0], text
+    assert not s.matches("don't can't it's o'clock")
+    assert [e for _, e, _ in s.matches("morron!x")] == [1]
+
+
 def brute_licenses(text, templates):
     """Licenses by any window of shingles as long as a window of the operator, compared with every template."""
     grams = lambda t: [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if (w := [x for x in licenses.template_words(t or "") if x]) else []
