@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gazetta.llm import ann, bpe, htmltext
@@ -131,6 +132,31 @@ def test_html_host_with_several_templates(spark):
     assert {r.page_id: r.path.split(">")[-1] for r in out} == {i: "div" if i < 12 else "div.story" if i < 17 else "article" for i in range(18)}
 
 
+def test_html_forms_and_class_words_do_not_cut_prose():
+    text = "Long prose of the article goes on here. " * 40
+    read = lambda page: htmltext.extract(htmltext.parse(page), None)
+    whole = read(f'<body><form id="f"><input type="hidden"><div class="content"><h1>Title</h1><p>{text}</p></div><input><button>Go</button></form></body>')
+    assert whole == f"Title\n\n{text.strip()}"
+    assert read(f'<body class="comments"><div class="content"><p>{text}</p></div></body>') == text.strip()
+    kept = '<section class="share"><h2>Market share</h2><p>Market share rose.</p></section><div class="section-search"><p>Binary search halves.</p></div><div class="notice"><p>Mind this.</p></div>'
+    gone = '<div class="share"><a href="x">Tweet</a></div><div class="notice">We use things.</div><form><p>Leave a reply to us all.</p><label>Name</label><input><textarea></textarea></form>'
+    gone += '<div class="comments"><p>nice one</p></div><article class="comment"><p>so true</p></article><div class="newsletter"><p>Sign up now.</p></div>'
+    got = read(f"<body><article><p>{text}</p>{kept}{gone}</article></body>")
+    assert got.split("\n\n") == [text.strip(), "Market share", "Market share rose.", "Binary search halves.", "Mind this."]
+    # outside of articles these words take a box out by themselves
+    assert read(f'<body><div class="content"><p>{text}</p></div><div class="notice"><p>Mind this.</p></div></body>') == text.strip()
+
+
+def test_html_hosts_of_many_paths_give_the_same_texts(spark, monkeypatch):
+    text = "long article text " * 30
+    shapes = [f"<html><body><div class='t{chr(97 + i)}'><p>{text}{i}</p></div><div>small box</div></body></html>" for i in range(12)]
+    rows = [(i, "http://h.example/" if i % 5 else None, shapes[i % 12]) for i in range(60)] + [(99, "http://h.example/", None), (100, "http://h.example/", "<p>x</p>"), (0, "http://h.example/", shapes[0])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    first = sorted(map(str, htmltext.extract_pages(df).collect()))
+    monkeypatch.setattr(htmltext, "LISTED", 2)
+    assert sorted(map(str, htmltext.extract_pages(df).collect())) == first and len(first) == len(rows)
+
+
 def brute_neighbours(rows, k):
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     out = []
@@ -144,7 +170,7 @@ def brute_neighbours(rows, k):
 @pytest.mark.parametrize("small", [False, True])
 def test_ann(spark, monkeypatch, small):
     if small:
-        for name, value in [("BLOCK_ROWS", 15), ("CHUNK_ROWS", 7), ("CELL_ROWS", 30), ("LEAF", 8), ("SAMPLE", 200)]:
+        for name, value in [("BLOCK_ROWS", 15), ("CHUNK_ROWS", 7), ("LEAF", 8), ("SAMPLE", 200), ("FIRST", 3), ("SECOND", 5), ("PAIRS", 9)]:
             monkeypatch.setattr(ann, name, value)
     rng = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(12) * (1 + i % 3)]) for i in range(400)]
@@ -171,6 +197,27 @@ def test_ann_recall_on_the_test_table(spark):
     assert len(want & got) >= 0.9 * len(want)
 
 
+def test_ann_prunes_where_vectors_form_clusters(spark):
+    """Several hundred cells: few rows are compared, and nearly all true neighbours are found."""
+    rng = np.random.default_rng(8)
+    n, centres = 40_000, rng.standard_normal((800, 32))
+    v = centres[rng.integers(0, 800, n)] + 0.3 * rng.standard_normal((n, 32))
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": v.tolist()}))
+    out, work = ann.search(df, every=200)
+    found = {}
+    for r in out.collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    compared = work.agg({"compared": "sum"}).first()[0]
+    hits = 0
+    for q in range(0, n, 200):
+        s = v @ v[q]
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hits >= 0.92 * 20 * len(found) and len(found) == n // 200
+    assert compared < 0.15 * n * len(found)
+
+
 def test_chi_square():
     assert abs(ann.chi_square_cdf(np.array([7.344]))[0] - 0.5) < 1e-3
 
