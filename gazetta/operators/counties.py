@@ -9,6 +9,11 @@ from gazetta.functions import changes, classify, units
 from gazetta.functions.text import approval_date
 from gazetta.operators.aggregate import token_frequency
 from gazetta.operators.joins import containment
+from gazetta.operators.sizes import dimension
+
+
+# Ends of unit names in the order in which they are tried.
+UNIT_ENDS = ["自治县", "自治旗", "县级市", "市", "县", "区", "旗", "林区", "特区"]
 
 
 def early_events(items: DataFrame, names: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -19,7 +24,7 @@ def early_events(items: DataFrame, names: DataFrame, overrides: DataFrame) -> Da
     rows = items.withColumn("event_type", classify.early_county_type(F.col("text")))
     rows = rows.withColumn("units", units.all_units_col(F.col("text"))).withColumn("sides", units.old_and_new_col(F.col("text"), F.col("event_type")))
     found = containment(items, "item_id", "text", names, "name").select("item_id", "name")
-    given = rows.select("item_id", F.explode("units").alias("county")).join(F.broadcast(overrides), "county").select("item_id", "name")
+    given = rows.select("item_id", F.explode("units").alias("county")).join(dimension(overrides), "county").select("item_id", "name")
     parents = found.union(given).distinct().groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct((-F.length("name")).alias("n"), "name"))).alias("p"))
     out = rows.join(parents, "item_id", "left")
     join = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), "、")
@@ -31,6 +36,43 @@ def early_events(items: DataFrame, names: DataFrame, overrides: DataFrame) -> Da
     )
 
 
+def early_release(events: DataFrame, sources: DataFrame, owners: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Events of notices as released: ids, entities of the parents, unit kinds, source columns, reviewed texts laid over.
+
+    events: what ``early_events`` returns, with source_id and item_number · sources: source_id, year, period, title, url, locator, secondary (bool) ·
+    owners: name, entity_id · reviewed: text, prefecture_names, county_names, old_county_units, new_county_units (lists joined by 、),
+    entity_ids. A reviewed row replaces what was parsed from exactly its text; of several the smallest counts. County names leave out the
+    parents and units above counties.
+    """
+    parts = lambda c: F.filter(F.split(F.coalesce(c, F.lit("")), "、"), lambda x: x != "")
+    r = reviewed.groupBy("text").agg(F.min(F.struct("prefecture_names", "county_names", "old_county_units", "new_county_units", "entity_ids")).alias("r"))
+    rows = events.join(dimension(r.withColumnRenamed("text", "change_description")), "change_description", "left").join(dimension(sources.drop("year")), "source_id")
+    has = F.col("r").isNotNull()
+    pick = lambda c: F.when(has, F.col(f"r.{c}")).otherwise(F.col(c))
+    counties = F.filter(parts(F.col("county_names")), lambda x: ~F.array_contains(parts(F.col("prefecture_names")), x) & ~x.rlike("(?:地区|盟|自治州)$"))
+    counties = F.when(has, parts(F.col("r.county_names"))).otherwise(counties)
+    rows = rows.withColumns({"_parents": pick("prefecture_names"), "_counties": counties, "_old": pick("old_county_units"), "_new": pick("new_county_units")})
+    # an event's parents meet their entities by name
+    named = rows.select("source_id", "item_number", F.explode(parts(F.col("_parents"))).alias("name")).join(dimension(owners.select("name", "entity_id").distinct()), "name")
+    ids = named.groupBy("source_id", "item_number").agg(F.array_join(F.array_sort(F.collect_set("entity_id")), "、").alias("_ids"))
+    rows = rows.join(ids, ["source_id", "item_number"], "left")
+    suffix = lambda n: classify.first_rule([(F.endswith(n, F.lit(x)), x) for x in UNIT_ENDS], "")
+    kind = F.when(F.col("secondary"), "XZQH").otherwise("RMRB")
+    name = F.regexp_replace("source_id", "^SRC-(?:RMRB|XZQH)-", "")
+    number = F.when(F.col("item_number") < 1000, F.lpad(F.col("item_number").cast("string"), 3, "0")).otherwise(F.col("item_number").cast("string"))
+    status = F.when(has, "reviewed_manual_override").when(F.col("secondary"), "secondary_transcription_review_required").otherwise("source_text_parsed_review_required")
+    province = F.coalesce(F.nullif("province", F.lit("")), F.lit("国务院批复转录"))
+    return rows.select(
+        F.concat(kind, F.lit("-COUNTY-"), name, F.lit("-"), number).alias("event_id"), "year", F.concat(province, F.lit(" / "), "period").alias("section"), "event_type",
+        F.col("_parents").alias("prefecture_names"), F.when(has, F.col("r.entity_ids")).otherwise(F.coalesce("_ids", F.lit(""))).alias("prefecture_entity_ids"),
+        F.array_join("_counties", "、").alias("county_names"), F.col("_old").alias("old_county_units"), F.col("_new").alias("new_county_units"), "change_description",
+        F.array_join(F.array_sort(F.array_distinct(F.transform("_counties", suffix))), "、").alias("county_unit_types"), F.lit("county_level").alias("scope"),
+        F.concat(F.coalesce("province", F.lit("")), F.lit("："), "change_description").alias("description"), F.col("title").alias("source_title"), F.col("url").alias("source_url"), "source_id",
+        F.when(F.col("secondary"), "secondary_transcription").otherwise("people_daily_summary").alias("source_type"), F.col("locator").alias("source_locator"),
+        F.when(F.col("secondary"), "secondary_transcription").otherwise("primary_text").alias("source_confidence"), status.alias("review_status"),
+    )
+
+
 def county_events(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Events of archived table rows: row_id, year, section, row_kind, row_text, raw_cells -> type, linked prefectures, sides, unit types, scope."""
     data = rows.filter("row_kind = 'data' AND row_text <> ''")

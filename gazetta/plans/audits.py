@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import labels, wikitext
-from gazetta.operators import lineage, rules
+from gazetta.operators import counties, lineage, rules
 from gazetta.plans.common import Registry, table
 
 R = Registry()
@@ -303,4 +303,28 @@ def q99_district_events(spark, sf_dir):
     return labels.district_events(events, names).select("event_id", "year", "prefecture_entity_id", "prefecture_name", "event_category", "unit_scope", "treatment_hint")
 
 
+@R.add("""
+WITH s AS (SELECT s_suppkey AS k, s_nationkey AS n, s_suppkey % 4 = 0 AS second, '撤销甲' || translate(CAST(s_nationkey AS VARCHAR), '0123456789', '子丑寅卯辰巳午未申酉') || '县，设立乙市' AS txt FROM supplier),
+x AS (SELECT *, '甲' || translate(CAST(n AS VARCHAR), '0123456789', '子丑寅卯辰巳午未申酉') || '县' AS old FROM s)
+SELECT CASE WHEN second THEN 'XZQH' ELSE 'RMRB' END || '-COUNTY-' || n || '-' || printf('%03d', k) AS event_id, CASE WHEN k % 2 = 0 THEN '河北省' ELSE '国务院批复转录' END || ' / P' || n AS section, 'split' AS event_type,
+  CASE WHEN n = 3 THEN '丙市' ELSE '乙市' END AS prefecture_names, CASE WHEN n = 3 THEN 'E9' ELSE 'E1、E2' END AS prefecture_entity_ids, CASE WHEN n = 3 THEN '丁县、戊区' ELSE old END AS county_names, CASE WHEN n = 3 THEN '丁县' ELSE old END AS old_county_units,
+  CASE WHEN n = 3 THEN '戊区' ELSE '乙市' END AS new_county_units, CASE WHEN n = 3 THEN '区、县' ELSE '县' END AS county_unit_types,
+  CASE WHEN n = 3 THEN 'reviewed_manual_override' WHEN second THEN 'secondary_transcription_review_required' ELSE 'source_text_parsed_review_required' END AS review_status FROM x""")
+def q101_early_release(spark, sf_dir):
+    """Items of notices as released county events, with reviewed texts laid over."""
+    s = table(spark, sf_dir, "supplier")
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    text = F.concat(F.lit("撤销甲"), F.translate(n.cast("string"), "0123456789", "子丑寅卯辰巳午未申酉"), F.lit("县，设立乙市"))
+    second = k % 4 == 0
+    source = F.concat(F.when(second, "SRC-XZQH-").otherwise("SRC-RMRB-"), n.cast("string"))
+    items = s.select(k.alias("item_id"), F.lit(1985).alias("year"), F.when(k % 2 == 0, "河北省").otherwise("").alias("province"), text.alias("text"))
+    names = spark.createDataFrame([("乙市", "E2"), ("乙市", "E1"), ("丙市", "E9")], "name string, entity_id string")
+    nothing = names.select(F.col("name").alias("county"), "name").filter("false")
+    events = counties.early_events(items, names, nothing).join(s.select(k.alias("item_id"), source.alias("source_id"), k.alias("item_number")), "item_id")
+    sources = s.select(source.alias("source_id"), F.concat(F.lit("P"), n.cast("string")).alias("period"), F.lit("t").alias("title"), F.lit("u").alias("url"), F.lit("l").alias("locator"), second.alias("secondary"), F.lit(1985).alias("year")).distinct()
+    reviewed = s.filter(n == 3).select(text.alias("text"), F.lit("丙市").alias("prefecture_names"), F.lit("丁县、戊区").alias("county_names"), F.lit("丁县").alias("old_county_units"), F.lit("戊区").alias("new_county_units"), F.lit("E9").alias("entity_ids")).distinct()
+    out = counties.early_release(events, sources, names, reviewed)
+    return out.select("event_id", "section", "event_type", "prefecture_names", "prefecture_entity_ids", "county_names", "old_county_units", "new_county_units", "county_unit_types", "review_status")
+
+
 QUERIES, SQL = R.queries, R.sql
