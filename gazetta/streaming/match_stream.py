@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.operators.joins import BROADCAST_ROWS
+from gazetta.operators.sizes import BROADCAST_ROWS
 
 
 def match_stream(stream: DataFrame, index: DataFrame, on: str = "norm", at: str = "year", start: str = "start", end: str = "end") -> DataFrame:
