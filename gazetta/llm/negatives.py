@@ -157,11 +157,13 @@ def hard_negatives(vectors: DataFrame, top: int = NEGATIVES, near: int = POSITIV
     p = F.col("positive_score")
     room = pairs.filter(F.expr("ceil(50 * cast(positive_score as decimal(20,0)) / 100) <= floor(95 * cast(positive_score as decimal(20,0)) / 100)"))
     wanted = room.groupBy(F.col("anchor").alias("id")).agg(F.array_sort(F.collect_set(p)).alias("wants"))
-    asking = kept.filter(F.pmod("vec_id", F.lit(EVERY)) == 0).join(wanted, "id").select("d", "v", "id", "label", "cell", "wants")
-    # anchors of neighbouring cells form groups, and a group's anchors lie in pieces of at most about ANCHORS
-    group = F.col("cell")
-    pieces = asking.groupBy("d", "cell").agg(F.ceil(F.count("*") / ANCHORS).alias("pieces"))
-    asking = asking.join(pieces, ["d", "cell"]).withColumn("group", group.cast("long") * 65536 + F.pmod(F.xxhash64("id"), "pieces"))
+    asking = cut(kept.filter(F.pmod("vec_id", F.lit(EVERY)) == 0).join(wanted, "id").select("d", "v", "id", "label", "cell", "wants"))
+    # anchors of neighbouring cells (cells are numbered along the tree) form groups of about ANCHORS, a large group lies in pieces
+    groups = max(1, -(-asking.count() // ANCHORS))
+    cells = F.create_map(*[F.lit(x) for n, t in tiles.items() for x in (n, t.tree.cells)]) if tiles else F.create_map(F.lit(0), F.lit(1))
+    asking = asking.withColumn("group", F.floor(F.col("cell") * groups / F.element_at(cells, F.col("d"))))
+    pieces = asking.groupBy("d", "group").agg(F.ceil(F.count("*") / ANCHORS).alias("pieces"))
+    asking = asking.join(pieces, ["d", "group"]).withColumn("group", F.col("group") * 65536 + F.pmod(F.xxhash64("id"), "pieces"))
     asking = asking.select("d", "v", "id", "label", "wants", "group")
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
