@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gazetta.operators.sizes import dimension
-from gazetta.operators.strings import contained, longest_only
+from gazetta.operators.strings import longest_only, occurrences
 
 
 def interval_join(facts: DataFrame, spans: DataFrame, on: list[str], at: str, start: str = "start", end: str = "end", how: str = "left") -> DataFrame:
@@ -30,7 +30,7 @@ def unique_match(rows: DataFrame, keys: list[str], candidate: str) -> DataFrame:
 
 def containment(texts: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
     """(key, name) for every name that a text contains, without names inside a longer one that it contains too."""
-    return longest_only(contained(texts, key, text, names, name), key, name)
+    return longest_only(occurrences(texts, key, text, names, name), key, name)
 
 
 def last_rule(rules: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:

@@ -47,7 +47,7 @@ def q71_contained_names(spark, sf_dir):
     texts = table(spark, sf_dir, "orders").select(k, F.concat(signs(k), F.lit("县属"), signs(c), F.lit("县，并"), signs(c * 7 + 1), F.lit("市")).alias("txt"))
     n = F.col("c_custkey")
     names = table(spark, sf_dir, "customer").select(F.concat(signs(n), F.when(n % 2 == 0, "县").otherwise("市")).alias("name"))
-    return strings.longest_only(strings.contained(texts, "o_orderkey", "txt", names, "name"), "o_orderkey", "name")
+    return strings.longest_only(strings.occurrences(texts, "o_orderkey", "txt", names, "name"), "o_orderkey", "name")
 
 
 def made_counties(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,21 @@ def test_containment_of_names_without_blanks(spark):
     assert strings.contained(df, "k", "t", spark.createDataFrame([], "n string"), "n").count() == 0
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_names_of_any_length_are_found(spark, monkeypatch, few):
+    """Short names by equality, without pairs to verify; longer ones by runs; many ones behind a bitmap."""
+    if not few:
+        monkeypatch.setattr(strings, "BROADCAST_ROWS", 0)
+    rng = random.Random(9)
+    base = "".join(rng.choice("甲乙丙丁𠮷 a") for _ in range(400))
+    cut = lambda n: base[(i := rng.randrange(len(base) - n)) : i + n]
+    names = [cut(n) for n in (*range(1, 70), 120, 200)] + ["甲" * n for n in (15, 16, 17, 31, 40)]
+    texts = [(i, cut(rng.randint(1, 300)) + "甲" * rng.randint(0, 33) + cut(40)) for i in range(20)]
+    df, dn = spark.createDataFrame(texts, "k int, t string"), spark.createDataFrame([(n,) for n in names], "n string")
+    assert {tuple(r) for r in strings.contained(df, "k", "t", dn, "n").collect()} == {(k, n) for k, t in texts for n in names if n in t}
+    assert "Contains" not in plan(strings.contained(df, "k", "t", dn.filter("length(n) <= 16"), "n"))
+
+
 def test_nearest_equals_brute_force(spark):
     rng = random.Random(6)
     labels = [(f"L{i:03d}", rng.gauss(0, 1) * (0.01 if i % 3 else 50), rng.gauss(0, 1)) for i in range(60)]
