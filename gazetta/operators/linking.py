@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.operators import strings
 from gazetta.operators.sizes import dimension
 
 # Word of an abolition, risk flag, mark and form of stale ids, municipalities, number of provinces on a map.
@@ -68,13 +69,14 @@ def union_links(events: DataFrame, owners: DataFrame) -> DataFrame:
 def first_event(rules: DataFrame, events: DataFrame, rule: str, fragment: str, strict: bool = False) -> DataFrame:
     """rules with event_id: the first event (by event_id) of the rule's year whose description contains the fragment.
 
-    An equi-join on the year with the containment as residual. Rules without an event have a null event_id; with ``strict`` reading them is an error. An
+    Fragments and descriptions of a year meet by the string index. Rules without an event have a null event_id; with ``strict`` reading them is an error. An
     empty fragment finds nothing.
     """
-    test = (F.col("r.year") == F.col("e.year")) & (F.col(f"r.{fragment}") != "") & F.contains("e.description", F.col(f"r.{fragment}"))
     own = rules.select(rule, F.col("year").cast("int").alias("year"), fragment)
-    met = own.alias("r").join(events.select(F.col("year").cast("int").alias("year"), "event_id", "description").alias("e"), test)
-    found = met.groupBy(F.col(f"r.{rule}").alias(rule)).agg(F.min("e.event_id").alias("event_id"))
+    said = events.select(F.col("year").cast("int").alias("year"), "event_id", "description")
+    met = strings.occurrences(said, "event_id", "description", own, fragment, ["year"])
+    first = met.groupBy("year", fragment).agg(F.min("event_id").alias("event_id"))
+    found = own.join(first, ["year", fragment]).groupBy(rule).agg(F.min("event_id").alias("event_id"))
     out = rules.join(found, rule, "left")
     if strict:
         lost = F.raise_error(F.concat_ws(" ", F.lit("no event for"), F.col("year").cast("string"), F.col(fragment)))
