@@ -159,3 +159,28 @@ def test_geometry():
     assert len(geometry.simplify_ring(line, 0.01)) == 5
     lon, lat = geometry.unprojected([geometry.RADIUS, 0.0])
     assert abs(lon - 57.29577951) < 1e-6 and abs(lat) < 1e-9
+
+
+def test_first_event_meets_by_the_fragment(spark):
+    """Rules and events of one year don't all meet; years, null years, empty and repeated fragments count."""
+    from gazetta.operators import linking
+
+    events = [(2000, f"E{i:03d}", f"a#{i % 30}#") for i in range(90)] + [(2001, "E900", "a#5#"), (None, "E000", "a#5#")]
+    rules = [(i, 2000 + i % 2, f"#{i}#") for i in range(40)] + [(50, 2000, ""), (51, None, "#5#"), (52, 2000, "#5#"), (53, 2000, "a#6# and much more than that")]
+    e, r = spark.createDataFrame(events, "year int, event_id string, description string"), spark.createDataFrame(rules, "rule int, year int, fragment string")
+    out = linking.first_event(r, e, "rule", "fragment")
+    want = {(k, min((i for z, i, d in events if z == y and y and f and f in d), default=None)) for k, y, f in rules}
+    assert {(x.rule, x.event_id) for x in out.collect()} == want
+    short = linking.first_event(r.filter("length(fragment) < 9"), e, "rule", "fragment")
+    assert "Contains" not in short._jdf.queryExecution().toString()
+
+
+def test_reanchored_meets_by_the_name(spark):
+    from gazetta.operators import linking
+
+    e = spark.createDataFrame([(2000, f"E{i}", f"a#{i}#") for i in range(9)], "year int, event_id string, description string")
+    cases = [(i, 2000, "" if i % 3 == 0 else f"#{i + 5}#", f"#{i}#", "KEPT" if i == 1 else "WIKI-1999-001") for i in range(12)]
+    out = linking.reanchored(spark.createDataFrame(cases, "case_id int, year int, from_name string, to_name string, source_event_id string"), e)
+    got = {r.case_id: (r.source_event_id, r.anchor) for r in out.collect()}
+    assert got[0] == ("E0", "to_name") and got[1] == ("KEPT", "kept") and got[2] == ("E7", "from_name") and got[4] == ("E4", "to_name") and got[9] == ("WIKI-1999-001(STALE)", "stale")
+    assert "Contains" not in out._jdf.queryExecution().toString()
