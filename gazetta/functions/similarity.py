@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,3 +72,102 @@ def weighted_ratio_of(a: Column, b: Column) -> Column:
         return pd.Series([None if p is None or q is None else weighted_ratio(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
 
     return run(a, b)
+
+
+def code_points(strings: list[str]) -> np.ndarray:
+    """Code points of strings of one length, a column for each string."""
+    return np.array([np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32) for s in strings]).T
+
+
+def marks(points: np.ndarray) -> np.ndarray:
+    """64 bits for each string, one for each character with its number among its equals; different ones may share a bit."""
+    ordered, number, out = np.sort(points, axis=0), np.zeros(points.shape[1], np.uint64), np.zeros(points.shape[1], np.uint64)
+    for i, row in enumerate(ordered):
+        number = np.where(row == ordered[i - 1], number + np.uint64(1), np.uint64(0)) if i else number
+        out |= np.uint64(1) << ((row.astype(np.uint64) * np.uint64(11) + number * np.uint64(23)) & np.uint64(63))
+    return out
+
+
+def _lcs(bits: np.ndarray, start: int) -> np.ndarray:
+    """Common subsequence of the characters in the bits of ``start`` with each column: bits[j] has the places of the column's character j."""
+    row = np.full(bits.shape[1], start, bits.dtype)
+    for b in bits:
+        hit = row & b
+        row = (row + hit) | (row - hit)
+    return start.bit_count() - np.bitwise_count(row & bits.dtype.type(start)).astype(np.int64)
+
+
+def _weighted(bits: np.ndarray, n: int, cutoff: float) -> np.ndarray:
+    m, whole = len(bits), (1 << n) - 1
+    score = 200.0 * _lcs(bits, whole) / (n + m)
+    short, long = min(n, m), max(n, m)
+    if 2 * long < 3 * short:
+        return score
+    k, part = (0.9 if long <= 8 * short else 0.6), np.zeros(bits.shape[1])
+    for i in range(1 - short, long):
+        a, b = max(0, i), min(long, i + short)
+        if 200.0 * (b - a) / (short + b - a) * k < cutoff - 1e-6:
+            continue
+        window = ((1 << (b - a)) - 1) << a
+        common = _lcs(bits[a:b], whole) if n <= m else _lcs(bits & bits.dtype.type(window), window)
+        part = np.maximum(part, 200.0 * common / (short + b - a))
+    return np.maximum(score, part * k)
+
+
+def _distance(bits: np.ndarray, n: int) -> np.ndarray:
+    """Levenshtein distances, on bit vectors of vertical differences."""
+    kind = bits.dtype.type
+    up, down, top = np.full(bits.shape[1], (1 << n) - 1, bits.dtype), np.zeros(bits.shape[1], bits.dtype), kind(1 << (n - 1))
+    out = np.full(bits.shape[1], n, np.int64)
+    for b in bits:
+        x = b | down
+        same = ((up + (x & up)) ^ up) | x
+        right, left = down | ~(up | same), up & same
+        out += (right & top != 0).astype(np.int64) - (left & top != 0)
+        x = (right << kind(1)) | kind(1)
+        down, up = x & same, (left << kind(1)) | ~(x | same)
+    return out
+
+
+def block_scores(queries: list[str], choices: list[str], need: int, kind: str, cutoff: float, limit: int | None = None):
+    """(places of queries, places of choices, scores) of the pairs of two blocks, each of one length, whose score reaches the cutoff.
+
+    kind: weighted (ratio) or edit (Levenshtein similarity). Pairs that can't share ``need`` characters are left out by their marks. With a limit each query
+    keeps so many: the best, the first ones of equal scores.
+    """
+    n, m = len(queries[0]), len(choices[0])
+    asked, points = code_points(queries), code_points(choices)
+    symbols, flat = np.unique(points, return_inverse=True)
+    columns, own, kept = flat.reshape(points.shape).astype(np.int32), marks(asked), marks(points)
+    dtype = np.dtype(np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64)
+    rows, places, scores = [], [], []
+    for q, name in enumerate(queries):
+        lost, other = np.bitwise_count(own[q] & ~kept), np.bitwise_count(kept & ~own[q])
+        at = np.flatnonzero((n - lost.astype(np.int32) >= need) & (m - other.astype(np.int32) >= need))
+        if not len(at):
+            continue
+        if n > 64:
+            one = weighted_ratio if kind == "weighted" else lambda a, b: 1.0 - _plain_distance(a, b) / max(len(a), len(b))
+            score = np.array([one(name, choices[c]) for c in at])
+        else:
+            table = np.zeros(len(symbols), dtype)
+            for i, s in enumerate(np.searchsorted(symbols, asked[:, q])):
+                if s < len(symbols) and symbols[s] == asked[i, q]:
+                    table[s] |= dtype.type(1 << i)
+            bits = table[columns[:, at]]
+            score = _weighted(bits, n, cutoff) if kind == "weighted" else 1.0 - _distance(bits, n) / max(n, m)
+        good = np.flatnonzero(score >= cutoff)
+        good = good if limit is None or len(good) <= limit else np.sort(good[np.argsort(-score[good], kind="stable")[:limit]])
+        rows.append(np.full(len(good), q)), places.append(at[good]), scores.append(score[good])
+    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    return join(rows, np.int64), join(places, np.int64), join(scores, np.float64)
+
+
+def _plain_distance(a: str, b: str) -> int:
+    """Levenshtein distance of any two strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]

@@ -3,7 +3,9 @@
 Exact containment joins short names with the texts' runs of their lengths, long ones by runs of them. Approximate search
 orders the characters of a string, each with its number among its equals, from rare to common in
 the index; two strings that share k of their characters share one among the first n - k + 1 of
-each, so only rare characters are ever joined with the index at large.
+each, so only rare characters are ever joined with the index at large. Where the alphabet is so
+small that this would meet most pairs many times over, blocks of strings of equal lengths meet
+instead, and their pairs are compared in vectors.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +27,10 @@ WHOLE = 16  # names up to this length are looked up whole
 RUNS = [(8, WHOLE + 1, 30), (16, 31, None)]
 MARK_BITS, MOST_BITS = 16, 1 << 27  # bits of the bitmap for each mark, bits at most
 
+BLOCK = 2048  # strings of a block
+ROW_COST = 100  # comparisons in vectors that one joined row costs
+PER_TASK, TASKS = 16, 96  # pairs of blocks in a task, tasks that fewer pairs are dealt to
+
 Need = Callable[[Column, Column], Column]
 
 
@@ -139,12 +146,59 @@ class NameIndex:
         return met.filter(shared >= F.col("_need")).select(self.query, self.choice)
 
 
-def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 75.0) -> DataFrame:
+    def dense(self, first_of_query: Column, first_of_choice: Column) -> bool:
+        """Would looking up these characters join more rows than all pairs are worth?"""
+        spread = lambda df, first, n: df.filter(F.col("place") < first).groupBy("token").agg(F.count("*").alias(n))
+        met = spread(self.asked, first_of_query, "_q").join(spread(self.kept, first_of_choice, "_c"), "token").agg(F.sum(F.col("_q").cast("double") * F.col("_c"))).first()[0]
+        return (met or 0.0) * ROW_COST > self.asked.filter("place = 0").count() * self.kept.filter("place = 0").count()
+
+
+def _blocks(strings: DataFrame, names: list[str]) -> DataFrame:
+    """n, id and strings (array, in order of ``at``) of blocks of strings of one length. strings: s, at."""
+    own = strings.withColumn("n", F.length("s"))
+    sizes = own.groupBy("n").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
+    each = own.join(F.broadcast(sizes), "n").groupBy("n", F.pmod(F.xxhash64("s"), F.col("_blocks")).alias("_part"))
+    out = each.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "s"))), lambda x: x["s"]).alias("strings"))
+    return out.select(F.col("n").alias(names[0]), F.concat_ws(":", "n", "_part").alias(names[1]), F.col("strings").alias(names[2]))
+
+
+def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, need: Need, kind: str, cutoff: float, limit: int | None = None, order: Column | None = None) -> DataFrame:
+    """(query, choice, score) of all pairs that reach the cutoff, from blocks of strings whose lengths allow it.
+
+    need: characters that strings of two lengths share at least, null for lengths that can't reach the cutoff. With a limit, pairs that are not among
+    the first so many of a query by score and order may be missing.
+    """
+    shared_folder(queries.sparkSession)
+    real = F.length("s") > 0
+    asked = _blocks(queries.select(F.col(query).alias("s")).filter(real).distinct().withColumn("at", F.lit(0)), ["qn", "qb", "q"]).checkpoint()
+    rows = choices.select(F.col(choice).alias("s"), (F.lit(0) if order is None else order).alias("at")).filter(real)
+    kept = _blocks(rows.groupBy("s").agg(F.min("at").alias("at")), ["cn", "cb", "c"]).checkpoint()
+    lengths = asked.select("qn").distinct().withColumn("_", F.lit(1)).join(kept.select("cn", "cb").withColumn("_", F.lit(1)), "_")
+    met = lengths.withColumn("need", need(F.col("qn"), F.col("cn")).cast("int")).filter("need is not null").select("qn", "cb", "need")
+    # the strings join the pairs of blocks last
+    met = asked.select("qn", "qb").join(met, "qn").select("qb", "cb", "need").checkpoint()
+    full = met.join(asked.select("qb", "q"), "qb").join(kept.select("cb", "c"), "cb").select("q", "c", "need")
+    count = met.count()
+    full = full.repartition(max(1, min(count, max(TASKS, count // PER_TASK))))
+
+    def run(batches):
+        for batch in batches:
+            for q, c, least in zip(batch["q"], batch["c"], batch["need"], strict=True):
+                i, j, score = sim.block_scores(q.as_py(), c.as_py(), least.as_py(), kind, cutoff, limit)
+                for at in range(0, len(i), 100_000):
+                    some = slice(at, at + 100_000)
+                    yield pa.record_batch([q.values.take(pa.array(i[some])), c.values.take(pa.array(j[some])), pa.array(score[some])], names=[query, choice, "score"])
+
+    return full.mapInArrow(run, f"`{query}` string, `{choice}` string, score double")
+
+
+def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 75.0, limit: int | None = None, order: Column | None = None) -> DataFrame:
     """(query, choice, score) of all pairs whose weighted ratio reaches the cutoff; 60 is the least cutoff.
 
     A full ratio of r needs r / 200 of both lengths in common characters. The partial ratio counts from lengths of 1.5
     to 1 on, scaled by 0.9, and never reaches the cutoff beyond 8 to 1; a window that is cut off at an end of the longer string
-    has r of it when l common characters stand against n + l, so l >= n * r / (200 - r).
+    has r of it when l common characters stand against n + l, so l >= n * r / (200 - r). With a limit only the first so many of each query by score,
+    ``order`` (of choices) and choice are needed; others may be missing.
     """
     if cutoff <= 60:
         raise ValueError("a partial ratio scaled by 0.6 could reach the cutoff; give one above 60")
@@ -157,6 +211,8 @@ def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     n = F.col("n")
     of_alike = n - up(n * full / (1 - full)) + 1
     of_short = n - up(n * share) + 1
+    if index.dense(of_alike, of_alike):
+        return block_pairs(queries, query, choices, choice, lambda a, b: F.least(alike(a, b), within(a, b)), "weighted", cutoff, limit, order)
     shorter = lambda a, b: F.when(a <= b, within(a, b))
     found = index.sharing(alike, of_alike, of_alike)
     found = found.union(index.sharing(lambda q, c: shorter(q, c), of_short, None)).union(index.sharing(lambda q, c: shorter(c, q), None, of_short))
@@ -172,6 +228,8 @@ def edit_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     need = lambda n, m: F.when(F.least(n, m) >= F.greatest(n, m) * cutoff - 1e-9, F.ceil(F.greatest(n, m) * cutoff - 1e-9))
     n = F.col("n")
     first = n - F.ceil(n * cutoff - 1e-9) + 1
+    if index.dense(first, first):
+        return block_pairs(queries, query, choices, choice, need, "edit", cutoff)
     return index.sharing(need, first, first).withColumn("score", sim.levenshtein_similarity(F.col(query), F.col(choice))).filter(F.col("score") >= cutoff)
 
 

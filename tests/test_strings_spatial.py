@@ -36,6 +36,25 @@ def test_ratio_and_edit_pairs_equal_brute_force(spark, alphabet, longest):
     assert "NestedLoop" not in plan(edits) and "Cartesian" not in plan(edits)
 
 
+def test_small_alphabets_are_compared_in_blocks(spark, monkeypatch):
+    """Names of few characters meet in blocks, with the same pairs and scores as through the characters; of equal scores a limit keeps the first in order."""
+    rng = random.Random(11)
+    names = [*made_names(rng, 120, "0123", 12), "0123" * 20, "0" * 70, "9", None, ""]
+    asked = [*made_names(rng, 80, "0123", 9), "1" + "0123" * 20, "𠮷01", "9", None, ""]
+    q, c = (spark.createDataFrame([(x,) for x in rows], f"{name} string") for rows, name in ((asked, "q"), (names, "c")))
+    monkeypatch.setattr(strings, "BLOCK", 7)
+    monkeypatch.setattr(strings, "TASKS", 8)
+    ratio, edit = strings.ratio_pairs(q, "q", c, "c"), strings.edit_pairs(q, "q", c, "c")
+    assert "MapInArrow" in plan(ratio) and "MapInArrow" in plan(edit)
+    first = strings.best(strings.ratio_pairs(q, "q", c, "c", 75.0, 2, F.col("c")), "q", 2, F.col("c"))
+    got = [{(r.q, r.c, r.score) for r in df.collect()} for df in (ratio, edit, first)]
+    monkeypatch.setattr(strings, "ROW_COST", 0)
+    ratio, edit = strings.ratio_pairs(q, "q", c, "c"), strings.edit_pairs(q, "q", c, "c")
+    assert "MapInArrow" not in plan(ratio) and "MapInArrow" not in plan(edit)
+    want = [{(r.q, r.c, r.score) for r in df.collect()} for df in (ratio, edit, strings.best(ratio, "q", 2, F.col("c")))]
+    assert got == want and all(want)
+
+
 def test_low_cutoff_is_refused(spark):
     one = spark.createDataFrame([("a",)], "s string")
     with pytest.raises(ValueError):
