@@ -208,7 +208,7 @@ def fuzzy_candidates(names: DataFrame, t: MatchTables) -> DataFrame:
     # the first entry tells a name's place in the index
     order = F.get("matches", 0)
     choices = index.select(F.col("norm").alias("choice"), F.struct(order["layer"].alias("layer"), order["seq"].alias("seq")).alias("at"))
-    pairs = strings.ratio_pairs(names, "norm", choices, "choice", CUTOFF).join(choices, "choice")
+    pairs = strings.ratio_pairs(names, "norm", choices, "choice", CUTOFF, CHOICES, F.col("at")).join(choices, "choice")
     hits = strings.best(pairs, "norm", CHOICES, F.col("at"), F.col("choice")).select("norm", "choice", "at", "score")
     index = index.select(F.col("norm").alias("choice"), F.posexplode("matches").alias("place", "m"))
     hits = hits.join(index, "choice")
