@@ -60,8 +60,9 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     temporal_confidence, source_ids, seq.
 
     Per cell the latest effective event that fixes a state decides; without one, the
-    earliest later rename gives the name before it. Grid and timeline meet in one
-    equi-join on the entity and an aggregate by (entity, year).
+    earliest later rename gives the name before it. Only the last and the first of the events of a
+    year can count, so the timeline of an entity has at most one entry for each year; the grid picks
+    from it and is neither joined nor grouped.
     """
     timed = events.join(timing.select("event_id", F.col("annual_effective_year").alias("eff"), F.col("temporal_confidence").alias("tc"), F.col("source_ids").alias("src")), "event_id")
     timed = timed.withColumn("at", F.struct("eff", "event_id"))
@@ -72,21 +73,28 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     own = lambda c, f: F.when(F.col("historical"), F.col(c)).otherwise(f)
     units = units.withColumn("first", F.coalesce("o.first_active_year", own("start_year", F.col("born")), F.lit(FIRST_YEAR)).cast("int"))
     units = units.withColumn("last", F.coalesce("o.last_active_year", own("end_year", F.lit(None)), F.lit(LAST_YEAR)).cast("int"))
-    cells = temporal.grid(units.select("entity_id", "canonical_name", "historical", "first", "last", "source_ids", "o"), FIRST_YEAR, LAST_YEAR, "year")
+    spans = names.groupBy("entity_id").agg(F.collect_list(F.struct("start_year", "end_year", F.struct("seq", "legal_name", "status", "temporal_confidence", "source_ids").alias("n"))).alias("spans"))
+    units = units.join(dimension(spans), "entity_id", "left")
+    keys = ["entity_id", "canonical_name", "historical", "first", "last", "source_ids"]
     t = timed.select("entity_id", F.struct("at", "eff", "event_type", "automatic", "old_name", "new_name", "tc", "src").alias("e"))
-    met = cells.join(dimension(t), "entity_id", "left")
     old, new = F.coalesce("e.old_name", F.lit("")), F.coalesce("e.new_name", F.lit(""))
-    past = F.col("e.eff") <= F.col("year")
-    renamed = F.col("e.automatic") & past & (new != "")
-    ended = F.col("e.event_type").isin(*ENDING) & past & (F.col("historical") | (old == F.col("canonical_name")))
-    pending = F.col("e.automatic") & (F.col("e.eff") > F.col("year")) & (old != "")
-    keys = ["entity_id", "year", "canonical_name", "historical", "first", "last", "source_ids"]
+    known = F.col("e.eff").isNotNull()
+    renamed = F.col("e.automatic") & known & (new != "")
+    ended = F.col("e.event_type").isin(*ENDING) & known & (F.col("historical") | (old == F.col("canonical_name")))
+    pending = F.col("e.automatic") & known & (old != "")
     state = F.struct(ended.alias("ended"), new.alias("name"), F.col("e.tc").alias("tc"), F.col("e.src").alias("src"))
-    decided = met.groupBy(*keys).agg(
-        F.first("o").alias("o"),
+    eff = F.col("e.eff").cast("int")
+    turn = F.when(eff.isNotNull(), F.least(F.greatest(eff, F.lit(FIRST_YEAR)), F.lit(LAST_YEAR + 1)))
+    yearly = units.join(dimension(t), "entity_id", "left").groupBy(*keys, turn.alias("turn")).agg(
+        F.first("o").alias("o"), F.first("spans").alias("spans"),
         F.max_by(state, F.when(F.coalesce(renamed | ended, F.lit(False)), F.col("e.at"))).alias("stop"),
         F.min_by(old, F.when(F.coalesce(pending, F.lit(False)), F.col("e.at"))).alias("before"),
-    )
+    )
+    timeline = yearly.groupBy(*keys).agg(F.first("o").alias("o"), F.first("spans").alias("spans"), F.array_sort(F.collect_list(F.struct("turn", "stop", "before"))).alias("turns"))
+    cells = temporal.grid(timeline, FIRST_YEAR, LAST_YEAR, "year")
+    so_far = F.filter("turns", lambda y: (y["turn"] <= F.col("year")) & y["stop"].isNotNull())
+    later = F.filter("turns", lambda y: (y["turn"] > F.col("year")) & y["before"].isNotNull())
+    decided = cells.withColumn("stop", F.try_element_at(so_far, F.lit(-1))["stop"]).withColumn("before", F.try_element_at(later, F.lit(1))["before"])
     alive = F.col("year").between(F.col("first"), F.col("last"))
     over = F.coalesce("stop.ended", F.lit(False))
     status = (
@@ -105,12 +113,10 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     out = decided.select(
         "entity_id", "year", alive.alias("alive"), name.alias("name"), status.alias("status"), basis.alias("derivation_basis"),
         F.coalesce("o.temporal_confidence", event("tc"), F.lit("medium")).alias("temporal_confidence"),
-        T.merge_ids(F.coalesce("source_ids", F.lit("")), F.coalesce(event("src"), F.lit("")), F.coalesce("o.source_ids", F.lit(""))).alias("source_ids"),
+        T.merge_ids(F.coalesce("source_ids", F.lit("")), F.coalesce(event("src"), F.lit("")), F.coalesce("o.source_ids", F.lit(""))).alias("source_ids"), "spans",
     )
-    n = names.select("entity_id", "start_year", "end_year", F.struct("seq", "legal_name", "status", "temporal_confidence", "source_ids").alias("n"))
-    covered = out.filter("alive").select("entity_id", "year").join(dimension(n), "entity_id").filter(F.col("year").between(F.col("start_year"), F.col("end_year")))
-    first = covered.groupBy("entity_id", "year").agg(F.min("n").alias("n"))
-    out = out.join(first, ["entity_id", "year"], "left")
+    covering = F.filter("spans", lambda s: F.col("year").between(s["start_year"], s["end_year"]))
+    out = out.withColumn("n", F.when(F.col("alive"), F.array_min(F.transform(covering, lambda s: s["n"]))))
     has = F.col("n").isNotNull()
     final = out.select(
         "entity_id", "year", F.coalesce("n.legal_name", "name").alias("name"), F.coalesce("n.status", "status").alias("status"),

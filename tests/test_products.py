@@ -204,3 +204,10 @@ def test_windowed_counts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("counts").select(F.sum("count")).first()[0] == 2
+
+
+def test_the_grid_of_years_is_neither_joined_nor_grouped(spark):
+    """Cells of a roster come last, from one timeline for each entity."""
+    lines = roster(spark)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    kinds = [line.lstrip(" :+-").split(" ")[0] for line in lines]
+    assert kinds.index("Generate") < kinds.index("Aggregate") and kinds.index("Generate") < kinds.index("Join")
