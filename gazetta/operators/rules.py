@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gazetta.operators.sizes import dimension
 
+PART_ROWS = 100_000  # rows of events in a part
 OPERATORS = {"=": "=", "<=": "<=", ">=": ">=", "<>": "<>"}
 
 
@@ -114,10 +115,15 @@ def lineage_tables(events: DataFrame, relations: DataFrame, entities: DataFrame,
     known = dimension(entities.select("entity_id", "historical", F.col("province").alias("home"), "born", "gone").dropDuplicates(["entity_id"]).withColumn("known", F.lit(True)))
     order = W.partitionBy("entity_id").orderBy(*(["seq"] if "seq" in events.columns else ["year", "event_id"]))
     lag = lambda c: F.lag(c).over(order)
-    chained = events.withColumns({"before": lag("new_name"), "before_id": lag("event_id"), "before_automatic": lag("automatic"), "last_year": lag("year")})
-    rows = chained.join(known, "entity_id", "left").join(timing.select("event_id", F.col("annual_effective_year").alias("effective_year")), "event_id", "left")
-    names = roster.select("entity_id", F.col("year").alias("effective_year"), F.col("name").alias("roster_name"))
-    rows = rows.join(names, ["entity_id", "effective_year"], "left").withColumns({"known": F.coalesce("known", F.lit(False)), "historical": F.coalesce("historical", F.lit(False))})
+    # parts by number of rows; years and names come as lists by event and entity, so that the wide rows are dealt out twice only
+    parts = max(1, -(-events.count() // PART_ROWS))
+    years = timing.groupBy("event_id").agg(F.collect_list(F.struct(F.col("annual_effective_year").alias("effective_year"))).alias("_years"))
+    names = roster.groupBy("entity_id").agg(F.collect_list(F.struct("year", F.col("name").alias("roster_name"))).alias("_names"))
+    timed = events.repartition(parts, "event_id").join(years, "event_id", "left").repartition(parts, "entity_id")
+    chained = timed.withColumns({"before": lag("new_name"), "before_id": lag("event_id"), "before_automatic": lag("automatic"), "last_year": lag("year")})
+    rows = chained.join(known, "entity_id", "left").join(names, "entity_id", "left").select("*", F.explode_outer("_years").alias("_year")).withColumn("effective_year", F.col("_year.effective_year"))
+    rows = rows.select("*", F.explode_outer(F.filter("_names", lambda x: x["year"] == F.col("effective_year"))).alias("_name")).withColumn("roster_name", F.col("_name.roster_name"))
+    rows = rows.withColumns({"known": F.coalesce("known", F.lit(False)), "historical": F.coalesce("historical", F.lit(False))}).drop("_years", "_year", "_names", "_name")
     signature = F.count_distinct(F.struct("year", "event_type", "old_name", "new_name"))
     ids = events.agg(F.count("*").alias("events"), (F.count("*") - F.count_distinct("event_id")).alias("duplicates"), signature.alias("signatures"))
     there = entities.select("entity_id").distinct()

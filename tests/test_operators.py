@@ -184,3 +184,20 @@ def test_reanchored_meets_by_the_name(spark):
     got = {r.case_id: (r.source_event_id, r.anchor) for r in out.collect()}
     assert got[0] == ("E0", "to_name") and got[1] == ("KEPT", "kept") and got[2] == ("E7", "from_name") and got[4] == ("E4", "to_name") and got[9] == ("WIKI-1999-001(STALE)", "stale")
     assert "Contains" not in out._jdf.queryExecution().toString()
+
+
+def test_audited_events_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Parts grow with the events; several names or years of an event stay rows of their own."""
+    from gazetta.operators import rules
+
+    monkeypatch.setattr(rules, "PART_ROWS", 2)
+    make = spark.createDataFrame
+    e = make([(f"P{i}", f"E{i % 2}", 2000, "rename", True, "a", "b", "x", "") for i in range(5)], "event_id string, entity_id string, year int, event_type string, automatic boolean, old_name string, new_name string, province string, risk_flags string")
+    entities = make([("E0", False, "x", 1990, 2010)], "entity_id string, historical boolean, province string, born int, gone int")
+    roster = make([("E0", 2001, "n"), ("E0", 2001, "m"), ("E1", 2000, "k")], "entity_id string, year int, name string")
+    timing = make([("P0", 2001), ("P1", 2000), ("P1", 1999), ("P2", None)], "event_id string, annual_effective_year int")
+    none = make([], "event_id string, case_id string, from_entity_id string, to_entity_id string, relation_type string, automatic_mapping boolean, county_unit_count int")
+    rows = rules.lineage_tables(e, none, entities, roster, timing, none, none)["events"]
+    got = sorted((r.event_id, r.effective_year or 0, r.roster_name or "", r.known) for r in rows.collect())
+    assert got == [("P0", 2001, "m", True), ("P0", 2001, "n", True), ("P1", 1999, "", False), ("P1", 2000, "k", False), ("P2", 0, "", True), ("P3", 0, "", False), ("P4", 0, "", True)]
+    assert ", 3)" in rows._jdf.queryExecution().optimizedPlan().toString() or rows.rdd.getNumPartitions() == 3
