@@ -118,49 +118,96 @@ def _distance(bits: np.ndarray, n: int) -> np.ndarray:
     """Levenshtein distances, on bit vectors of vertical differences."""
     kind = bits.dtype.type
     up, down, top = np.full(bits.shape[1], (1 << n) - 1, bits.dtype), np.zeros(bits.shape[1], bits.dtype), kind(1 << (n - 1))
-    out = np.full(bits.shape[1], n, np.int64)
+    out = np.full(bits.shape[1], n, np.int32)
     for b in bits:
         x = b | down
         same = ((up + (x & up)) ^ up) | x
         right, left = down | ~(up | same), up & same
-        out += (right & top != 0).astype(np.int64) - (left & top != 0)
+        out += right & top != 0
+        out -= left & top != 0
         x = (right << kind(1)) | kind(1)
         down, up = x & same, (left << kind(1)) | ~(x | same)
     return out
 
 
-def block_scores(queries: list[str], choices: list[str], need: int, kind: str, cutoff: float, limit: int | None = None):
-    """(places of queries, places of choices, scores) of the pairs of two blocks, each of one length, whose score reaches the cutoff.
-
-    kind: weighted (ratio) or edit (Levenshtein similarity). Pairs that can't share ``need`` characters are left out by their marks. With a limit each query
-    keeps so many: the best, the first ones of equal scores.
-    """
+def _scores(queries: list[str], choices: list[str], need: int, kind: str, cutoff: float):
+    """(place of the query, places of choices, scores) for each query of a block, as ``block_scores`` counts them."""
     n, m = len(queries[0]), len(choices[0])
     asked, points = code_points(queries), code_points(choices)
     symbols, flat = np.unique(points, return_inverse=True)
     columns, own, kept = flat.reshape(points.shape).astype(np.int32), marks(asked), marks(points)
-    dtype = np.dtype(np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64)
-    rows, places, scores = [], [], []
+    # a beginning that all strings have in common costs no edits
+    same = int((points == points[:, :1]).all(axis=1).cumprod().sum()) if kind == "edit" else 0
     for q, name in enumerate(queries):
         lost, other = np.bitwise_count(own[q] & ~kept), np.bitwise_count(kept & ~own[q])
         at = np.flatnonzero((n - lost.astype(np.int32) >= need) & (m - other.astype(np.int32) >= need))
         if not len(at):
             continue
-        if n > 64:
+        cut = min(same, n - 1, m - 1)
+        cut = int((asked[:cut, q] == points[:cut, 0]).cumprod().sum())
+        if n - cut > 64:
             one = weighted_ratio if kind == "weighted" else lambda a, b: 1.0 - _plain_distance(a, b) / max(len(a), len(b))
             score = np.array([one(name, choices[c]) for c in at])
         else:
+            dtype = np.dtype(np.uint16 if n - cut <= 16 else np.uint32 if n - cut <= 32 else np.uint64)
             table = np.zeros(len(symbols), dtype)
-            for i, s in enumerate(np.searchsorted(symbols, asked[:, q])):
-                if s < len(symbols) and symbols[s] == asked[i, q]:
+            for i, s in enumerate(np.searchsorted(symbols, asked[cut:, q])):
+                if s < len(symbols) and symbols[s] == asked[cut + i, q]:
                     table[s] |= dtype.type(1 << i)
-            bits = table[columns[:, at]]
-            score = _weighted(bits, n, cutoff) if kind == "weighted" else 1.0 - _distance(bits, n) / max(n, m)
+            bits = table[columns[cut:] if len(at) == len(choices) else columns[cut:, at]]
+            score = _weighted(bits, n, cutoff) if kind == "weighted" else 1.0 - _distance(bits, n - cut).astype(np.float64) / max(n, m)
         good = np.flatnonzero(score >= cutoff)
-        good = good if limit is None or len(good) <= limit else np.sort(good[np.argsort(-score[good], kind="stable")[:limit]])
-        rows.append(np.full(len(good), q)), places.append(at[good]), scores.append(score[good])
-    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-    return join(rows, np.int64), join(places, np.int64), join(scores, np.float64)
+        yield q, at[good], score[good]
+
+
+def _joined(x: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(x) if x else np.zeros(0, kind)
+
+
+def block_scores(queries: list[str], choices: list[str], need: int, kind: str, cutoff: float, limit: int | None = None):
+    """(places of queries, places of choices, scores) of the pairs of two blocks, each of one length, whose score reaches the cutoff.
+
+    kind: weighted (ratio) or edit (Levenshtein similarity). Pairs that can't share ``need`` characters are left out by their marks. With a limit each query
+    keeps so many: the best, the first ones of equal scores.
+    """
+    rows, places, scores = [], [], []
+    for q, at, score in _scores(queries, choices, need, kind, cutoff):
+        good = slice(None) if limit is None or len(at) <= limit else np.sort(np.argsort(-score, kind="stable")[:limit])
+        rows.append(np.full(len(at[good]), q)), places.append(at[good]), scores.append(score[good])
+    return _joined(rows, np.int64), _joined(places, np.int64), _joined(scores, np.float64)
+
+
+def block_owners(asked: list[tuple[str, str]], items: list[tuple[str, str, str]], need: int, cutoff: float, limit: int):
+    """(places of asked, places of items, thousandths) of the first ``limit`` owners of each query by Levenshtein similarity in thousandths, then in order.
+
+    asked: query and home, a province or empty for all · items: choice, owner and province, in order of the owners; of an owner's equal items the last counts.
+    """
+    names, queries = {}, {}
+    of_item = np.array([names.setdefault(c, len(names)) for c, _, _ in items])
+    of_asked: dict[int, list[int]] = {}
+    for i, (q, _) in enumerate(asked):
+        of_asked.setdefault(queries.setdefault(q, len(queries)), []).append(i)
+    numbers: dict[str, int] = {}
+    owner = np.array([numbers.setdefault(o, len(numbers)) for _, o, _ in items])
+    of_home: dict[str, np.ndarray] = {}
+    for home in {h for _, h in asked if h}:
+        of_home[home] = np.array([p == home for _, _, p in items])
+    rows, places, scores = [], [], []
+    for q, at, score in _scores(list(queries), list(names), need, "edit", cutoff):
+        value = np.full(len(names), -1, np.int64)
+        value[at] = np.floor(score * 1000 + 0.5).astype(np.int64)
+        every = value[of_item]
+        for i in of_asked[q]:
+            home = asked[i][1]
+            good = np.flatnonzero(every >= 0) if not home else np.flatnonzero((every >= 0) & of_home[home])
+            chosen: dict[int, int] = {}
+            for x in good[np.lexsort((-good, owner[good], -every[good]))]:
+                chosen.setdefault(int(owner[x]), int(x))
+                if len(chosen) == limit:
+                    break
+            took = np.array(list(chosen.values()), np.int64)
+            rows.append(np.full(len(took), i)), places.append(took), scores.append(every[took])
+    return _joined(rows, np.int64), _joined(places, np.int64), _joined(scores, np.int64)
 
 
 def _plain_distance(a: str, b: str) -> int:

@@ -278,16 +278,34 @@ def name_candidates(asked: DataFrame, names: DataFrame, limit: int = 3) -> DataF
     source; of an entity's equal scores one of source "county" wins. Pairs come from the string indexes: no query meets all names.
     asked: ask, norm, home (a province, or empty for all) · names: choice, name, entity_id, source, province.
     """
-    queries = asked.select(F.col("norm").alias("query")).filter("query <> ''").distinct()
-    partial = strings.partial_pairs(queries, "query", names, "choice").select("query", "choice", F.lit(True).alias("partial"), "score")
-    fuzzy = strings.edit_pairs(queries, "query", names, "choice").select("query", "choice", F.lit(False).alias("partial"), "score")
-    scored = partial.union(fuzzy).groupBy("query", "choice").agg(F.max("score").alias("score"), F.max("partial").alias("partial"))
-    met = asked.withColumnRenamed("norm", "query").join(scored, "query").join(names, "choice").filter((F.col("home") == "") | (F.col("home") == F.col("province")))
-    met = met.withColumn("s", F.floor(F.col("score") * 1000 + 0.5))
-    best = met.groupBy("ask", "entity_id").agg(F.max(F.struct("s", (F.col("source") == "county").alias("county"), "partial", "name", "source")).alias("b"))
-    best = best.withColumn("any", F.max("b.partial").over(W.partitionBy("ask"))).withColumn("rank", F.row_number().over(W.partitionBy("ask").orderBy(F.desc("b.s"), "entity_id")))
+    shared_folder(asked.sparkSession)
+    asked = asked.select("ask", F.col("norm").alias("query"), "home").filter("query <> '' and home is not null").checkpoint()
+    keys, queries = asked.select("query", "home").distinct(), asked.select("query").distinct()
+    shown = F.struct((F.col("source") == "county").alias("county"), "name", "source")
+    items = names.groupBy("choice", "entity_id", "province").agg(F.max(shown).alias("shown")).checkpoint()
+    here = (F.col("home") == "") | (F.col("home") == F.col("province"))
+    partial = strings.partial_pairs(queries, "query", items, "choice").select("query", "choice", F.lit(True).alias("partial"), "score").checkpoint()
+    index = strings.EditIndex(queries, "query", items, "choice")
+    if index.in_blocks:
+        # only with a partial candidate do more fuzzy ones count than the best
+        owned = items.select("choice", "province").distinct()
+        every = keys.join(partial, "query").join(owned, "choice").filter(here).select("query", "home").distinct().checkpoint()
+        few = keys.join(every, ["query", "home"], "left_anti")
+        fuzzy = strings.block_pairs(every.select("query"), "query", items, "choice", index.need, "edit", index.cutoff)
+    else:
+        every, few, fuzzy = keys, None, index.pairs()
+    scored = partial.union(fuzzy.select("query", "choice", F.lit(False).alias("partial"), "score")).groupBy("query", "choice").agg(F.max("score").alias("score"), F.max("partial").alias("partial"))
+    met = every.join(scored, "query").join(items, "choice").filter(here).select("query", "home", "entity_id", "shown", F.floor(F.col("score") * 1000 + 0.5).alias("s"), "partial")
+    if few is not None:
+        first = strings.block_owners(few, "query", "home", items, "choice", ["entity_id", "province", "shown"], index.need, index.cutoff, limit)
+        met = met.union(first.select("query", "home", "entity_id", "shown", "s", F.lit(False).alias("partial")))
+    of_pair = F.struct("s", F.col("shown.county").alias("county"), "partial", F.col("shown.name").alias("name"), F.col("shown.source").alias("source"))
+    best = met.groupBy("query", "home", "entity_id").agg(F.max(of_pair).alias("b"))
+    of_key = W.partitionBy("query", "home")
+    best = best.withColumn("any", F.max("b.partial").over(of_key)).withColumn("rank", F.row_number().over(of_key.orderBy(F.desc("b.s"), "entity_id")))
     method = F.when(F.col("any"), "partial_candidate").otherwise("fuzzy_candidate")
-    return best.filter(F.col("any") | (F.col("rank") <= limit)).select("ask", "rank", "entity_id", F.col("b.name").alias("matched_name"), (F.col("b.s") / 10).alias("score"), F.col("b.source").alias("source"), method.alias("method"))
+    found = asked.join(best.filter(F.col("any") | (F.col("rank") <= limit)), ["query", "home"])
+    return found.select("ask", "rank", "entity_id", F.col("b.name").alias("matched_name"), (F.col("b.s") / 10).alias("score"), F.col("b.source").alias("source"), method.alias("method"))
 
 
 def search_names(queries: DataFrame, index: DataFrame, limit: int = 3) -> DataFrame:

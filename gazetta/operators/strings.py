@@ -153,15 +153,27 @@ class NameIndex:
         return (met or 0.0) * ROW_COST > self.asked.filter("place = 0").count() * self.kept.filter("place = 0").count()
 
 
-def _blocks(strings: DataFrame, names: list[str]) -> DataFrame:
-    """n, id and strings (array, in order of ``at``) of blocks of strings of one length. strings: s, at."""
+def _blocks(strings: DataFrame, names: list[str], whole: bool = False) -> DataFrame:
+    """n, id and strings (array, in order of ``at``) of blocks of strings of one length; the whole rows (at, s) if asked for. strings: s, at."""
     own = strings.withColumn("n", F.length("s"))
     sizes = own.groupBy("n").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
     each = own.join(F.broadcast(sizes), "n").groupBy("n", F.pmod(F.xxhash64("s"), F.col("_blocks")).alias("_part"))
-    out = each.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "s"))), lambda x: x["s"]).alias("strings"))
+    rows = F.array_sort(F.collect_list(F.struct("at", "s")))
+    out = each.agg((rows if whole else F.transform(rows, lambda x: x["s"])).alias("strings"))
     return out.select(F.col("n").alias(names[0]), F.concat_ws(":", "n", "_part").alias(names[1]), F.col("strings").alias(names[2]))
 
 
+def _met(asked: DataFrame, kept: DataFrame, need: Need) -> DataFrame:
+    """q, c, need of the pairs of blocks whose lengths allow it, spread over tasks. asked: qn, qb, q · kept: cn, cb, c."""
+    lengths = asked.select("qn").distinct().withColumn("_", F.lit(1)).join(kept.select("cn", "cb").withColumn("_", F.lit(1)), "_")
+    met = lengths.withColumn("need", need(F.col("qn"), F.col("cn")).cast("int")).filter("need is not null").select("qn", "cb", "need")
+    # the strings join the pairs of blocks last
+    met = asked.select("qn", "qb").join(met, "qn").select("qb", "cb", "need").checkpoint()
+    full = met.join(asked.select("qb", "q"), "qb").join(kept.select("cb", "c"), "cb").select("q", "c", "need")
+    count = met.count()
+    return full.repartition(max(1, min(count, max(TASKS, count // PER_TASK))))
+
+
 def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, need: Need, kind: str, cutoff: float, limit: int | None = None, order: Column | None = None) -> DataFrame:
     """(query, choice, score) of all pairs that reach the cutoff, from blocks of strings whose lengths allow it.
 
@@ -173,13 +185,7 @@ def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     asked = _blocks(queries.select(F.col(query).alias("s")).filter(real).distinct().withColumn("at", F.lit(0)), ["qn", "qb", "q"]).checkpoint()
     rows = choices.select(F.col(choice).alias("s"), (F.lit(0) if order is None else order).alias("at")).filter(real)
     kept = _blocks(rows.groupBy("s").agg(F.min("at").alias("at")), ["cn", "cb", "c"]).checkpoint()
-    lengths = asked.select("qn").distinct().withColumn("_", F.lit(1)).join(kept.select("cn", "cb").withColumn("_", F.lit(1)), "_")
-    met = lengths.withColumn("need", need(F.col("qn"), F.col("cn")).cast("int")).filter("need is not null").select("qn", "cb", "need")
-    # the strings join the pairs of blocks last
-    met = asked.select("qn", "qb").join(met, "qn").select("qb", "cb", "need").checkpoint()
-    full = met.join(asked.select("qb", "q"), "qb").join(kept.select("cb", "c"), "cb").select("q", "c", "need")
-    count = met.count()
-    full = full.repartition(max(1, min(count, max(TASKS, count // PER_TASK))))
+    full = _met(asked, kept, need)
 
     def run(batches):
         for batch in batches:
@@ -192,6 +198,33 @@ def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     return full.mapInArrow(run, f"`{query}` string, `{choice}` string, score double")
 
 
+def block_owners(asked: DataFrame, query: str, home: str, items: DataFrame, choice: str, columns: list[str], need: Need, cutoff: float, limit: int) -> DataFrame:
+    """query, home, columns of an item, s (thousandths): the first ``limit`` owners by Levenshtein similarity, then by id, of each query in each pair of blocks.
+
+    home: a province, or empty for all · columns: those of items that are kept, entity_id and province first; by their order the last of an owner's equal
+    scores counts. No more owners of a choice in a province than ``limit`` can be among the first, so that the blocks hold no others.
+    """
+    shared_folder(asked.sparkSession)
+    entity, province = columns[:2]
+    owner = F.dense_rank().over(W.partitionBy(choice, province).orderBy(entity))
+    first = items.withColumn("_owner", owner).filter(F.col("_owner") <= limit).filter(F.length(choice) > 0)
+    q = _blocks(asked.select(F.col(query).alias("s"), F.col(home).alias("at")).filter("length(s) > 0").distinct(), ["qn", "qb", "q"], whole=True).checkpoint()
+    first = first.select(F.col(choice).alias("s"), F.struct(*columns).alias("at"))
+    c = _blocks(first, ["cn", "cb", "c"], whole=True).checkpoint()
+
+    def run(batches):
+        for batch in batches:
+            for q, c, least in zip(batch["q"], batch["c"], batch["need"], strict=True):
+                own = [(x["s"], x["at"]) for x in q.as_py()]
+                there = [(x["s"], x["at"][entity], x["at"][province]) for x in c.as_py()]
+                i, j, s = sim.block_owners(own, there, least.as_py(), cutoff, limit)
+                a, b = q.values.take(pa.array(i)), c.values.take(pa.array(j))
+                yield pa.record_batch([a.field("s"), a.field("at"), b.field("at"), pa.array(s)], names=[query, home, "item", "s"])
+
+    kind = first.schema["at"].dataType.simpleString()
+    return _met(q, c, need).mapInArrow(run, f"`{query}` string, `{home}` string, item {kind}, s long").select(query, home, "item.*", "s")
+
+
 def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 75.0, limit: int | None = None, order: Column | None = None) -> DataFrame:
     """(query, choice, score) of all pairs whose weighted ratio reaches the cutoff; 60 is the least cutoff.
 
@@ -219,18 +252,26 @@ def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     return found.distinct().withColumn("score", sim.weighted_ratio_of(F.col(query), F.col(choice))).filter(F.col("score") >= cutoff)
 
 
-def edit_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 0.75) -> DataFrame:
-    """(query, choice, score) of all pairs whose Levenshtein similarity reaches the cutoff (above 0).
+class EditIndex(NameIndex):
+    """Choices prepared for search by Levenshtein similarity: d edits leave all but d characters of the longer string in common."""
 
-    d edits leave all but d characters of the longer string in common.
-    """
-    index = NameIndex(queries, query, choices, choice)
-    need = lambda n, m: F.when(F.least(n, m) >= F.greatest(n, m) * cutoff - 1e-9, F.ceil(F.greatest(n, m) * cutoff - 1e-9))
-    n = F.col("n")
-    first = n - F.ceil(n * cutoff - 1e-9) + 1
-    if index.dense(first, first):
-        return block_pairs(queries, query, choices, choice, need, "edit", cutoff)
-    return index.sharing(need, first, first).withColumn("score", sim.levenshtein_similarity(F.col(query), F.col(choice))).filter(F.col("score") >= cutoff)
+    def __init__(self, queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 0.75):
+        super().__init__(queries, query, choices, choice)
+        self.cutoff = cutoff
+        self.need = lambda n, m: F.when(F.least(n, m) >= F.greatest(n, m) * cutoff - 1e-9, F.ceil(F.greatest(n, m) * cutoff - 1e-9))
+        n = F.col("n")
+        self.first = n - F.ceil(n * cutoff - 1e-9) + 1
+        self.in_blocks = self.dense(self.first, self.first)
+
+    def pairs(self) -> DataFrame:
+        found = self.sharing(self.need, self.first, self.first)
+        return found.withColumn("score", sim.levenshtein_similarity(F.col(self.query), F.col(self.choice))).filter(F.col("score") >= self.cutoff)
+
+
+def edit_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 0.75) -> DataFrame:
+    """(query, choice, score) of all pairs whose Levenshtein similarity reaches the cutoff (above 0)."""
+    index = EditIndex(queries, query, choices, choice, cutoff)
+    return block_pairs(queries, query, choices, choice, index.need, "edit", cutoff) if index.in_blocks else index.pairs()
 
 
 def partial_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str) -> DataFrame:

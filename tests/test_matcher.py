@@ -1,9 +1,14 @@
 """Golden cases of the matcher on a small dimension built here."""
 
+import math
+
 import pytest
+from pyspark.sql import functions as F
 
+from gazetta.functions import similarity
 from gazetta.functions import text as T
-from gazetta.operators.matcher import MatchTables, match_table, search_names
+from gazetta.operators import strings
+from gazetta.operators.matcher import MatchTables, match_table, name_candidates, search_names
 
 
 @pytest.fixture(scope="module")
@@ -103,3 +108,35 @@ def test_search_names(spark):
     got = {(r.query, r.entity_id): (r.score, r.method) for r in out}
     assert got["普洱", "E1"] == (95.3, "partial_candidate")
     assert ("昆名市", "E3") not in got  # similarity 0.667 is below the cut-off
+
+
+@pytest.mark.parametrize("row_cost", [0, 10**9])
+def test_candidates_of_both_searches_equal_brute_force(spark, monkeypatch, row_cost):
+    """In blocks only the first owners of a query without partial candidates leave a pair of blocks."""
+    monkeypatch.setattr(strings, "ROW_COST", row_cost)
+    monkeypatch.setattr(strings, "BLOCK", 16)
+    made, own = [], strings.block_owners
+    monkeypatch.setattr(strings, "block_owners", lambda *a: made.append(own(*a)) or made[-1])
+    names = [(f"AB{i % 40:04d}", f"n{i}", str(i % 23), "county" if i % 3 else "prefecture", f"p{i % 23 % 2}") for i in range(120)]
+    asked = [(i, f"AB{i:05d}" if i % 4 else f"AB{i:03d}"[:5], ["", "p0", "p1", "p9"][i // 4 % 4]) for i in range(0, 48)]
+    got = name_candidates(spark.createDataFrame(asked, "ask long, norm string, home string"), spark.createDataFrame(names, "choice string, name string, entity_id string, source string, province string"))
+    got = sorted((r["ask"], r["rank"], r["entity_id"], r["matched_name"], round(r["score"], 6), r["source"], r["method"]) for r in got.collect())
+    want = []
+    for ask, q, home in asked:
+        best = {}
+        for c, name, e, source, province in names:
+            ratio = min(len(q), len(c)) / max(len(q), len(c))
+            part = 0.9 + 0.08 * ratio if c.startswith(q) else 0.82 + 0.1 * ratio if q in c else 0.8 + 0.08 * ratio if q.startswith(c) else 0.0
+            fuzzy = 1 - similarity._plain_distance(q, c) / max(len(q), len(c))
+            score = max(part, fuzzy if fuzzy >= 0.75 else 0.0)
+            if score and home in ("", province):
+                row = (math.floor(score * 1000 + 0.5), source == "county", part > 0, name, source)
+                best[e] = max(best.get(e, row), row)
+        found = any(b[2] for b in best.values())
+        order = sorted(best.items(), key=lambda x: (-x[1][0], x[0]))
+        want += [(ask, i, e, b[3], b[0] / 10, b[4], "partial_candidate" if found else "fuzzy_candidate") for i, (e, b) in enumerate(order if found else order[:3], 1)]
+    assert got == sorted(want)
+    assert bool(made) == (row_cost > 0)
+    if made:
+        per_query = made[0].groupBy("query", "home").count().agg(F.max("count")).first()[0]
+        assert per_query <= 3 * 8  # blocks of names
