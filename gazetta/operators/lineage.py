@@ -14,6 +14,7 @@ from gazetta.operators.closure import resolve_successors
 from gazetta.operators.joins import dimension
 
 FIRST_YEAR, LAST_YEAR = 1987, 2026
+PART_ROWS = 50_000  # entities and events in a part
 PANEL = (1999, 2020)
 ENDING = ("abolish", "merge", "split")
 ESTABLISHING = ("establish", "establish_prefecture")
@@ -62,14 +63,16 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     Per cell the latest effective event that fixes a state decides; without one, the
     earliest later rename gives the name before it. Only the last and the first of the events of a
     year can count, so the timeline of an entity has at most one entry for each year; the grid picks
-    from it and is neither joined nor grouped.
+    from it and is neither joined nor grouped. Parts hold so many rows whatever the size, so that
+    the sorts of a task don't grow with the tables.
     """
-    timed = events.join(timing.select("event_id", F.col("annual_effective_year").alias("eff"), F.col("temporal_confidence").alias("tc"), F.col("source_ids").alias("src")), "event_id")
-    timed = timed.withColumn("at", F.struct("eff", "event_id"))
+    parts = max(1, -(-(events.count() + entities.count()) // PART_ROWS))
+    at = timing.select("event_id", F.col("annual_effective_year").alias("eff"), F.col("temporal_confidence").alias("tc"), F.col("source_ids").alias("src"))
+    timed = events.repartition(parts, "event_id").join(at.repartition(parts, "event_id"), "event_id").withColumn("at", F.struct("eff", "event_id")).repartition(parts, "entity_id")
     born = timed.filter(F.col("event_type").isin(*ESTABLISHING)).groupBy("entity_id").agg(F.min("eff").alias("born"))
     o = life.select("entity_id", F.struct("first_active_year", "last_active_year", "pre_active_status", "post_active_status", "temporal_confidence", "source_ids").alias("o"))
     entities = entities if "source_ids" in entities.columns else entities.withColumn("source_ids", F.lit(""))
-    units = entities.join(dimension(born), "entity_id", "left").join(dimension(o), "entity_id", "left")
+    units = entities.repartition(parts, "entity_id").join(born, "entity_id", "left").join(dimension(o), "entity_id", "left")
     own = lambda c, f: F.when(F.col("historical"), F.col(c)).otherwise(f)
     units = units.withColumn("first", F.coalesce("o.first_active_year", own("start_year", F.col("born")), F.lit(FIRST_YEAR)).cast("int"))
     units = units.withColumn("last", F.coalesce("o.last_active_year", own("end_year", F.lit(None)), F.lit(LAST_YEAR)).cast("int"))
@@ -85,7 +88,7 @@ def year_end_roster(entities: DataFrame, events: DataFrame, timing: DataFrame, l
     state = F.struct(ended.alias("ended"), new.alias("name"), F.col("e.tc").alias("tc"), F.col("e.src").alias("src"))
     eff = F.col("e.eff").cast("int")
     turn = F.when(eff.isNotNull(), F.least(F.greatest(eff, F.lit(FIRST_YEAR)), F.lit(LAST_YEAR + 1)))
-    yearly = units.join(dimension(t), "entity_id", "left").groupBy(*keys, turn.alias("turn")).agg(
+    yearly = units.join(t, "entity_id", "left").groupBy(*keys, turn.alias("turn")).agg(
         F.first("o").alias("o"), F.first("spans").alias("spans"),
         F.max_by(state, F.when(F.coalesce(renamed | ended, F.lit(False)), F.col("e.at"))).alias("stop"),
         F.min_by(old, F.when(F.coalesce(pending, F.lit(False)), F.col("e.at"))).alias("before"),

@@ -211,3 +211,19 @@ def test_the_grid_of_years_is_neither_joined_nor_grouped(spark):
     lines = roster(spark)._jdf.queryExecution().optimizedPlan().toString().split("\n")
     kinds = [line.lstrip(" :+-").split(" ")[0] for line in lines]
     assert kinds.index("Generate") < kinds.index("Aggregate") and kinds.index("Generate") < kinds.index("Join")
+
+
+def test_roster_parts_hold_a_fixed_number_of_rows(spark, monkeypatch):
+    """More rows make more parts, so the sorts of a task don't grow with the tables; the roster stays the same."""
+    entities = spark.createDataFrame([(f"E{i}", "F", i % 5 == 0, 1990, 2005, "S") for i in range(20)], "entity_id string, canonical_name string, historical boolean, start_year int, end_year int, source_ids string")
+    kinds = ["rename", "split", "establish", "upgrade"]
+    events = spark.createDataFrame([(f"P{i:03d}", f"E{i % 17}", kinds[i % 4], i % 4 in (0, 3), "F" if i % 3 else "", f"N{i}") for i in range(80)], "event_id string, entity_id string, event_type string, automatic boolean, old_name string, new_name string")
+    timing = spark.createDataFrame([(f"P{i:03d}", 1985 + i % 43, "high", "T") for i in range(80)], "event_id string, annual_effective_year int, temporal_confidence string, source_ids string")
+    life = spark.createDataFrame([("E1", 1995, 2010, "not_established", None, "medium", "O")], "entity_id string, first_active_year int, last_active_year int, pre_active_status string, post_active_status string, temporal_confidence string, source_ids string")
+    names = spark.createDataFrame([("E2", 1996, 1997, "given", "active", "high", "N", 0)], "entity_id string, start_year int, end_year int, legal_name string, status string, temporal_confidence string, source_ids string, seq int")
+    whole = lineage.year_end_roster(entities, events, timing, life, names)
+    monkeypatch.setattr(lineage, "PART_ROWS", 10)
+    parted = lineage.year_end_roster(entities, events, timing, life, names)
+    assert parted.rdd.getNumPartitions() == 10
+    rows = sorted(map(tuple, parted.collect()))
+    assert len(rows) == 20 * 40 and rows == sorted(map(tuple, whole.collect()))
