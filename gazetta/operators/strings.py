@@ -11,9 +11,11 @@ instead, and their pairs are compared in vectors.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,8 +29,9 @@ WHOLE = 16  # names up to this length are looked up whole
 RUNS = [(8, WHOLE + 1, 30), (16, 31, None)]
 MARK_BITS, MOST_BITS = 16, 1 << 27  # bits of the bitmap for each mark, bits at most
 
-BLOCK = 2048  # strings of a block
+BLOCK, MOST_BLOCKS = 2048, 16  # strings of a block, times so many if there are many pairs
 ROW_COST = 100  # comparisons in vectors that one joined row costs
+STATISTICS = 10_000  # strings of each side, about, that the choice of the plan looks at
 PER_TASK, TASKS = 16, 96  # pairs of blocks in a task, tasks that fewer pairs are dealt to
 
 Need = Callable[[Column, Column], Column]
@@ -124,54 +127,92 @@ class NameIndex:
     def __init__(self, queries: DataFrame, query: str, choices: DataFrame, choice: str):
         """Null and empty strings are in no pair. Counts are over the distinct choices."""
         shared_folder(queries.sparkSession)
-        own = lambda df, c: df.select(F.col(c).alias("s")).filter(F.length("s") > 0).distinct()
-        index = own(choices, choice)
-        # a row for each character and number: as many as the alphabet has, whatever the number of choices
-        counts = dimension(index.select(F.explode(characters(F.col("s"))).alias("token")).groupBy("token").agg(F.count("*").alias("freq")))
+        own = lambda df, c: df.select(F.col(c).alias("s")).filter(F.length("s") > 0).distinct().checkpoint()
         self.query, self.choice = query, choice
+        self.queries, self.choices = own(queries, query), own(choices, choice)
+
+    @staticmethod
+    def _both(queries: DataFrame, choices: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The characters of both sides, by their counts over the choices."""
+        # a row for each character and number: as many as the alphabet has, whatever the number of choices
+        counts = dimension(choices.select(F.explode(characters(F.col("s"))).alias("token")).groupBy("token").agg(F.count("*").alias("freq")))
         # read several times
-        self.asked, self.kept = _ranked(own(queries, query), counts).checkpoint(), _ranked(index, counts).checkpoint()
+        return _ranked(queries, counts).checkpoint(), _ranked(choices, counts).checkpoint()
+
+    @cached_property
+    def ranked(self) -> tuple[DataFrame, DataFrame]:
+        return self._both(self.queries, self.choices)
 
     def sharing(self, need: Need, first_of_query: Column | None = None, first_of_choice: Column | None = None) -> DataFrame:
         """Distinct pairs that share need(n, m) characters and for which need isn't null.
 
         ``first_of_*``: how many characters of a string (from rare to common, by its length n) have to be looked up; None for all.
         """
-        q = self.asked if first_of_query is None else self.asked.filter(F.col("place") < first_of_query)
-        c = self.kept if first_of_choice is None else self.kept.filter(F.col("place") < first_of_choice)
+        asked, kept = self.ranked
+        q = asked if first_of_query is None else asked.filter(F.col("place") < first_of_query)
+        c = kept if first_of_choice is None else kept.filter(F.col("place") < first_of_choice)
         least = need(F.col("q.n"), F.col("c.n"))
         met = q.alias("q").join(c.alias("c"), (F.col("q.token") == F.col("c.token")) & (F.col("q.place") <= F.col("q.n") - least) & (F.col("c.place") <= F.col("c.n") - least))
         met = met.groupBy(F.col("q.s").alias(self.query), F.col("c.s").alias(self.choice)).agg(F.first(least).alias("_need"))
         shared = F.size(F.array_intersect(characters(F.col(self.query)), characters(F.col(self.choice))))
         return met.filter(shared >= F.col("_need")).select(self.query, self.choice)
 
-
     def dense(self, first_of_query: Column, first_of_choice: Column) -> bool:
-        """Would looking up these characters join more rows than all pairs are worth?"""
+        """Would looking up these characters join more rows than all pairs are worth?
+
+        Statistics for the choice between two plans that find the same pairs: of large sides they are taken over every so many-th string by its hash.
+        """
+        part = lambda df: df.filter(F.pmod(F.xxhash64("s"), F.lit(max(1, df.count() // STATISTICS))) == 0)
+        asked, kept = self._both(part(self.queries), part(self.choices))
         spread = lambda df, first, n: df.filter(F.col("place") < first).groupBy("token").agg(F.count("*").alias(n))
-        met = spread(self.asked, first_of_query, "_q").join(spread(self.kept, first_of_choice, "_c"), "token").agg(F.sum(F.col("_q").cast("double") * F.col("_c"))).first()[0]
-        return (met or 0.0) * ROW_COST > self.asked.filter("place = 0").count() * self.kept.filter("place = 0").count()
+        met = spread(asked, first_of_query, "_q").join(spread(kept, first_of_choice, "_c"), "token").agg(F.sum(F.col("_q").cast("double") * F.col("_c"))).first()[0]
+        return (met or 0.0) * ROW_COST > asked.filter("place = 0").count() * kept.filter("place = 0").count()
 
 
-def _blocks(strings: DataFrame, names: list[str], whole: bool = False) -> DataFrame:
-    """n, id and strings (array, in order of ``at``) of blocks of strings of one length; the whole rows (at, s) if asked for. strings: s, at."""
+def _blocks(strings: DataFrame, names: list[str], size: int) -> DataFrame:
+    """n, id and strings (array of at, s, in their order) of blocks of strings of one length that begin or end alike, of about ``size``. strings: s, at."""
     own = strings.withColumn("n", F.length("s"))
-    sizes = own.groupBy("n").agg(F.ceil(F.count("*") / BLOCK).alias("_blocks"))
-    each = own.join(F.broadcast(sizes), "n").groupBy("n", F.pmod(F.xxhash64("s"), F.col("_blocks")).alias("_part"))
-    rows = F.array_sort(F.collect_list(F.struct("at", "s")))
-    out = each.agg((rows if whole else F.transform(rows, lambda x: x["s"])).alias("strings"))
-    return out.select(F.col("n").alias(names[0]), F.concat_ws(":", "n", "_part").alias(names[1]), F.col("strings").alias(names[2]))
+    half = F.col("n") - F.floor(F.col("n") / 2)
+    count, heads, tails = own.agg(F.count("*"), F.approx_count_distinct(F.left("s", half)), F.approx_count_distinct(F.right("s", half))).first()
+    spread = own.repartitionByRange(max(1, -(-count // size)), "n", "s" if heads <= tails else F.reverse("s"))
+    each = spread.groupBy("n", F.spark_partition_id().alias("_part")).agg(F.array_sort(F.collect_list(F.struct("at", "s"))).alias("strings"))
+    return each.select(F.col("n").alias(names[0]), F.concat_ws(":", "n", "_part").alias(names[1]), F.col("strings").alias(names[2]))
 
 
 def _met(asked: DataFrame, kept: DataFrame, need: Need) -> DataFrame:
-    """q, c, need of the pairs of blocks whose lengths allow it, spread over tasks. asked: qn, qb, q · kept: cn, cb, c."""
+    """q, c, need of the pairs of blocks whose lengths allow it, spread over tasks. asked, kept: s, at."""
+    # read several times
+    asked, kept = asked.checkpoint(), kept.checkpoint()
+    few, many = asked.count(), kept.count()
+    size = int(min(max((few * many / (TASKS * PER_TASK)) ** 0.5, BLOCK), BLOCK * MOST_BLOCKS))
+    asked, kept = _blocks(asked, ["qn", "qb", "q"], size).checkpoint(), _blocks(kept, ["cn", "cb", "c"], size).checkpoint()
     lengths = asked.select("qn").distinct().withColumn("_", F.lit(1)).join(kept.select("cn", "cb").withColumn("_", F.lit(1)), "_")
     met = lengths.withColumn("need", need(F.col("qn"), F.col("cn")).cast("int")).filter("need is not null").select("qn", "cb", "need")
     # the strings join the pairs of blocks last
     met = asked.select("qn", "qb").join(met, "qn").select("qb", "cb", "need").checkpoint()
-    full = met.join(asked.select("qb", "q"), "qb").join(kept.select("cb", "c"), "cb").select("q", "c", "need")
     count = met.count()
-    return full.repartition(max(1, min(count, max(TASKS, count // PER_TASK))))
+    full = met.join(kept.select("cb", "c"), "cb").repartition(max(1, min(count, max(TASKS, count // PER_TASK))))
+    asked = asked.select("qb", "q")
+    return full.join(F.broadcast(asked) if few <= BROADCAST_ROWS * 4 else asked, "qb").select("q", "c", "need")
+
+
+def _batches(parts, make, rows: int = 100_000):
+    """Arrow batches of ``rows`` rows or a little more, made of lists of arrays."""
+    kept, count = [], 0
+    for part in parts:
+        kept.append(part)
+        count += len(part[0])
+        if count >= rows:
+            yield from _cut(make, kept, rows)
+            kept, count = [], 0
+    if count:
+        yield from _cut(make, kept, rows)
+
+
+def _cut(make, kept, rows: int):
+    whole = [np.concatenate(x) for x in zip(*kept, strict=True)]
+    for at in range(0, len(whole[0]), rows):
+        yield make(*[x[at : at + rows] for x in whole])
 
 
 def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, need: Need, kind: str, cutoff: float, limit: int | None = None, order: Column | None = None) -> DataFrame:
@@ -182,20 +223,23 @@ def block_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str,
     """
     shared_folder(queries.sparkSession)
     real = F.length("s") > 0
-    asked = _blocks(queries.select(F.col(query).alias("s")).filter(real).distinct().withColumn("at", F.lit(0)), ["qn", "qb", "q"]).checkpoint()
+    asked = queries.select(F.col(query).alias("s")).filter(real).distinct().withColumn("at", F.lit(0))
     rows = choices.select(F.col(choice).alias("s"), (F.lit(0) if order is None else order).alias("at")).filter(real)
-    kept = _blocks(rows.groupBy("s").agg(F.min("at").alias("at")), ["cn", "cb", "c"]).checkpoint()
-    full = _met(asked, kept, need)
 
     def run(batches):
         for batch in batches:
             for q, c, least in zip(batch["q"], batch["c"], batch["need"], strict=True):
-                i, j, score = sim.block_scores(q.as_py(), c.as_py(), least.as_py(), kind, cutoff, limit)
-                for at in range(0, len(i), 100_000):
-                    some = slice(at, at + 100_000)
-                    yield pa.record_batch([q.values.take(pa.array(i[some])), c.values.take(pa.array(j[some])), pa.array(score[some])], names=[query, choice, "score"])
+                q, c = q.values.field("s"), c.values.field("s")
+                own, there = q.to_pylist(), c.to_pylist()
+                if limit is None:
+                    parts = sim.block_scores(own, there, least.as_py(), kind, cutoff)
+                else:
+                    places = np.arange(len(there))
+                    parts = [sim.first_scores(own, there, places, places, least.as_py(), kind, cutoff, limit)]
+                # q and c by default, since batches are made later
+                yield from _batches(parts, lambda i, j, s, q=q, c=c: pa.record_batch([q.take(pa.array(i)), c.take(pa.array(j)), pa.array(s)], names=[query, choice, "score"]))
 
-    return full.mapInArrow(run, f"`{query}` string, `{choice}` string, score double")
+    return _met(asked, rows.groupBy("s").agg(F.min("at").alias("at")), need).mapInArrow(run, f"`{query}` string, `{choice}` string, score double")
 
 
 def block_owners(asked: DataFrame, query: str, home: str, items: DataFrame, choice: str, columns: list[str], need: Need, cutoff: float, limit: int) -> DataFrame:
@@ -208,21 +252,31 @@ def block_owners(asked: DataFrame, query: str, home: str, items: DataFrame, choi
     entity, province = columns[:2]
     owner = F.dense_rank().over(W.partitionBy(choice, province).orderBy(entity))
     first = items.withColumn("_owner", owner).filter(F.col("_owner") <= limit).filter(F.length(choice) > 0)
-    q = _blocks(asked.select(F.col(query).alias("s"), F.col(home).alias("at")).filter("length(s) > 0").distinct(), ["qn", "qb", "q"], whole=True).checkpoint()
     first = first.select(F.col(choice).alias("s"), F.struct(*columns).alias("at"))
-    c = _blocks(first, ["cn", "cb", "c"], whole=True).checkpoint()
+    own = asked.select(F.col(query).alias("s"), F.col(home).alias("at")).filter("length(s) > 0").distinct()
+
+    def parts(q, c, least):
+        """Places of asked rows and of items, thousandths: all items for the empty home, else those of the province."""
+        names, homes = q.field("s"), q.field("at")
+        ids = c.field("at").field(entity).dictionary_encode().indices.to_numpy()  # in order of the ids, as the items are
+        provinces = c.field("at").field(province)
+        for at in homes.unique().to_pylist():
+            rows = np.flatnonzero(pc.equal(homes, at))
+            there = np.arange(len(c)) if not at else np.flatnonzero(pc.fill_null(pc.equal(provinces, at), False))
+            if len(there):
+                choices = c.field("s").take(pa.array(there)).dictionary_encode()
+                i, j, score = sim.first_scores(names.take(pa.array(rows)).to_pylist(), choices.dictionary.to_pylist(), choices.indices.to_numpy().astype(np.int64), ids[there].astype(np.int64), least, "edit", cutoff, limit, rounded=True)
+                yield rows[i], there[j], np.floor(score * 1000 + 0.5).astype(np.int64)
 
     def run(batches):
         for batch in batches:
             for q, c, least in zip(batch["q"], batch["c"], batch["need"], strict=True):
-                own = [(x["s"], x["at"]) for x in q.as_py()]
-                there = [(x["s"], x["at"][entity], x["at"][province]) for x in c.as_py()]
-                i, j, s = sim.block_owners(own, there, least.as_py(), cutoff, limit)
-                a, b = q.values.take(pa.array(i)), c.values.take(pa.array(j))
-                yield pa.record_batch([a.field("s"), a.field("at"), b.field("at"), pa.array(s)], names=[query, home, "item", "s"])
+                q, c = q.values, c.values
+                make = lambda i, j, s, q=q, c=c: pa.record_batch([q.field("s").take(pa.array(i)), q.field("at").take(pa.array(i)), c.field("at").take(pa.array(j)), pa.array(s)], names=[query, home, "item", "s"])
+                yield from _batches(parts(q, c, least.as_py()), make)
 
     kind = first.schema["at"].dataType.simpleString()
-    return _met(q, c, need).mapInArrow(run, f"`{query}` string, `{home}` string, item {kind}, s long").select(query, home, "item.*", "s")
+    return _met(own, first, need).mapInArrow(run, f"`{query}` string, `{home}` string, item {kind}, s long").select(query, home, "item.*", "s")
 
 
 def ratio_pairs(queries: DataFrame, query: str, choices: DataFrame, choice: str, cutoff: float = 75.0, limit: int | None = None, order: Column | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """String indexes and spatial joins against brute force, without nested loops in their plans."""
 
 import json
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +57,47 @@ def test_small_alphabets_are_compared_in_blocks(spark, monkeypatch):
     assert got == want and all(want)
 
 
+@pytest.mark.parametrize(("kind", "cutoff", "sizes"), [("weighted", 75.0, (7, 11, 2)), ("weighted", 75.0, (8, 16, 1000)), ("edit", 0.6, (7, 9, 1)), ("edit", 0.6, (256, 2048, 24))])
+def test_trees_of_strings_equal_brute_force(monkeypatch, kind, cutoff, sizes):
+    """All pairs, and the first owners of each query, whether pairs end side by side or alone."""
+    for name, size in zip(("WIDE", "TALL", "SPARSE"), sizes, strict=True):
+        monkeypatch.setattr(similarity, name, size)
+    rng = random.Random(12)
+    for n, m in [(1, 1), (3, 3), (8, 9), (9, 8), (4, 9), (10, 5), (16, 17), (20, 18), (33, 30), (64, 60), (66, 70)]:
+        asked = sorted({"".join(rng.choice("01甲𠮷") for _ in range(n)) for _ in range(15)})
+        names = sorted({"".join(c if rng.random() < 0.8 else rng.choice("01甲𠮷") for c in (q * m)[:m]) for q in asked * 3})
+        score = similarity.weighted_ratio if kind == "weighted" else lambda a, b: 1.0 - similarity._plain_distance(a, b) / max(len(a), len(b))
+        want = {(i, j): x for i, a in enumerate(asked) for j, b in enumerate(names) if (x := score(a, b)) >= cutoff}
+        need = min(min(n, m), math.ceil((n + m) * 0.375)) if 2 * max(n, m) < 3 * min(n, m) else 1
+        need = need if kind == "weighted" else math.ceil(max(n, m) * cutoff - 1e-9)
+        got = {(i, j): x for part in similarity.block_scores(asked, names, need, kind, cutoff) for i, j, x in zip(*part, strict=True)}
+        assert got == want
+        items, owners = np.array([rng.randrange(len(names)) for _ in range(80)]), np.array(sorted(rng.randrange(30) for _ in range(80)))
+        first = {(int(i), int(k), x) for i, k, x in zip(*similarity.first_scores(asked, names, items, owners, need, kind, cutoff, 3, kind == "edit"), strict=True)}
+        best = set()
+        for i in range(len(asked)):
+            order = sorted((-(math.floor(x * 1000 + 0.5) if kind == "edit" else x), owners[k], -k, x) for k in range(80) if (x := want.get((i, int(items[k])))) is not None)
+            chosen = {}
+            for _, owner, k, x in order:
+                chosen.setdefault(owner, (i, -k, x))
+            best |= set(list(chosen.values())[:3])
+        assert first == best
+
+
+def test_numbers_share_the_work_of_their_beginnings(spark, monkeypatch):
+    """Far fewer steps than characters are taken for a pair, and of large sides only a part is ranked to choose the plan."""
+    steps, step = [], similarity._step
+    monkeypatch.setattr(similarity, "_step", lambda kind, state, hit: (steps.append(hit.size), step(kind, state, hit))[1])
+    names, asked = [f"{i}县" for i in range(10_000, 14_000)], [f"{i * 13}市" for i in range(1000, 1256)]
+    found = sum(len(part[0]) for part in similarity.block_scores(asked, names, 5, "weighted", 75.0))
+    assert found and sum(steps) < 0.4 * 6 * len(names) * len(asked)
+    ranked, of = [], strings._ranked
+    monkeypatch.setattr(strings, "_ranked", lambda df, counts: (ranked.append(df.count()), of(df, counts))[1])
+    monkeypatch.setattr(strings, "STATISTICS", 100)
+    q, c = (spark.createDataFrame([(x,) for x in rows], f"{name} string") for rows, name in ((asked, "q"), (names, "c")))
+    assert strings.ratio_pairs(q, "q", c, "c").count() == found and max(ranked) < 400
+
+
 def test_low_cutoff_is_refused(spark):
     one = spark.createDataFrame([("a",)], "s string")
     with pytest.raises(ValueError):
