@@ -32,7 +32,7 @@ MARK_BITS, MOST_BITS = 16, 1 << 27  # bits of the bitmap for each mark, bits at
 BLOCK, MOST_BLOCKS = 2048, 16  # strings of a block, times so many if there are many pairs
 ROW_COST = 100  # comparisons in vectors that one joined row costs
 STATISTICS = 10_000  # strings of each side, about, that the choice of the plan looks at
-PER_TASK, TASKS = 16, 96  # pairs of blocks in a task, tasks that fewer pairs are dealt to
+PER_TASK, TASKS = 4, 96  # pairs of blocks in a task, tasks that fewer pairs are dealt to
 
 Need = Callable[[Column, Column], Column]
 
@@ -184,7 +184,7 @@ def _met(asked: DataFrame, kept: DataFrame, need: Need) -> DataFrame:
     # read several times
     asked, kept = asked.checkpoint(), kept.checkpoint()
     few, many = asked.count(), kept.count()
-    size = int(min(max((few * many / (TASKS * PER_TASK)) ** 0.5, BLOCK), BLOCK * MOST_BLOCKS))
+    size = int(min(max((few * many / (2 * TASKS)) ** 0.5, BLOCK), BLOCK * MOST_BLOCKS))
     asked, kept = _blocks(asked, ["qn", "qb", "q"], size).checkpoint(), _blocks(kept, ["cn", "cb", "c"], size).checkpoint()
     lengths = asked.select("qn").distinct().withColumn("_", F.lit(1)).join(kept.select("cn", "cb").withColumn("_", F.lit(1)), "_")
     met = lengths.withColumn("need", need(F.col("qn"), F.col("cn")).cast("int")).filter("need is not null").select("qn", "cb", "need")
